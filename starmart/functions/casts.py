@@ -1,30 +1,57 @@
-"""Casts from raw values to contract types that give NULL instead of failing."""
+"""Casts from raw values to contract types that give NULL instead of failing.
+
+Text is matched against a number pattern before it is cast. A failing ``try_cast``
+costs an exception per value, which for a column of ``4084316.0`` would be every row.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import (
-    DataType, DateType, IntegerType, LongType, StringType,
+    DataType, DateType, DoubleType, FloatType, IntegerType, LongType, StringType,
 )
 
+_INTEGER = r"^\s*[+-]?\d+\s*$"
+_POINT = r"^\s*[+-]?\d+\.\d*\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def text_to_integer(c: Column, dtype: str = "int") -> Column:
+    """Integer literals only; anything else is NULL."""
+    return F.when(c.rlike(_INTEGER), c).try_cast(dtype)
+
+
+def text_to_double(c: Column) -> Column:
+    """Plain, point and exponent notation; ``NaN`` and other words are NULL."""
+    return F.when(c.rlike(_NUMBER), c).try_cast("double")
 
-def cast_column(c: Column | str, source: DataType, target: DataType) -> Column:
-    """``c`` as ``target``. Text such as ``4084316.0`` is read as a whole number.
 
-    Whole numbers in exponent or point notation take the second branch: double
-    is exact for 32 bits, 64 bits need a decimal.
-    """
+def number_to_int(c: Column) -> Column:
+    """Text in any number notation as 32 bits, cut toward zero. Double holds these exactly."""
+    return text_to_double(c).try_cast("int")
+
+
+def number_to_long(c: Column) -> Column:
+    """Text in any number notation as 64 bits, cut toward zero, with every digit kept."""
+    whole = F.when(c.rlike(_INTEGER), c).when(c.rlike(_POINT), F.substring_index(c, ".", 1))
+    other = F.when(whole.isNull() & c.rlike(_NUMBER), c).try_cast("decimal(38,18)")
+    return F.coalesce(whole.try_cast("bigint"), other.try_cast("bigint"))
+
+
+def cast_column(c: Column | str, source: DataType, target: DataType) -> Column:
+    """``c`` as ``target``. Text such as ``4084316.0`` is read as a whole number."""
     c = F.col(c) if isinstance(c, str) else c
     if source == target:
         return c
-    if isinstance(target, DateType) and isinstance(source, StringType):
-        return F.try_to_date(c)
-    if isinstance(source, StringType) and isinstance(target, IntegerType):
-        return F.coalesce(c.try_cast("int"), c.try_cast("double").try_cast("int"))
-    if isinstance(source, StringType) and isinstance(target, LongType):
-        return F.coalesce(
-            c.try_cast("bigint"), c.try_cast("decimal(38,18)").try_cast("bigint")
-        )
+    if isinstance(source, StringType):
+        if isinstance(target, DateType):
+            return F.try_to_date(c)
+        if isinstance(target, IntegerType):
+            return number_to_int(c)
+        if isinstance(target, LongType):
+            return number_to_long(c)
+        if isinstance(target, (DoubleType, FloatType)):
+            return text_to_double(c).cast(target)
     if isinstance(target, StringType):
         return c.cast("string")
     return c.try_cast(target)

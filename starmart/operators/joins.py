@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import upper_trim
+from ..functions import number_to_int, upper_trim
 
 
 def join_on_uid(fact: DataFrame, dimension: DataFrame, key: str = "uid", how: str = "inner") -> DataFrame:
@@ -31,7 +31,7 @@ def code_text(c: Column | str) -> Column:
     """A numeric code as the text the code tables hold: ``101.0`` and ``101`` both give ``101``."""
     c = F.col(c) if isinstance(c, str) else c
     text = c.cast("string")
-    return F.coalesce(text.try_cast("double").try_cast("int").cast("string"), text)
+    return F.coalesce(number_to_int(text).cast("string"), text)
 
 
 def enrich_countries(personal: DataFrame, country_code: DataFrame) -> DataFrame:

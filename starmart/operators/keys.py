@@ -33,12 +33,18 @@ def dense_id(df: DataFrame, name: str, order_by: Sequence[str | Column]) -> Data
     return number_staged(stage(tag_rows(df, order_by), f"ordered-{name}"), name)
 
 
-def tag_rows(df: DataFrame, order_by: Sequence[str | Column] | None) -> DataFrame:
-    """Add each row's (partition, row) number, after a total sort when an order is given."""
+def tag_rows(
+    df: DataFrame, order_by: Sequence[str | Column] | None, order_is_unique: bool = False
+) -> DataFrame:
+    """Add each row's (partition, row) number, after a total sort when an order is given.
+
+    The other columns break ties unless the order is known to have none.
+    """
     if order_by is not None:
         named = {c for c in order_by if isinstance(c, str)}
         order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-        order += [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
+        if not order_is_unique:
+            order += [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
         df = df.sort(*order)
     return df.withColumn(_TAG, F.monotonically_increasing_id())
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from ..contracts import CONTRACTS, TableContract
-from ..functions import cast_column, sas_to_date, to_date
+from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
 from ..operators.keys import number_staged, tag_rows
 from ..operators.rows import dedupe, distinct_rows, drop_missing, missing_counts
 from ..quality.report import check_mart
@@ -61,13 +61,15 @@ def typed_columns(recipe: Recipe, df: DataFrame, date_policy: str) -> DataFrame:
         c = F.col(f"`{source}`")
         found = df.schema[source].dataType
         if name in recipe.sas_dates:
-            c = sas_to_date(c, found, date_policy)
+            c = sas_day_number(c, found, date_policy)
         elif name in recipe.late_dates:
             c = c.cast(StringType())
         else:
             c = cast_column(c, found, recipe.contract.type_of(name))
         out.append(c.alias(name))
-    return df.select(*out)
+    typed = df.select(*out)
+    # a step of its own, so that a day number is parsed once and not per use
+    return typed.withColumns({c: day_number_to_date(c) for c in recipe.sas_dates})
 
 
 def _complete(columns: Iterable[str]) -> Column:
@@ -139,7 +141,7 @@ def build_table(
     name = f"cleaned-{recipe.name}"
     if contract.id_column:
         order = [F.col(_OK).desc(), *recipe.key] if ids == "dense" else None
-        staged = stage(tag_rows(reduced, order), name)
+        staged = stage(tag_rows(reduced, order, order_is_unique=bool(recipe.key)), name)
     else:
         staged = stage(reduced, name)
 
