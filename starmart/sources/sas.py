@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
@@ -75,6 +76,7 @@ def _conform(chunk: pd.DataFrame, names: dict) -> pd.DataFrame:
         if isinstance(field.dataType, StringType):
             values = values.astype(object).where(values.notna() & (values != ""), None)
         elif isinstance(field.dataType, (IntegerType, LongType)):
-            values = pd.to_numeric(values).astype("Int64")
+            # SAS numbers are doubles; whole-number columns are cut toward zero
+            values = np.trunc(pd.to_numeric(values).astype("float64")).astype("Int64")
         out[field.name] = values
     return pd.DataFrame(out)
