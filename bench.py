@@ -38,8 +38,6 @@ def session() -> SparkSession:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"{base}/shared")
     return spark
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from starmart import analytics as an, operators as op
+from starmart.session import new_path
+from starmart.sinks import write_bucketed
 
 from .inputs import PRICED_PLACES_SQL, arrivals_by_nation, nation_codes, priced_places, table
 
@@ -22,6 +24,15 @@ def destinations_of_orders(spark, sf_dir) -> DataFrame:
     return an.primary_destinations(fact, nation_codes(spark, sf_dir, "state"))
 
 
+def bucketed_join(spark, sf_dir) -> DataFrame:
+    """Fact and person tables in buckets of the same key, joined where they lie."""
+    fact, personal = arrivals_by_nation(spark, sf_dir)
+    for name, df in (("bucketed_fact", fact), ("bucketed_personal", personal)):
+        spark.sql(f"drop table if exists {name}")
+        write_bucketed(df, name, new_path(spark, name), ["uid"], 8)
+    return op.join_on_uid(spark.table("bucketed_fact"), spark.table("bucketed_personal"))
+
+
 def enrich_codes(spark, sf_dir) -> DataFrame:
     personal = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("uid"), F.col("c_nationkey").alias("citizen_country"),
@@ -117,7 +128,7 @@ def age_quartiles(spark, sf_dir) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        destinations_topk, destinations_of_orders, enrich_codes, enrich_ports, composite_join,
+        destinations_topk, destinations_of_orders, bucketed_join, enrich_codes, enrich_ports, composite_join,
         climate_join, recent_climate, warming_vs_origin, state_months, state_trend,
         age_distribution, age_quartiles,
     )
@@ -152,6 +163,9 @@ with {_ARRIVALS}
 select state_code, n_name as state, count(*) as n_arrivals
 from arrivals left join nation on c_nationkey = n_nationkey
 group by all order by n_arrivals desc, state_code nulls last limit 5""",
+    "bucketed_join": f"""
+with {_ARRIVALS}
+select uid, year, month, state_code, c_nationkey as citizen_country, birth_year from arrivals""",
     "enrich_codes": """
 select c_custkey as uid, c_nationkey as citizen_country, (c_nationkey + 5) || '.0' as residence_country,
        a.n_name as citizen_country_name, b.n_name as residence_country_name

@@ -107,12 +107,17 @@ def city_of_port(c: Column | str) -> Column:
 def climate_by_arrival(fact: DataFrame, city_code: DataFrame, climate: DataFrame) -> DataFrame:
     """Arrivals with the usual temperature of their port's city in the month of arrival.
 
-    ``climate`` holds one row per (city, month), as :func:`~starmart.analytics.climatology`
-    gives for one country.
+    ``climate`` is what :func:`~starmart.analytics.climatology` gives. Spellings and
+    countries that share a city name are averaged by their days, so no arrival is repeated.
     """
     ports = city_code.select(F.col("code").alias("city_code"), city_of_port("city").alias("city_key"))
-    usual = climate.select(
-        upper_trim("city").alias("city_key"), "month",
-        F.col("avg_temperature").alias("usual_temperature"),
+    weighted = F.sum(F.col("avg_temperature") * F.col("n_days")) / F.sum("n_days")
+    usual = (
+        climate.filter(F.col("n_days") > 0)
+        .groupBy(upper_trim("city").alias("city_key"), "month")
+        .agg(
+            F.when(F.count(F.lit(1)) == 1, F.max("avg_temperature")).otherwise(weighted)
+            .alias("usual_temperature")
+        )
     )
     return fact.join(ports, "city_code", "left").join(usual, ["city_key", "month"], "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -207,6 +208,7 @@ def run(
     date_policy: str = "lenient",
     reject_bad_dates: bool = False,
     checks: bool = True,
+    parallel: int = 3,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -214,7 +216,9 @@ def run(
     other locations per source and ``formats`` other formats (``sas`` for the arrivals' binary
     files, ``parquet`` for landed ones). ``countries=None`` keeps all temperatures. Rows
     dropped for missing values go to ``dst/quarantine/<table>``; the counts and, with
-    ``checks``, the report of all quality checks to ``dst/qc_report``.
+    ``checks``, the report of all quality checks to ``dst/qc_report``. Sources and tables do not
+    depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
+    while the last tasks of one finish.
     """
     dst = dst.rstrip("/")
     wanted = set(CONTRACTS) if tables is None else set(tables)
@@ -234,24 +238,26 @@ def run(
         used = [c for r in recipes.values() if r.source == name and r.name in wanted for c in r.columns]
         return land(df, list(dict.fromkeys(used)), name)
 
-    built: dict[str, Built] = {}
-    for name in ("immigration", "labels", "temperature", "demography", "airport"):
-        if name == "labels":
-            sections = {k: v for k, v in LABEL_SECTIONS.items() if k in wanted}
-            if sections:
-                built |= build_labels(
-                    spark, paths.get(name) or source_path(src, name), dst, sections
-                )
-            continue
-        todo = [r for r in recipes.values() if r.source == name and r.name in wanted]
-        if not todo:
-            continue
-        df = source(name)
-        for recipe in todo:
-            built[recipe.name] = build_table(
-                df, recipe, f"{dst}/{recipe.name}", ids, date_policy, reject_bad_dates,
-                quarantine=f"{dst}/quarantine/{recipe.name}",
-            )
+    todo = [r for r in recipes.values() if r.name in wanted]
+    sections = {k: v for k, v in LABEL_SECTIONS.items() if k in wanted}
+
+    def labels() -> dict[str, Built]:
+        if not sections:
+            return {}
+        return build_labels(spark, paths.get("labels") or source_path(src, "labels"), dst, sections)
+
+    def table(recipe: Recipe) -> Built:
+        return build_table(
+            sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
+            reject_bad_dates, quarantine=f"{dst}/quarantine/{recipe.name}",
+        )
+
+    with ThreadPoolExecutor(parallel) as pool:
+        code_tables = pool.submit(labels)
+        names = list(dict.fromkeys(r.source for r in todo))
+        sources = dict(zip(names, pool.map(source, names)))
+        made = dict(zip([r.name for r in todo], pool.map(table, todo))) | code_tables.result()
+    built = {name: made[name] for name in CONTRACTS if name in made}
 
     report = spark.createDataFrame(
         [row for b in built.values() for row in b.report_rows()],

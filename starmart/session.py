@@ -15,15 +15,23 @@ from pyspark.sql import SparkSession
 _MIB = 1024 * 1024
 
 
+# A shuffle of m map and r reduce tasks moves m * r blocks; beyond these numbers
+# blocks get too small to be worth a request, and larger partitions that spill do better.
+_MOST_PARTITIONS = 30_000
+_LARGEST_SPLIT = 1024 * _MIB
+
+
 def conf_for(input_bytes: int, partition_bytes: int = 128 * _MIB) -> dict[str, str]:
-    """Settings for a job that shuffles about ``input_bytes``.
+    """Settings for a job that reads and shuffles about ``input_bytes``.
 
     Adaptive execution merges small shuffle partitions but never splits
     ordinary ones, so the starting number follows the data; the advisory size is
     what skewed and rebalanced partitions are cut to.
     """
-    partitions = max(8, -(-input_bytes // partition_bytes))
+    partitions = min(_MOST_PARTITIONS, max(8, -(-input_bytes // partition_bytes)))
+    split = min(_LARGEST_SPLIT, max(128 * _MIB, input_bytes // _MOST_PARTITIONS))
     return {
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

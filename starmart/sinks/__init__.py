@@ -1,9 +1,10 @@
 from .stage import stage
 from .tables import (
-    create_table_sql, preview, print_schema, refresh_partitions, spread_for, write_csv, write_table,
+    create_table_sql, preview, print_schema, refresh_partitions, spread_for, write_bucketed, write_csv,
+    write_table,
 )
 
 __all__ = [
     "stage", "create_table_sql", "preview", "print_schema", "refresh_partitions", "spread_for",
-    "write_csv", "write_table",
+    "write_bucketed", "write_csv", "write_table",
 ]

@@ -51,6 +51,21 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int
+) -> None:
+    """A catalog table at ``path`` in hash buckets of ``key``, each sorted by it.
+
+    Tables with equal keys and numbers of buckets join without a shuffle. For keys
+    with few rows each, such as the arrival number; one task writes one bucket.
+    """
+    (
+        df.repartition(buckets, *[F.col(c) for c in key]).write.mode("overwrite")
+        .bucketBy(buckets, *key).sortBy(*key)
+        .option("path", path).format("parquet").saveAsTable(table)
+    )
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 

@@ -71,19 +71,20 @@ def read_csv(
     """CSV with a header row.
 
     Without ``schema`` every column is text under its header name: one line is read,
-    no types are inferred. With ``schema`` the header must list the same columns
-    (a changed file fails instead of shifting values); a cell that is no value of its
-    type becomes NULL and its row is kept in ``corrupt_column`` when one is named.
+    no types are inferred. Every file's header must list the columns of the schema, or
+    of the first file (a changed file fails instead of shifting values). A cell that is no
+    value of its type becomes NULL and its row is kept in ``corrupt_column`` when one is named.
     ``null_values`` are further texts that mean a missing value.
     """
     reader = (
         spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line)
+        .option("enforceSchema", False)
     )
     if schema is not None:
         if corrupt_column:
             schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
             reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-        reader = reader.schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE")
+        reader = reader.schema(schema).option("mode", "PERMISSIVE")
     df = reader.csv(path)
     missing = list(null_values)
     if not missing:

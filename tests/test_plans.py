@@ -110,3 +110,15 @@ def test_no_cross_joins(spark, lineitem):
     )
     plan = plan_of(an.warming_and_origins(temperature, fact, personal, codes))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    from spark_checks import QUERIES
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["bucketed_join"](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

@@ -37,6 +37,13 @@ def test_csv_with_schema_refuses_a_changed_header(spark, tmp_path):
         read_csv(spark, str(file), schema=schema).collect()
 
 
+def test_csv_files_with_unlike_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        read_csv(spark, str(tmp_path)).select("a").collect()
+
+
 def test_csv_malformed_cells_are_kept_apart(spark, tmp_path):
     file = tmp_path / "a.csv"
     file.write_text("a;b\n1;2.5\nx;3.5\nNA;4.5\n")
@@ -275,7 +282,11 @@ def test_drift(spark):
 
 def test_session_settings(spark, monkeypatch):
     conf = session_module.conf_for(100 * 2**40)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (128 * 2**20)
+    assert conf["spark.sql.shuffle.partitions"] == "30000"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(2**30)
+    small = session_module.conf_for(10 * 2**30)
+    assert small["spark.sql.shuffle.partitions"] == "80"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
     assert session_module.conf_for(1)["spark.sql.shuffle.partitions"] == "8"
     assert session_module.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert session_module.new_path(spark, "x") != session_module.new_path(spark, "x")
