@@ -11,6 +11,7 @@ from ..sinks.stage import stage
 _TAG = "__tag"
 _PART = "__part"
 _START = "__start"
+_SPLIT = "__split"
 # monotonically_increasing_id(): partition number above bit 33, row number below.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -28,7 +29,7 @@ def dense_id(df: DataFrame, name: str, order_by: Sequence[str | Column]) -> Data
     number; an id is the number of rows in earlier partitions plus the row number.
     Only the per-partition counts meet in one place: as many rows as the sort has
     partitions. All columns break ties, so rows with one hot ``order_by`` value
-    still spread; only exact copies stay together, remove them first.
+    still spread, and equal rows spread by the input partition they come from.
     """
     return number_staged(stage(tag_rows(df, order_by), f"ordered-{name}"), name)
 
@@ -43,9 +44,12 @@ def tag_rows(
     if order_by is not None:
         named = {c for c in order_by if isinstance(c, str)}
         order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-        if not order_is_unique:
+        if order_is_unique:
+            df = df.sort(*order)
+        else:
             order += [F.col(c).asc_nulls_last() for c in df.columns if c not in named]
-        df = df.sort(*order)
+            # the same in every attempt of a task, unlike a row number
+            df = df.withColumn(_SPLIT, F.spark_partition_id()).sort(*order, _SPLIT).drop(_SPLIT)
     return df.withColumn(_TAG, F.monotonically_increasing_id())
 
 

@@ -15,14 +15,13 @@ def spread_for(df: DataFrame, partition_by: Sequence[str], slices: int = 64) ->
     """Bring the rows of one output partition together without one task per value.
 
     With adaptive execution a rebalance cuts a hot value into advisory-sized pieces
-    at run time. Without it the rows of each value are dealt to ``slices`` tasks by
-    a hash of the row, so the result is the same when a task is repeated.
+    at run time. Without it the rows of each value are dealt to ``slices`` tasks by a
+    hash of the row and its input partition, which a repeated task deals the same way.
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         return df.hint("rebalance", *partition_by)
-    others = [c for c in df.columns if c not in partition_by]
-    salt = F.pmod(F.xxhash64(*others), F.lit(slices)) if others else F.lit(0)
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    row = F.xxhash64(*df.columns, F.spark_partition_id())
+    return df.repartition(*[F.col(c) for c in partition_by], F.pmod(row, F.lit(slices)))
 
 
 def write_table(

@@ -88,6 +88,26 @@ def test_dense_ids_do_not_depend_on_partitioning(spark, keys):
     assert {r.t: r.id for r in text} == {t: i for i, t in enumerate(sorted(f"t{k}" for k in keys))}
 
 
+def test_dense_ids_of_equal_rows(spark):
+    """Two thirds of the rows are copies of one: each gets an id of its own, in order."""
+    df = spark.createDataFrame([(1, "a")] * 200 + [(k, "b") for k in range(-50, 50)], "k int, t string")
+    found = op.dense_id(df.repartition(6), "id", ["k"]).collect()
+    assert sorted(r.id for r in found) == list(range(300))
+    ordered = [(r.k, r.t) for r in sorted(found, key=lambda r: r.id)]
+    assert ordered == sorted(ordered)
+
+
+def test_climate_never_repeats_an_arrival(spark):
+    fact = spark.createDataFrame([(1, "ABC", 5), (2, "XXX", 5), (3, "ABC", 6)], "uid int, city_code string, month int")
+    ports = spark.createDataFrame([("ABC", "SAMPLETOWN, XX   ")], "code string, city string")
+    climate = spark.createDataFrame(
+        [("Sampletown", "US", 5, 10.0, 1), ("SAMPLETOWN", "FR", 5, 20.0, 3), ("Sampletown", "US", 6, None, 0)],
+        "city string, country string, month int, avg_temperature double, n_days long",
+    )
+    found = op.climate_by_arrival(fact, ports, climate).sort("uid").collect()
+    assert [(r.uid, r.usual_temperature) for r in found] == [(1, 17.5), (2, None), (3, None)]
+
+
 def test_dense_ids_on_an_empty_frame(spark):
     df = spark.createDataFrame([], "k int")
     assert op.dense_id(df, "id", ["k"]).count() == 0
