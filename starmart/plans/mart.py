@@ -13,6 +13,7 @@ from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
 from ..operators.keys import number_staged, tag_rows
 from ..operators.rows import dedupe, distinct_rows, drop_missing, missing_counts
+from ..quality.checks import report_row
 from ..quality.report import check_mart
 from ..sinks.stage import stage
 from ..sinks.tables import write_table
@@ -52,15 +53,20 @@ class Built:
         return [*rows, (name, "row_balance", "", int(not self.balanced), status)]
 
 
-def typed_columns(recipe: Recipe, df: DataFrame, date_policy: str) -> DataFrame:
+def typed_columns(
+    recipe: Recipe, df: DataFrame, date_policy: str, keep_raw: bool = False
+) -> DataFrame:
     """The recipe's columns under their table names and contract types.
 
     Dates listed in ``late_dates`` stay text until the missing values are out.
+    ``keep_raw`` adds each source value as ``raw_<name>``.
     """
     out = []
     for source, name in recipe.columns.items():
         c = F.col(f"`{source}`")
         found = df.schema[source].dataType
+        if keep_raw:
+            out.append(c.alias(f"raw_{name}"))
         if name in recipe.sas_dates:
             c = sas_day_number(c, found, date_policy)
         elif name in recipe.late_dates:
@@ -73,6 +79,19 @@ def typed_columns(recipe: Recipe, df: DataFrame, date_policy: str) -> DataFrame:
     return typed.withColumns({c: day_number_to_date(c) for c in recipe.sas_dates})
 
 
+def check_casts(df: DataFrame, recipe: Recipe, date_policy: str = "lenient") -> DataFrame:
+    """Report rows: source values per column that its contract type cannot hold. One scan."""
+    both = typed_columns(recipe, df, date_policy, keep_raw=True)
+    both = both.withColumns({c: to_date(c) for c in recipe.late_dates})
+    names = list(recipe.columns.values())
+    lost = both.agg(*[
+        F.count_if(F.col(f"raw_{c}").isNotNull() & F.col(c).isNull()).alias(c) for c in names
+    ])
+    return lost.select(F.inline(F.array(*[
+        report_row(recipe.name, "cast", c, F.col(c)) for c in names
+    ])))
+
+
 def _complete(columns: Iterable[str]) -> Column:
     ok = F.lit(True)
     for c in columns:
@@ -209,12 +228,14 @@ def run(
     reject_bad_dates: bool = False,
     checks: bool = True,
     parallel: int = 3,
+    source_options: Mapping[str, Mapping] | None = None,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
     ``src`` is a base path under which the default file names are looked up; ``paths`` gives
     other locations per source and ``formats`` other formats (``sas`` for the arrivals' binary
-    files, ``parquet`` for landed ones). ``countries=None`` keeps all temperatures. Rows
+    files, ``parquet`` for landed ones), ``source_options`` further arguments of the reader, such
+    as ``{"airport": {"null_values": ["NA"]}}``. ``countries=None`` keeps all temperatures. Rows
     dropped for missing values go to ``dst/quarantine/<table>``; the counts and, with
     ``checks``, the report of all quality checks to ``dst/qc_report``. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
@@ -232,11 +253,13 @@ def run(
         fmt = formats.get(name, "csv")
         default = "immigration_sas" if name == "immigration" and fmt == "sas" else name
         options = {"sep": ";"} if name == "demography" and fmt == "csv" else {}
+        options |= (source_options or {}).get(name, {})
         df = read_source(spark, paths.get(name) or source_path(src, default), fmt, **options)
-        if fmt == "parquet":
-            return df
-        used = [c for r in recipes.values() if r.source == name and r.name in wanted for c in r.columns]
-        return land(df, list(dict.fromkeys(used)), name)
+        used = list(dict.fromkeys(c for r in todo if r.source == name for c in r.columns))
+        absent = [c for c in used if c not in df.columns]
+        if absent:
+            raise ValueError(f"source {name} lacks the columns {absent}")
+        return df if fmt == "parquet" else land(df, used, name)
 
     todo = [r for r in recipes.values() if r.name in wanted]
     sections = {k: v for k, v in LABEL_SECTIONS.items() if k in wanted}
@@ -264,6 +287,8 @@ def run(
         "table_name string, check_name string, column_name string, value bigint, status string",
     )
     if checks:
+        for recipe in todo:
+            report = report.unionByName(check_casts(sources[recipe.source], recipe, date_policy))
         report = report.unionByName(check_mart({n: b.read(spark) for n, b in built.items()}))
     report.coalesce(1).write.mode("overwrite").parquet(f"{dst}/qc_report")
     return built

@@ -226,6 +226,12 @@ def test_report(spark, mart):
     assert failed == {
         ("dim_temperature", "primary_key_not_null", "date,city,country", 1),
         ("dim_temperature", "not_null", "date", 1),
+        ("dim_temperature", "cast", "date", 1),
+        ("fact_immigration", "cast", "uid", 1),
+        ("fact_immigration", "cast", "arrive_date", 1),
+        ("fact_immigration", "cast", "departure_date", 1),
+        ("dim_immigration_personal", "cast", "uid", 1),
+        ("dim_immigration_airline", "cast", "uid", 1),
         ("dim_immigration_personal", "foreign_key", "uid->fact_immigration", 2),
         ("dim_immigration_airline", "foreign_key", "uid->fact_immigration", 2),
     }
@@ -305,3 +311,40 @@ def test_mart_check_sees_a_damaged_table(spark, mart):
         (r.table_name, r.check_name) for r in check_mart(tables).collect() if r.status != "ok"
     }
     assert {("fact_immigration", "primary_key_unique"), ("state_code", "unique")} <= failed
+
+
+def test_sas_source(spark, tmp_path):
+    from test_sources_sinks import transport_file
+
+    names = ["CICID", "I94YR", "I94MON", "ARRDATE", "DEPDATE", "I94VISA", "BIRYEAR"]
+    for i in range(2):
+        rows = [[10 * i + k, 2016, 4, 20573 + k, 20580.5, 1, 1950 + k] for k in range(1, 4)]
+        (tmp_path / f"f{i}.xpt").write_bytes(transport_file(names, rows + rows[:1]))
+    built = run(
+        spark, "", str(tmp_path / "out"), ["fact_immigration", "dim_immigration_personal"],
+        formats={"immigration": "sas"}, paths={"immigration": str(tmp_path / "*.xpt")},
+        source_options={"immigration": {"file_format": "xport"}},
+    )
+    fact = built["fact_immigration"]
+    assert fact.counts["read"] == 8 and fact.counts["removed"] == 2 and fact.balanced
+    found = sorted((r.uid, r.arrive_date, r.departure_date) for r in fact.read(spark).collect())
+    assert found == [
+        (10 * i + k, dt.date(2016, 4, 29) + dt.timedelta(days=k), dt.date(2016, 5, 6))
+        for i in range(2) for k in range(1, 4)
+    ]
+    assert built["dim_immigration_personal"].counts["written"] == 6
+
+
+def test_a_source_without_a_column_is_refused(spark, source, tmp_path):
+    bad = tmp_path / "airports.csv"
+    bad.write_text("ident,type\nK1,x\n")
+    with pytest.raises(ValueError, match="source airport lacks the columns"):
+        run(spark, source, str(tmp_path / "out"), ["dim_airport"], paths={"airport": str(bad)})
+
+
+def test_missing_words_of_a_source(spark, source, tmp_path):
+    built = run(
+        spark, source, str(tmp_path), ["dim_airport"], checks=False,
+        source_options={"airport": {"null_values": ["K1"]}},
+    )
+    assert built["dim_airport"].counts["written"] == 0
