@@ -97,6 +97,12 @@ def fk_matched_rows(spark, sf_dir) -> DataFrame:
     ).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+def fk_unused_codes(spark, sf_dir) -> DataFrame:
+    """The other direction of a foreign key: codes no row refers to."""
+    nation, li = table(spark, sf_dir, "nation"), table(spark, sf_dir, "lineitem")
+    return op.orphans(nation, li, ["n_nationkey"], ["l_linenumber"])
+
+
 def fk_check(spark, sf_dir) -> DataFrame:
     key = ForeignKey(("o_custkey",), "customer", ("c_custkey",))
     return qc.check_foreign_key(
@@ -192,7 +198,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         null_profile_pct, duplicate_row_count, year_range, row_counts, profile_columns, pk_check,
-        repeated_keys, fk_orphans, fk_orphan_rows, fk_matched_rows, fk_check, unique_check,
+        repeated_keys, fk_orphans, fk_orphan_rows, fk_matched_rows, fk_unused_codes, fk_check, unique_check,
         not_null_check, type_cast_contract, typed_values, schema_drift, row_balance, quartiles,
         outliers_iqr,
     )
@@ -276,6 +282,9 @@ where held is not null and not exists (select 1 from known where c_custkey = hel
 with {_GAPS}
 select o_orderkey, held as o_custkey, o_totalprice from gaps
 where exists (select 1 from known where c_custkey = held)""",
+    "fk_unused_codes": """
+select n_nationkey, count(*) as n_rows from nation
+where n_nationkey not in (select l_linenumber from lineitem) group by n_nationkey""",
     "fk_check": f"""
 with {_GAPS}
 select 'orders' as table_name, 'foreign_key' as check_name, 'o_custkey->customer' as column_name,

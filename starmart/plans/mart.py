@@ -15,6 +15,7 @@ from ..operators.keys import number_staged, tag_rows
 from ..operators.rows import dedupe, distinct_rows, drop_missing, missing_counts
 from ..quality.checks import report_row
 from ..quality.report import check_mart
+from ..session import new_path, remove_path
 from ..sinks.stage import stage
 from ..sinks.tables import write_table
 from ..sources.files import land, read_source, read_table, source_path
@@ -124,6 +125,7 @@ def build_table(
     date_policy: str = "lenient",
     reject_bad_dates: bool = False,
     quarantine: str | None = None,
+    folder: str | None = None,
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
@@ -161,9 +163,9 @@ def build_table(
     name = f"cleaned-{recipe.name}"
     if contract.id_column:
         order = [F.col(_OK).desc(), *recipe.key] if ids == "dense" else None
-        staged = stage(tag_rows(reduced, order, order_is_unique=bool(recipe.key)), name)
+        staged = stage(tag_rows(reduced, order, order_is_unique=bool(recipe.key)), name, folder)
     else:
-        staged = stage(reduced, name)
+        staged = stage(reduced, name, folder)
 
     after = staged.agg(F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)).first()
     if not missing_first:
@@ -195,10 +197,11 @@ def build_table(
 
 
 def build_labels(
-    spark: SparkSession, path: str, dst: str, sections: Mapping = LABEL_SECTIONS
+    spark: SparkSession, path: str, dst: str, sections: Mapping = LABEL_SECTIONS,
+    folder: str | None = None,
 ) -> dict[str, Built]:
     """The code tables of one label file (or several: later files replace earlier ones)."""
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, folder)
     out = {}
     for name, section in sections.items():
         built = Built(CONTRACTS[name], f"{dst}/{name}")
@@ -229,6 +232,7 @@ def run(
     checks: bool = True,
     parallel: int = 3,
     source_options: Mapping[str, Mapping] | None = None,
+    keep_steps: bool = False,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -239,8 +243,10 @@ def run(
     dropped for missing values go to ``dst/quarantine/<table>``; the counts and, with
     ``checks``, the report of all quality checks to ``dst/qc_report``. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
-    while the last tasks of one finish.
+    while the last tasks of one finish. The stored steps are removed when all is written, unless
+    ``keep_steps`` is set or the run fails.
     """
+    folder = new_path(spark, "run")
     dst = dst.rstrip("/")
     wanted = set(CONTRACTS) if tables is None else set(tables)
     formats, paths = dict(formats or {}), dict(paths or {})
@@ -259,7 +265,7 @@ def run(
         absent = [c for c in used if c not in df.columns]
         if absent:
             raise ValueError(f"source {name} lacks the columns {absent}")
-        return df if fmt == "parquet" else land(df, used, name)
+        return df if fmt == "parquet" else land(df, used, name, folder)
 
     todo = [r for r in recipes.values() if r.name in wanted]
     sections = {k: v for k, v in LABEL_SECTIONS.items() if k in wanted}
@@ -267,12 +273,13 @@ def run(
     def labels() -> dict[str, Built]:
         if not sections:
             return {}
-        return build_labels(spark, paths.get("labels") or source_path(src, "labels"), dst, sections)
+        path = paths.get("labels") or source_path(src, "labels")
+        return build_labels(spark, path, dst, sections, folder)
 
     def table(recipe: Recipe) -> Built:
         return build_table(
             sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
-            reject_bad_dates, quarantine=f"{dst}/quarantine/{recipe.name}",
+            reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder,
         )
 
     with ThreadPoolExecutor(parallel) as pool:
@@ -291,4 +298,6 @@ def run(
             report = report.unionByName(check_casts(sources[recipe.source], recipe, date_policy))
         report = report.unionByName(check_mart({n: b.read(spark) for n, b in built.items()}))
     report.coalesce(1).write.mode("overwrite").parquet(f"{dst}/qc_report")
+    if not keep_steps:
+        remove_path(spark, folder)
     return built

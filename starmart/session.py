@@ -59,3 +59,9 @@ def working_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{working_dir(spark)}/starmart/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whatever kind that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

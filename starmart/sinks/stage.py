@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame
 from ..session import new_path
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and return the stored table.
 
+    ``folder`` gathers the steps of one run, to be removed together.
+
     Cuts the lineage: later jobs read the file, with column pruning and
     pushdown, and a lost executor repeats none of the work before it.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = f"{folder}/{name}" if folder else new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

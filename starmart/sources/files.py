@@ -134,10 +134,12 @@ def local_table(spark: SparkSession, rows, schema: StructType | str | None = Non
     return spark.createDataFrame(list(rows.items()) if isinstance(rows, dict) else rows, schema)
 
 
-def land(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+def land(
+    df: DataFrame, columns: Sequence[str], name: str, folder: str | None = None
+) -> DataFrame:
     """Store the used columns of a row-format source once as Parquet.
 
     Several tables are cut from one source; each then reads only its own columns
     instead of parsing every row again, and row counts come from file footers.
     """
-    return stage(df.select(*[F.col(f"`{c}`") for c in columns]), f"landed-{name}")
+    return stage(df.select(*[F.col(f"`{c}`") for c in columns]), f"landed-{name}", folder)

@@ -12,7 +12,9 @@ from ..operators.rows import in_range, last_wins
 from ..sinks.stage import stage
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | Sequence[str], folder: str | None = None
+) -> DataFrame:
     """(file, pos, line) for every line of every file, ``pos`` counting from 0 in each file.
 
     Files are split like any other text source. A line's number is the number of
@@ -26,7 +28,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("line"),
     )
-    blocks = stage(text, "lines")
+    blocks = stage(text, "lines", folder)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         blocks.groupBy("file", "block")

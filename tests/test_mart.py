@@ -342,6 +342,21 @@ def test_a_source_without_a_column_is_refused(spark, source, tmp_path):
         run(spark, source, str(tmp_path / "out"), ["dim_airport"], paths={"airport": str(bad)})
 
 
+def test_a_run_removes_its_steps(spark, source, tmp_path):
+    import glob
+
+    from starmart.session import working_dir
+
+    def steps():
+        return set(glob.glob(f"{working_dir(spark).removeprefix('file:')}/starmart/run-*"))
+
+    before = steps()
+    run(spark, source, str(tmp_path / "a"), ["dim_airport"], checks=False)
+    assert steps() == before
+    run(spark, source, str(tmp_path / "b"), ["dim_airport"], checks=False, keep_steps=True)
+    assert len(steps() - before) == 1
+
+
 def test_missing_words_of_a_source(spark, source, tmp_path):
     built = run(
         spark, source, str(tmp_path), ["dim_airport"], checks=False,
