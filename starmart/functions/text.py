@@ -7,9 +7,13 @@ import re
 from pyspark.sql import Column, functions as F
 
 
+# White space of every script, and the four separator control characters.
+_SPACE = r"[\s\x1c-\x1f]+"
+
+
 def strip_blank(c: Column) -> Column:
     """Remove leading and trailing white space of every kind (blanks, tabs, line ends)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"(?U)\A{_SPACE}|{_SPACE}\z", "")
 
 
 def strip_tabs(c: Column) -> Column:

@@ -58,6 +58,7 @@ def number_staged(staged: DataFrame, name: str, dense: bool = True) -> DataFrame
     if not dense:
         return staged.withColumnRenamed(_TAG, name)
     part = F.shiftright(_TAG, _ROW_BITS)
+    # one row per sort partition, so the window below orders that many rows and no more
     counts = staged.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
@@ -66,7 +67,7 @@ def number_staged(staged: DataFrame, name: str, dense: bool = True) -> DataFrame
     row = F.col(_TAG).bitwiseAND(F.lit(_ROW_MASK))
     return (
         staged.withColumn(_PART, part)
-        # one row per sort partition: bounded by spark.sql.shuffle.partitions
+        # bounded by the number of sort partitions
         .join(F.broadcast(starts), _PART)
         .withColumn(name, F.col(_START) + row)
         .drop(_TAG, _PART, _START)

@@ -249,6 +249,8 @@ def run(
     folder = new_path(spark, "run")
     dst = dst.rstrip("/")
     wanted = set(CONTRACTS) if tables is None else set(tables)
+    if unknown := wanted - set(CONTRACTS):
+        raise ValueError(f"unknown tables {sorted(unknown)}")
     formats, paths = dict(formats or {}), dict(paths or {})
     recipes = dict(recipes)
     if "dim_temperature" in recipes:

@@ -120,7 +120,7 @@ def test_casts(spark):
 
 
 @FEW
-@given(st.lists(st.text(alphabet=" \t\n'aB", max_size=8), min_size=1, max_size=40))
+@given(st.lists(st.text(alphabet=" \t\n\r'aB\x1f\x85\u00a0\u3000", max_size=8), min_size=1, max_size=40))
 def test_strips(spark, values):
     c = F.col("v")
     assert column_of(spark, values, "string", fn.strip_blank(c)) == [v.strip() for v in values]

@@ -357,6 +357,11 @@ def test_a_run_removes_its_steps(spark, source, tmp_path):
     assert len(steps() - before) == 1
 
 
+def test_unknown_tables_are_refused(spark, source, tmp_path):
+    with pytest.raises(ValueError, match="unknown tables"):
+        run(spark, source, str(tmp_path), ["fact_imigration"])
+
+
 def test_missing_words_of_a_source(spark, source, tmp_path):
     built = run(
         spark, source, str(tmp_path), ["dim_airport"], checks=False,
