@@ -115,11 +115,11 @@ def arrivals_by_origin(fact: DataFrame, personal: DataFrame, country_code: DataF
     """
     counted = (
         fact.select("uid", "year").join(personal.select("uid", "citizen_country"), "uid")
-        .groupBy(code_text("citizen_country").alias("code"), "year")
+        .groupBy(code_text(personal, "citizen_country").alias("origin"), "year")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return (
-        lookup(counted.withColumnRenamed("code", "origin"), country_code, "origin", "country", "country")
+        lookup(counted, country_code, "origin", "country", "country")
         .groupBy(upper_trim("country").alias("country_key"), "year")
         .agg(F.sum("n").alias("n_arrivals"))
     )

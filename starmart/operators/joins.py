@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import number_to_int, upper_trim
+from ..sinks.stage import stage
 
 
 def join_on_uid(fact: DataFrame, dimension: DataFrame, key: str = "uid", how: str = "inner") -> DataFrame:
@@ -27,9 +29,11 @@ def lookup(
     return df.join(pairs, F.col(column) == F.col("__code"), "left").drop("__code")
 
 
-def code_text(c: Column | str) -> Column:
+def code_text(df: DataFrame, column: str) -> Column:
     """A numeric code as the text the code tables hold: ``101.0`` and ``101`` both give ``101``."""
-    c = F.col(c) if isinstance(c, str) else c
+    c, dtype = F.col(column), df.schema[column].dataType
+    if isinstance(dtype, IntegralType):
+        return c.cast("string")
     text = c.cast("string")
     return F.coalesce(number_to_int(text).cast("string"), text)
 
@@ -37,7 +41,8 @@ def code_text(c: Column | str) -> Column:
 def enrich_countries(personal: DataFrame, country_code: DataFrame) -> DataFrame:
     """Names of the countries of citizenship and residence."""
     coded = personal.withColumns({
-        "__citizen": code_text("citizen_country"), "__residence": code_text("residence_country"),
+        "__citizen": code_text(personal, "citizen_country"),
+        "__residence": code_text(personal, "residence_country"),
     })
     named = lookup(coded, country_code, "__citizen", "country", "citizen_country_name")
     named = lookup(named, country_code, "__residence", "country", "residence_country_name")
@@ -86,8 +91,12 @@ def orphans(
 def orphan_rows(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
 ) -> DataFrame:
-    """The rows of ``child`` whose key ``parent`` lacks."""
-    lost = orphans(child, parent, columns, parent_columns).drop("n_rows")
+    """The rows of ``child`` whose key ``parent`` lacks.
+
+    The lost keys are stored first, so that their size is known: when they are few the
+    rows of ``child`` stay where they are.
+    """
+    lost = stage(orphans(child, parent, columns, parent_columns).drop("n_rows"), "orphans")
     return child.join(lost, list(columns), "left_semi")
 
 
@@ -109,6 +118,8 @@ def climate_by_arrival(fact: DataFrame, city_code: DataFrame, climate: DataFrame
 
     ``climate`` is what :func:`~starmart.analytics.climatology` gives. Spellings and
     countries that share a city name are averaged by their days, so no arrival is repeated.
+    The averages are stored first, so that their size is known: when they are few the
+    arrivals are not shuffled.
     """
     ports = city_code.select(F.col("code").alias("city_code"), city_of_port("city").alias("city_key"))
     weighted = F.sum(F.col("avg_temperature") * F.col("n_days")) / F.sum("n_days")
@@ -120,4 +131,5 @@ def climate_by_arrival(fact: DataFrame, city_code: DataFrame, climate: DataFrame
             .alias("usual_temperature")
         )
     )
+    usual = stage(usual, "climate")
     return fact.join(ports, "city_code", "left").join(usual, ["city_key", "month"], "left")

@@ -122,3 +122,16 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_arrivals_are_not_shuffled_for_the_climate(spark):
+    from spark_checks import QUERIES
+
+    plan = plan_of(QUERIES["climate_join"](spark, SMALL))
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hash" not in plan
+
+
+def test_orphan_rows_are_not_shuffled(spark, lineitem):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").filter("o_orderstatus <> 'F'")
+    plan = plan_of(op.orphan_rows(lineitem, orders, ["l_orderkey"], ["o_orderkey"]))
+    assert "BroadcastHashJoin" in plan and "Exchange hash" not in plan
