@@ -130,7 +130,7 @@ def mart_qc_report(spark, sf_dir) -> DataFrame:
     )
     states = nation_codes(spark, sf_dir, "state")
     tables = {"city_code": cities, "state_code": states}
-    return check_table(built.read(spark), FACT_IMMIGRATION, tables)
+    return check_table(built.read(spark), FACT_IMMIGRATION, tables, built.written_schema(spark))
 
 
 def dictionary_live(spark, sf_dir) -> DataFrame:

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
@@ -38,6 +38,14 @@ class Built:
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, schema=self.contract.schema)
 
+    def written_schema(self, spark: SparkSession) -> StructType:
+        """The types found in the files; a partition column is text in a path and has the contract's."""
+        by_path = self.contract.partition_by
+        return StructType([
+            self.contract.schema[f.name] if f.name in by_path else f
+            for f in spark.read.parquet(self.path).schema.fields
+        ])
+
     @property
     def balanced(self) -> bool:
         gone = (
@@ -298,7 +306,10 @@ def run(
     if checks:
         for recipe in todo:
             report = report.unionByName(check_casts(sources[recipe.source], recipe, date_policy))
-        report = report.unionByName(check_mart({n: b.read(spark) for n, b in built.items()}))
+        report = report.unionByName(check_mart(
+            {n: b.read(spark) for n, b in built.items()},
+            written={n: b.written_schema(spark) for n, b in built.items()},
+        ))
     report.coalesce(1).write.mode("overwrite").parquet(f"{dst}/qc_report")
     if not keep_steps:
         remove_path(spark, folder)

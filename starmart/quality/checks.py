@@ -106,9 +106,14 @@ def failed_casts(df: DataFrame, schema: StructType) -> DataFrame:
     return _rows(df.agg(*aggregates), entries)
 
 
-def check_types(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Columns of a table whose declared type differs from the contract (1) or not (0)."""
-    drift = schema_drift(df.schema, contract.schema, df)
+def check_types(
+    df: DataFrame, contract: TableContract, written: StructType | None = None
+) -> DataFrame:
+    """Columns of a table whose type differs from the contract (1) or not (0).
+
+    ``written`` is the schema found in the files, when ``df`` was read under another.
+    """
+    drift = schema_drift(written or df.schema, contract.schema, df)
     return drift.select(
         F.lit(contract.name).alias("table_name"),
         F.lit("data_type").alias("check_name"),

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from ..contracts import CONTRACTS, TableContract
 from .checks import (
@@ -14,14 +15,16 @@ from .checks import (
 
 
 def check_table(
-    df: DataFrame, contract: TableContract, tables: Mapping[str, DataFrame] | None = None
+    df: DataFrame, contract: TableContract, tables: Mapping[str, DataFrame] | None = None,
+    written: StructType | None = None,
 ) -> DataFrame:
     """Every check the contract asks for, as one frame of report rows.
 
-    Foreign keys are checked against the parents found in ``tables``.
+    Foreign keys are checked against the parents found in ``tables``, types against the
+    schema ``written`` in the files when it is given.
     """
     parts = [
-        check_types(df, contract),
+        check_types(df, contract, written),
         check_primary_key(df, contract.name, contract.primary_key),
     ]
     if contract.not_null:
@@ -35,9 +38,11 @@ def check_table(
 
 
 def check_mart(
-    tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CONTRACTS
+    tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CONTRACTS,
+    written: Mapping[str, StructType] | None = None,
 ) -> DataFrame:
     """The report of all given tables."""
     return reduce(DataFrame.unionByName, [
-        check_table(df, contracts[name], tables) for name, df in tables.items()
+        check_table(df, contracts[name], tables, (written or {}).get(name))
+        for name, df in tables.items()
     ])

@@ -7,7 +7,7 @@ import pytest
 
 from starmart.contracts import CONTRACTS, FACT_IMMIGRATION
 from starmart.plans import RECIPES, build_labels, data_dictionary, run
-from starmart.quality import check_mart
+from starmart.quality import check_mart, check_types
 from starmart.sources import SOURCE_FILES
 
 ARRIVAL_COLUMNS = (
@@ -303,6 +303,18 @@ def test_dictionary(spark, mart):
     assert data_dictionary(spark).columns == found.columns[:-1]
 
 
+def test_type_check_looks_at_the_files(spark, tmp_path):
+    from starmart.plans import Built
+
+    spark.range(3).selectExpr("string(id) as uid", "'01' as state_code").write.partitionBy(
+        "state_code").parquet(str(tmp_path / "t"))
+    built = Built(FACT_IMMIGRATION, str(tmp_path / "t"))
+    found = built.written_schema(spark)
+    assert {f.name: f.dataType.simpleString() for f in found} == {"uid": "string", "state_code": "string"}
+    report = check_types(spark.range(1), FACT_IMMIGRATION, found).collect()
+    assert {r.column_name for r in report if r.status == "ok"} == {"state_code"}
+
+
 def test_mart_check_sees_a_damaged_table(spark, mart):
     tables = {n: b.read(spark) for n, b in mart[1].items()}
     tables["fact_immigration"] = tables["fact_immigration"].unionByName(tables["fact_immigration"])
