@@ -239,7 +239,7 @@ def test_report(spark, mart):
     assert rows_written.count() == 10
 
 
-def test_reference_order_of_cleaning_can_be_changed(spark, source, tmp_path):
+def test_the_order_of_cleaning_can_be_changed(spark, source, tmp_path):
     recipe = replace(RECIPES["fact_immigration"], cleaning=("missing", "dedupe"))
     built = run(
         spark, source, str(tmp_path), ["fact_immigration"],
