@@ -136,15 +136,17 @@ def _shared(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def encode(docs: DataFrame, path: str, *, text: str = "text", result: str = "bpe") -> DataFrame:
-    """``docs`` with a struct column of ``ids`` and the text ``decoded`` from them."""
+def encode(
+    docs: DataFrame, path: str, *, text: str = "text", result: str = "bpe", decoded: bool = True
+) -> DataFrame:
+    """``docs`` with a struct column of ``ids`` and, unless not wanted, the text ``decoded`` from them."""
     spec = _shared(docs, path)
 
     def make():
         codec = Codec(spec.value)
 
         def work(texts):
-            return [(list(ids := codec.encode(t)), codec.decode(ids)) for t in texts]
+            return [(list(ids := codec.encode(t)), codec.decode(ids) if decoded else None) for t in texts]
 
         return work
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
 from ..sinks.stage import stage
-from . import bpe, decontamination, langid, secrets, topk, warc
-from .common import held_out, table
+from . import bpe, brown, decontamination, html, langid, neardup, quality, secrets, topk, warc
+from .common import held_out, remainder, table
 
 QUERIES = {}
 ORACLES = {}
@@ -40,12 +40,42 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.captures(records))
 
 
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.digest(secrets.find_secrets(docs))
 
 
+@query
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.digest(neardup.near_duplicates(docs, shingle=4, percent=80))
+
+
+@query
+def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = brown.train(docs.where(remainder(F.col("doc_id"), 7) != 2).select("text"))
+    return brown.score(docs, model).withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
+
+
+@query
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.digest(html.extract(table(spark, sf_dir, "pages")))
+
+
 @query
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -144,3 +174,25 @@ from d left join g using (r)
 
 
 ORACLES["op4_secrets"] = _secrets_sql()
+
+ORACLES["op5_neardup"] = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[ \t-\r]+'),
+    lambda x: x <> '') as w from documents),
+s as (
+  select r, doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) end as s from d),
+c as (select s, min(doc_id) as id, min(r) as node from (select r, doc_id, list_sort(s) as s from s) where len(s) > 0 group by s),
+sh as (select node, unnest(s) as x, len(s) as n from c),
+p as (
+  select a.node as a, b.node as b from sh a join sh b on a.x = b.x and a.node < b.node
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e as (select a as u, b as v from p union all select b, a from p),
+reach as (select node as u, node as v from c union select reach.u, e.v from reach join e on reach.v = e.u),
+named as (select reach.u as node, min(c.id) as id from reach join c on c.node = reach.v group by reach.u),
+placed as (select list_sort(s.s) as s, s.doc_id, len(s.s) as n from s),
+out as (
+  select placed.doc_id, placed.n, case when placed.n = 0 then placed.doc_id else named.id end as component_id
+  from placed left join c on c.s = placed.s and placed.n > 0 left join named on named.node = c.node)
+select doc_id, n::bigint as n_shingles, component_id, doc_id is not distinct from component_id as kept from out
+"""
