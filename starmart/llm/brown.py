@@ -21,6 +21,7 @@ scored one by one. If there is nothing to learn from, all counts are 0. Other co
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +45,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over all rows of one text column."""
 
     def run(batches):
-        tally: dict[bytes, int] = {}
+        tally: Counter[bytes] = Counter()
 
         def out():
             return pa.RecordBatch.from_arrays(
@@ -53,8 +54,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for t in batch.column(0):
-                for w in tokens_of(t.as_py()):
-                    tally[w] = tally.get(w, 0) + 1
+                tally.update(tokens_of(t.as_py()))
                 if len(tally) > _FLUSH:
                     yield out()
                     tally.clear()
@@ -104,7 +104,7 @@ def _class_pairs(texts: DataFrame, units, classes, size: int) -> dict:
         for batch in batches:
             for t in batch.column(0):
                 words = tokens_of(t.as_py())
-                u = np.fromiter((place[w] for w in words), dtype=np.int64, count=len(words))
+                u = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
                 u = np.concatenate(([ends], u, [ends]))
                 c = of[u]
                 here = np.concatenate(((u[:-1] * 2) * (size + 1) + c[1:], (u[1:] * 2 + 1) * (size + 1) + c[:-1]))
@@ -219,36 +219,39 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
         emit = -np.log10(p["mass"] + ALPHA * (p["types"] + 1))
         emit = np.append(emit, 0.0)
         log_class, end_unit = p["log_class"], p["units"].size
+        ranks = {w: i for i, w in enumerate(head)}
+        counts = np.fromiter(head.values(), dtype=np.float64, count=len(head))
+        log_base, log_own = np.log10(counts + 1), np.log10(counts + ALPHA)
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
                 out = {n: [] for n in schema.names}
-
-                def add(row, word, m, doc=None, tokens=0, known=0, base=0.0, own=0.0, out=out):
-                    for n, v in zip(schema.names, (row, word, m, doc, tokens, known, base, own), strict=True):
-                        out[n].append(v)
-
                 for row, doc, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
                     words = tokens_of(t.as_py())
-                    u = np.fromiter((place[w] for w in words), dtype=np.int64, count=len(words))
+                    u = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
                     c = of[np.concatenate(([end_unit], u, [end_unit]))]
-                    own = log_class[c[:-1], c[1:]].sum() + emit[c[1:]].sum()
-                    tally: dict[bytes, int] = {}
-                    for w in words:
-                        tally[w] = tally.get(w, 0) + 1
-                    base, known = math.log10(p["ends"] + 1), int(p["ends"] > 0)
-                    for w, m in tally.items():
-                        k = head.get(w)
-                        if k is None:
-                            add(row, w, m)
-                        else:
-                            known += m
-                            base += m * math.log10(k + 1)
-                            own += m * math.log10(k + ALPHA)
-                    # no word has a space in it, so this row meets no word and lies where its number puts it
-                    add(row, b" %d" % row, 0, doc, len(words) + 1, known, base - (len(words) + 1) * whole, float(own))
-                columns = [pa.array(out["row"], pa.int64()), pa.array(out["word"], pa.binary()).cast(pa.string()), pa.array(out["m"], pa.int64()),
-                           pa.array(out["doc_id"], batch.column(1).type)]
+                    tally = Counter(words)
+                    r = np.array([ranks.get(w, -1) for w in tally], dtype=np.int64)
+                    m = np.fromiter(tally.values(), dtype=np.float64, count=len(tally))
+                    r, m = r[r >= 0], m[r >= 0]
+                    tail = [w for w in tally if w not in ranks]
+                    # no word has a space in it: this row meets no word and lies where its number puts it
+                    tail.append(b" %d" % row)
+                    n, rest = len(words) + 1, [None] * (len(tail) - 1)
+                    own = log_class[c[:-1], c[1:]].sum() + emit[c[1:]].sum() + m @ log_own[r]
+                    base = math.log10(p["ends"] + 1) + m @ log_base[r] - n * whole
+                    for name, value in (
+                        ("doc_id", doc), ("n_tokens", n), ("n_known", int(m.sum()) + (p["ends"] > 0)),
+                        ("base", float(base)), ("own", float(own)),
+                    ):
+                        out[name] += [*rest, value]
+                    out["row"] += [row] * len(tail)
+                    out["word"] += tail
+                    out["m"] += [tally.get(w, 0) for w in tail]
+                columns = [
+                    pa.array(out["row"], pa.int64()), pa.array(out["word"], pa.binary()).cast(pa.string()),
+                    pa.array(out["m"], pa.int64()), pa.array(out["doc_id"], batch.column(1).type),
+                ]
                 columns += [pa.array(out[n], pa.int64()) for n in ("n_tokens", "n_known")]
                 columns += [pa.array(out[n], pa.float64()) for n in ("base", "own")]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -27,10 +28,11 @@ from ..sinks.stage import stage
 from .common import at_most, with_column
 
 ROWS = 20_000
-WORDS = 20_000
+WORDS = 50_000
 GRAMS = 10_000
 LONGEST = 4
 EVIDENCE = 20
+MEMO = 300_000
 UNKNOWN = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 _RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -48,40 +50,62 @@ class Model:
     def __init__(self, langs: list[str], docs: list[int], words: list, grams: list, totals: dict) -> None:
         self.langs = langs
         place = {g: i for i, g in enumerate(langs)}
-        self.prior = [math.log(n / sum(docs)) for n in docs]
-        self.words: dict[str, list[float]] = {}
+        self.prior = np.log([n / sum(docs) for n in docs]) if docs else np.empty(0)
+        self.words: dict[str, int] = {}
         self.grams: list[dict[str, list[float]]] = [{} for _ in range(LONGEST + 1)]
+        rows: list[list[float]] = []
         base = [math.log(0.5 / (totals[g, 0] + 1)) for g in langs]
         for lang, word, n in words:
-            self.words.setdefault(word, base.copy())[place[lang]] = math.log(n / (totals[lang, 0] + 1))
+            at = self.words.setdefault(word, len(rows))
+            if at == len(rows):
+                rows.append(base.copy())
+            rows[at][place[lang]] = math.log(n / (totals[lang, 0] + 1))
+        self.table = np.array(rows).reshape(len(rows), len(langs))
         for lang, size, gram, n in grams:
             low = [math.log(0.5 / (totals.get((g, size), 0) + 1)) for g in langs]
             self.grams[size].setdefault(gram, low)[place[lang]] = math.log(n / (totals[lang, size] + 1))
 
-    def word(self, word: str) -> list[float] | None:
-        got = self.words.get(word)
-        if got is not None:
-            return got
+    def backed_off(self, word: str) -> list[float] | None:
+        """Scores of an unseen word by its longest known n-grams."""
         for n in range(LONGEST, 0, -1):
-            known = [x for g in grams_of(word, n) if (x := self.grams[n].get(g)) is not None]
+            get = self.grams[n].get
+            known = [x for g in grams_of(word, n) if (x := get(g)) is not None]
             if known:
-                return [sum(x) / len(known) for x in zip(*known, strict=True)]
+                return [x / len(known) for x in map(sum, zip(*known, strict=True))]
         return None
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+
+class Predictor:
+    """A model with the words met so far; at most ``MEMO`` unseen ones are remembered."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.memo = model, {}
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        model, memo = self.model, self.memo
         counts = Counter(_LETTERS.findall(text.lower())) if text else {}
-        if not counts or not self.langs:
+        if not counts or not model.langs:
             return UNKNOWN, 0.0
-        total, seen = [0.0] * len(self.langs), 0
-        for word, n in counts.items():
-            got = self.word(word)
+        get = model.words.get
+        places = [get(w, -1) for w in counts]
+        at, n = np.array(places), np.fromiter(counts.values(), dtype=np.float64, count=len(counts))
+        seen = at >= 0
+        total, words = n[seen] @ model.table[at[seen]], n[seen].sum()
+        for w, p in zip(counts, places, strict=True):
+            if p >= 0:
+                continue
+            got = memo.get(w, memo)
+            if got is memo:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                got = model.backed_off(w)
+                memo[w] = got = None if got is None else np.array(got)
             if got is not None:
-                seen += n
-                total = [t + n * x for t, x in zip(total, got, strict=True)]
-        scale = min(1.0, EVIDENCE / seen) if seen else 0.0
-        sums = [t * scale + p for t, p in zip(total, self.prior, strict=True)]
-        best = max(range(len(sums)), key=lambda i: (sums[i], -i))
-        return self.langs[best], 1 / sum(math.exp(s - sums[best]) for s in sums)
+                words += counts[w]
+                total = total + counts[w] * got
+        sums = total * (min(1.0, EVIDENCE / words) if words else 0.0) + model.prior
+        best = int(sums.argmax())  # the first of equals, and langs are sorted
+        return model.langs[best], float(1 / np.exp(sums - sums[best]).sum())
 
 
 def _pieces(marked: Column, size: int) -> Column:
@@ -131,7 +155,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", result: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        learned = shared.value
-        return lambda texts: [learned.predict(t) for t in texts]
+        one = Predictor(shared.value)
+        return lambda texts: [one(t) for t in texts]
 
     return with_column(docs, result, _RESULT, make, text)

@@ -15,6 +15,7 @@ Other columns are handed through; one with the name of the result is replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,11 +49,9 @@ def statistics(text: str | None) -> tuple[float, ...]:
     n, total = len(raw), len(words)
     count = np.bincount(np.frombuffer(raw, dtype=np.uint8), minlength=256)
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    tally: dict[bytes, int] = {}
-    for w in words:
-        tally[w] = tally.get(w, 0) + 1
-    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    loud = sum(w.isupper() and len(w) > 2 for w in tally for _ in range(tally[w]))
+    tally = Counter(words)
+    again = sum(map(bytes.__eq__, words, words[1:]))
+    loud = sum(k for w, k in tally.items() if len(w) > 2 and w.isupper())
     marked = sum(k for w, k in tally.items() if w[-1] in _NOISE)
     capital = sum(k for w, k in tally.items() if w[:1].isupper())
     seen: dict[bytes, int] = {}
