@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..sinks.stage import stage
 
 UNITS, TAILS, CLASSES, ROUNDS = 16_000, 1_024, 32, 3
-HEAD = 100_000
+HEAD = 200_000
 ALPHA, BETA = 0.5, 4.0
 _FLUSH = 400_000
 
@@ -95,29 +95,45 @@ class _Memo(dict):
         return got
 
 
-def _class_pairs(texts: DataFrame, units, classes, size: int) -> dict:
-    """Counts of (unit, side, class): side 0 what follows the unit, side 1 what precedes it."""
+def unit_ids(texts: DataFrame, units) -> DataFrame:
+    """(u): the units of each text's words and the end unit, stored once for all rounds."""
+
     def run(batches):
-        place, of = _Memo(units.value), np.append(classes.value, size)
-        ends = units.value.size  # the unit of text ends
-        table = np.zeros((units.value.size + 1) * 2 * (size + 1), dtype=np.int64)
+        place, ends = _Memo(units.value), units.value.size
         for batch in batches:
-            for t in batch.column(0):
-                words = tokens_of(t.as_py())
-                u = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
-                u = np.concatenate(([ends], u, [ends]))
-                c = of[u]
-                here = np.concatenate(((u[:-1] * 2) * (size + 1) + c[1:], (u[1:] * 2 + 1) * (size + 1) + c[:-1]))
-                if len(here) > 4096:
-                    table += np.bincount(here, minlength=len(table))
-                else:
-                    np.add.at(table, here, 1)
+            for start in range(0, batch.num_rows, 256):
+                found = []
+                for t in batch.column(0).slice(start, 256):
+                    words = tokens_of(t.as_py())
+                    u = np.empty(len(words) + 1, dtype=np.int32)
+                    u[:-1] = np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words))
+                    u[-1] = ends
+                    found.append(u)
+                offsets = np.cumsum([0, *map(len, found)])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([lists], names=["u"])
+
+    return stage(texts.mapInArrow(run, "u array<int>"), "unit-ids")
+
+
+def _class_pairs(ids: DataFrame, units: int, classes, size: int) -> np.ndarray:
+    """Counts by unit, side and class: side 0 what follows the unit, side 1 what precedes it."""
+
+    def run(batches):
+        of = np.append(classes.value, size)
+        table = np.zeros((units + 1) * 2 * (size + 1), dtype=np.int64)
+        for batch in batches:
+            # every text ends in the end unit, which is also what stands before the next one
+            u = np.concatenate(([units], batch.column(0).flatten().to_numpy().astype(np.int64)))
+            c = of[u]
+            here = np.concatenate(((u[:-1] * 2) * (size + 1) + c[1:], (u[1:] * 2 + 1) * (size + 1) + c[:-1]))
+            table += np.bincount(here, minlength=len(table))
         cells = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["cell", "n"])
 
     # at most (units + 1) * 2 * (classes + 1) rows, whatever the number of texts
-    found = texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((units.value.size + 1) * 2 * (size + 1))
+    found = ids.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((units + 1) * 2 * (size + 1))
     table[found["cell"].to_numpy()] = found["n"].to_numpy()
     return table.reshape(-1, 2, size + 1)
 
@@ -166,14 +182,15 @@ def train(texts: DataFrame, *, units: int = UNITS, head: int = HEAD, size: int =
     ranked = [w.encode() for w in top["word"].to_pylist()]
     known = Units(ranked[:units])
     sent = spark.sparkContext.broadcast(known)
+    ids = unit_ids(texts, sent)
     classes = np.arange(known.size) % size
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(classes)
-        context = _class_pairs(texts, sent, shared, size)
+        context = _class_pairs(ids, known.size, shared, size)
         classes = exchange(context, classes, size)
     # pairs of the last classes: a unit's followers are counted under its class
     shared = spark.sparkContext.broadcast(classes)
-    context = _class_pairs(texts, sent, shared, size)
+    context = _class_pairs(ids, known.size, shared, size)
     of = np.append(classes, size)
     pairs = np.zeros((size + 1, size + 1))
     np.add.at(pairs, of, context[:, 0])

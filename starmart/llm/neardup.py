@@ -110,24 +110,28 @@ def signatures(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     return rows.mapInArrow(run, _SIGNED)
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(key, node): the tables' keys that at least two classes have."""
-    bands = classes.select("node", F.posexplode("bands").alias("band", "value"))
-    shared = stage(bands.groupBy("band", "value").agg(F.count("*").alias("k")).where("k > 1").drop("k"), "shared-bands")
-    held = bands.join(shared, ["band", "value"], "left_semi").groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("band", "value"))).alias("b")
-    ).where(F.size("b") > 1)
-    # all i < j, by the places in the shortened list
+def _buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, node, pivot) of the tables' keys that at least two classes have, and (band, node) of shared bands.
+
+    The pivot of a bucket is its class whose bands are shared most: where texts were varied from one original,
+    that is the original, to which all are closer than to each other.
+    """
+    bands = classes.select("node", F.posexplode("bands").alias("place", "value"))
+    bands = bands.select("node", F.xxhash64("place", "value").alias("band"))
+    shared = stage(bands.groupBy("band").agg(F.count("*").alias("k")).where("k > 1"), "shared-bands")
+    held = stage(bands.join(shared, "band"), "held-bands")
+    lists = held.groupBy("node").agg(F.array_sort(F.collect_list("band")).alias("b"), F.sum("k").alias("known"))
+    lists = lists.where(F.size("b") > 1)
     pairs = F.flatten(F.transform(
         F.sequence(F.lit(1), F.size("b") - 1),
-        lambda i: F.transform(
-            F.slice("b", i + 1, F.size("b")), lambda y: F.xxhash64(F.element_at("b", i), y)
-        ),
+        lambda i: F.transform(F.slice("b", i + 1, F.size("b")), lambda y: F.xxhash64(F.element_at("b", i), y)),
     ))
-    rows = stage(held.select("node", F.explode(pairs).alias("key")), "band-pairs")
-    many = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    many = stage(many.select("key", "pivot"), "shared-pairs")
-    return stage(rows.join(many, "key"), "buckets")
+    rows = stage(lists.select("node", "known", F.explode(pairs).alias("key")), "band-pairs")
+    many = rows.groupBy("key").agg(F.count("*").alias("k"), F.max("known").alias("known")).where("k > 1").drop("k")
+    many = stage(many, "shared-pairs")
+    buckets = stage(rows.join(many.withColumnRenamed("known", "most"), "key"), "buckets")
+    pivots = buckets.where("known = most").groupBy("key").agg(F.min("node").alias("pivot"))
+    return stage(buckets.select("key", "node").join(stage(pivots, "pivots"), "key"), "pivoted"), held.select("band", "node")
 
 
 def _sets(docs: DataFrame, text: str, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -211,7 +215,7 @@ def near_duplicates(
         F.array(*(f"b{i}" for i in range(BANDS))).alias("bands"),
     )
     classes = stage(classes, "classes")  # numbers are fixed from here on
-    buckets = _buckets(classes.select("node", "bands"))
+    buckets, held = _buckets(classes.select("node", "bands"))
     sizes = classes.select("node", "n")
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -224,14 +228,17 @@ def near_duplicates(
     stars = stage(sized(stars), "star-pairs")
     touched = buckets.select("node").distinct().join(classes.select("node", "text_key"), "node")
     sets = _sets(docs, text, touched, shingle)
-    first = stage(stars.groupBy("b").agg(F.min("a").alias("a"), F.max("nb").alias("nb")), "first-pairs")
+    # most of a class's buckets have one pivot: that pair first
+    often = buckets.where("node <> pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("k"))
+    often = often.join(stars, ["a", "b"]).groupBy("b").agg(F.max(F.struct("k", "a", "nb")).alias("m"))
+    first = stage(often.select("m.a", "b", "m.nb"), "first-pairs")
     links = _verified(first, sets, percent, "links-first")
     if not stars.isEmpty():
         place = stage(_labelled(sizes, links).select("node", "component"), "places")
         apart = _apart(stars, place)
         links = links.unionByName(_verified(apart, sets, percent, "links-stars"))
         place = stage(_labelled(sizes, links).select("node", "component"), "places")
-        rest = _across(buckets, place)
+        rest = _across(held, place.join(sizes, "node"), sets, percent)
         more = _verified(stage(sized(rest), "across-pairs"), sets, percent, "links-across")
         links = links.unionByName(more)
     placed = _labelled(classes.select("node", "digest", "id"), links)
@@ -252,18 +259,36 @@ def _apart(pairs: DataFrame, place: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where("ca <> cb").drop("ca", "cb")
 
 
-def _across(buckets: DataFrame, place: DataFrame) -> DataFrame:
-    """(a, b): in buckets of several components, classes outside the largest one with those of others."""
-    rows = stage(buckets.select("key", "node").join(place, "node"), "bucket-places")
-    counted = rows.groupBy("key", "component").agg(F.count("*").alias("k"))
-    mixed = counted.groupBy("key").agg(
-        F.count("*").alias("parts"), F.max(F.struct("k", "component")).alias("top")
-    ).where("parts > 1").select("key", F.col("top.component").alias("largest"))
-    mixed = stage(mixed, "mixed-buckets")
-    rows = stage(rows.join(mixed, "key"), "mixed-rows")
-    few = rows.where("component <> largest").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    met = few.join(rows, "key").where("ca <> component").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-    return met.distinct()
+def _across(held: DataFrame, place: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different components that share two bands and can be similar enough.
+
+    Where a band joins several components, the classes outside its largest one meet those of other components. Of
+    a set only the shingles that a second set of such bands has can be in an intersection, which bounds the
+    similarity of a pair, and of a class with all others of a band, before any two sets are compared.
+    """
+    rows = stage(held.join(place, "node"), "band-places")
+    counted = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
+    mixed = counted.groupBy("band").agg(F.count("*").alias("parts"), F.max(F.struct("k", "component")).alias("top"))
+    mixed = stage(mixed.where("parts > 1").select("band", F.col("top.component").alias("largest")), "mixed-bands")
+    rows = stage(rows.join(mixed, "band"), "mixed-rows")
+    shingles = sets.join(rows.select("node").distinct(), "node", "left_semi").select("node", F.explode("s").alias("x"))
+    known = stage(shingles.groupBy("x").agg(F.count("*").alias("k")).where("k > 1").select("x"), "known-shingles")
+    common = stage(shingles.join(known, "x", "left_semi").groupBy("node").agg(F.count("*").alias("c")), "known-counts")
+    rows = stage(rows.join(common, "node"), "counted-rows")
+    limits = stage(rows.groupBy("band").agg(F.min("n").alias("low"), F.max("c").alias("top")), "band-limits")
+    most = F.least("c", "top")
+    rows = rows.join(limits, "band").where(most * 100 >= (F.col("n") + F.greatest("low", most) - most) * percent)
+    rows = stage(rows.drop("low", "top"), "possible-rows")
+    few = rows.where("component <> largest").select(
+        "band", "largest", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("c").alias("cc")
+    )
+    # two classes that are both outside the largest component meet twice; the smaller one asks
+    ask = (F.col("ca") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
+    most = F.least("c", "cc")
+    ask = ask & (most * 100 >= (F.col("n") + F.col("na") - most) * percent)
+    met = few.join(rows.drop("largest"), "band").where(ask)
+    pairs = met.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.count("*").alias("k"))
+    return pairs.where("k > 1").select("a", "b")
 
 
 def digest(found: DataFrame) -> DataFrame:
