@@ -62,7 +62,7 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS_SQL = """
 arrivals as (
   select
-    case when l_quantity <> 50 then cast(l_orderkey * 10 + l_linenumber as int) end as uid,
+    case when l_quantity <> 50 then cast(l_orderkey * 10 + l_linenumber as bigint) end as uid,
     cast(year(l_shipdate) as int) as year,
     cast(month(l_shipdate) as int) as month,
     'S' || l_suppkey as city_code,

@@ -46,6 +46,37 @@ def mart_fact_quarantine(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(built.quarantine)
 
 
+def _wide_arrivals(spark, sf_dir) -> DataFrame:
+    """Arrivals whose keys are beyond 32 bits, text, fractions and missing as well as plain."""
+    number = F.col("cicid").cast("decimal(20,1)").cast("bigint")
+    kind = F.pmod(number, F.lit(7))
+    key = (
+        F.when(kind == 0, F.concat(F.lit("K"), number.cast("string")))
+        .when(kind == 1, F.concat(number.cast("string"), F.lit(".5")))
+        .when(kind == 2, (number + 3_000_000_000).cast("string"))
+        .when(kind == 3, F.concat((number + 9_000_000_000_000_000).cast("string"), F.lit(".0")))
+        .otherwise(F.col("cicid"))
+    )
+    return arrivals(spark, sf_dir).withColumn("cicid", key)
+
+
+def mart_fact_wide_keys(spark, sf_dir) -> DataFrame:
+    """The fact's keys, row by row, and the keys set apart."""
+    built, _ = _build(spark, sf_dir, "fact_immigration", "immigration", _wide_arrivals(spark, sf_dir))
+    kept = built.read(spark).select("immigration_id", F.col("uid").cast("string").alias("key"), "visa")
+    apart = spark.read.parquet(built.bad_keys).select(
+        F.lit(None).cast("bigint").alias("immigration_id"), F.col("uid").alias("key"), "visa"
+    )
+    return kept.unionByName(apart)
+
+
+def mart_fact_wide_counts(spark, sf_dir) -> DataFrame:
+    """What became of rows with such keys; every distinct number is written or counted as missing."""
+    built, _ = _build(spark, sf_dir, "fact_immigration", "immigration", _wide_arrivals(spark, sf_dir))
+    rows = [(step, n) for step, n in built.counts.items()] + [("balanced", int(built.balanced))]
+    return spark.createDataFrame(rows, "step string, n bigint")
+
+
 def mart_fact_parquet_sparse(spark, sf_dir) -> DataFrame:
     """The same table from a Parquet source with sparse ids: the ids are unique."""
     path = new_path(spark, "arrivals")
@@ -182,7 +213,7 @@ def vertical_split(spark, sf_dir) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_personal,
+        mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_personal,
         mart_airline, mart_temperature, mart_temperature_by_date, mart_demography,
         mart_demography_stats, mart_airport, mart_whole, mart_declared, mart_qc_report, dictionary_live,
         vertical_split,
@@ -214,12 +245,30 @@ _TEMPERATURE = """
   from survivors where dt is not null and city is not null"""
 
 _FACT_COLUMNS = [
-    ("immigration_id", "bigint"), ("uid", "int"), ("year", "int"), ("month", "int"),
+    ("immigration_id", "bigint"), ("uid", "bigint"), ("year", "int"), ("month", "int"),
     ("city_code", "string"), ("state_code", "string"), ("arrive_date", "date"),
     ("departure_date", "date"), ("mode", "int"), ("visa", "int"), ("country", "string"),
 ]
 
+_WIDE = _FACT.replace(
+    "arrivals as (", "given as (", 1
+).replace(
+    "survivors as (", """keyed as (
+  select *, case uid % 7 when 0 then 'K' || uid when 1 then uid || '.5' when 2 then (uid + 3000000000)::varchar
+    when 3 then (uid + 9000000000000000)::varchar else uid::varchar end as k from given),
+bad as (select k, visa from keyed where uid % 7 in (0, 1)),
+arrivals as (select * exclude (k) replace (try_cast(k as bigint) as uid) from keyed where uid is null or uid % 7 not in (0, 1)),
+survivors as (""", 1
+)
+
 ORACLES = {
+    "mart_fact_wide_keys": f"""{_WIDE}
+select immigration_id, uid::varchar as key, visa from fact union all select null, k, visa from bad""",
+    "mart_fact_wide_counts": f"""{_WIDE},
+c as (select (select count(*) from given) as n_in, (select count(*) from bad) as n_bad, (select count(*) from survivors) as n_keys,
+  (select count(*) from fact) as n_out)
+select r.step, r.n::bigint as n from c, lateral (values ('read', n_in), ('filtered', 0), ('bad_keys', n_bad),
+  ('missing', n_keys - n_out), ('removed', n_in - n_bad - n_keys), ('bad_dates', 0), ('written', n_out), ('balanced', 1)) as r(step, n)""",
     "mart_fact": f"{_FACT} select * from fact",
     "mart_fact_counts": f"""{_FACT},
 counts as (
@@ -232,7 +281,7 @@ counts as (
 select 'fact_immigration' as table_name, r.check_name, r.column_name, r.value, 'ok' as status
 from counts, lateral (values
   ('rows', 'read', n_in), ('rows', 'filtered', 0), ('rows', 'missing', m1 + m2 + m3),
-  ('rows', 'removed', n_in - n_keys), ('rows', 'bad_dates', 0), ('rows', 'written', n_out),
+  ('rows', 'removed', n_in - n_keys), ('rows', 'bad_keys', 0), ('rows', 'bad_dates', 0), ('rows', 'written', n_out),
   ('missing', 'uid', m1), ('missing', 'arrive_date', m2), ('missing', 'visa', m3),
   ('row_balance', '', 0)) as r(check_name, column_name, value)""",
     "mart_fact_quarantine": f"""{_FACT}

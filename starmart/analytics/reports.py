@@ -10,7 +10,7 @@ from ..operators.joins import code_text, lookup
 
 def primary_destinations(fact: DataFrame, state_code: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` states with the most arrivals: (state_code, state, n_arrivals)."""
-    counted = fact.groupBy("state_code").agg(F.count(F.lit(1)).alias("n_arrivals"))
+    counted = fact.where(F.col("state_code").isNotNull()).groupBy("state_code").agg(F.count(F.lit(1)).alias("n_arrivals"))
     return (
         lookup(counted, state_code, "state_code", "state", "state")
         .select("state_code", "state", "n_arrivals")

@@ -56,7 +56,7 @@ FACT_IMMIGRATION = _contract(
     "fact_immigration",
     [
         ("immigration_id", _LONG, "Surrogate id of the arrival", "0"),
-        ("uid", _INT, "Arrival record number", "4084316"),
+        ("uid", _LONG, "Arrival record number", "4084316"),
         ("year", _INT, "Year of arrival", "2016"),
         ("month", _INT, "Month of arrival, 1 to 12", "4"),
         ("city_code", _TEXT, "Code of the port of entry", "SFR"),
@@ -81,7 +81,7 @@ DIM_IMMIGRATION_PERSONAL = _contract(
     "dim_immigration_personal",
     [
         ("immi_personal_id", _LONG, "Surrogate id of the person record", "0"),
-        ("uid", _INT, "Arrival record number", "4084316"),
+        ("uid", _LONG, "Arrival record number", "4084316"),
         ("citizen_country", _INT, "Country code of citizenship", "209"),
         ("residence_country", _INT, "Country code of residence", "209"),
         ("birth_year", _INT, "Year of birth", "1955"),
@@ -98,7 +98,7 @@ DIM_IMMIGRATION_AIRLINE = _contract(
     "dim_immigration_airline",
     [
         ("immi_airline_id", _LONG, "Surrogate id of the flight record", "0"),
-        ("uid", _INT, "Arrival record number", "4084316"),
+        ("uid", _LONG, "Arrival record number", "4084316"),
         ("airline", _TEXT, "Airline code", "JL"),
         ("admission_num", _LONG, "Admission number", "56582674633"),
         ("flight_number", _TEXT, "Flight number", "00782"),

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructType
 
 from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
@@ -34,6 +34,7 @@ class Built:
     counts: dict[str, int] = field(default_factory=dict)
     missing: dict[str, int] = field(default_factory=dict)
     quarantine: str | None = None
+    bad_keys: str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, schema=self.contract.schema)
@@ -48,10 +49,7 @@ class Built:
 
     @property
     def balanced(self) -> bool:
-        gone = (
-            self.counts["filtered"] + self.counts["removed"]
-            + self.counts["missing"] + self.counts["bad_dates"]
-        )
+        gone = sum(n for step, n in self.counts.items() if step not in ("read", "written"))
         return self.counts["read"] - gone == self.counts["written"]
 
     def report_rows(self) -> list[tuple]:
@@ -88,6 +86,33 @@ def typed_columns(
     return typed.withColumns({c: day_number_to_date(c) for c in recipe.sas_dates})
 
 
+def _is_bad_key(raw: Column, found: DataType, typed: Column) -> Column:
+    """A key that is present but not held by the column's type without loss; blank text is a missing one."""
+    present = F.trim(raw) != "" if isinstance(found, StringType) else raw.isNotNull()
+    exact = raw.try_cast("decimal(38,10)")
+    return F.coalesce(present & (typed.isNull() | (exact != typed.cast("decimal(38,10)"))), F.lit(False))
+
+
+def split_bad_keys(df: DataFrame, recipe: Recipe, date_policy: str) -> tuple[DataFrame, DataFrame | None]:
+    """The typed rows, and apart from them those whose key is no number of its type, with the key as text.
+
+    Without this all such rows would share the key NULL, and one of them would stand for all.
+    """
+    numbers = {
+        name: source for source, name in recipe.columns.items()
+        if name in recipe.key and isinstance(recipe.contract.type_of(name), (IntegerType, LongType))
+    }
+    if not numbers:
+        return typed_columns(recipe, df, date_policy), None
+    both = typed_columns(recipe, df, date_policy, keep_raw=True)
+    bad = F.lit(False)
+    for name, source in numbers.items():
+        bad = bad | _is_bad_key(F.col(f"raw_{name}"), df.schema[source].dataType, F.col(name))
+    names = list(recipe.columns.values())
+    shown = [F.col(f"raw_{n}").cast("string").alias(n) if n in numbers else F.col(n) for n in names]
+    return both.filter(~bad).select(*names), both.filter(bad).select(*shown)
+
+
 def check_casts(df: DataFrame, recipe: Recipe, date_policy: str = "lenient") -> DataFrame:
     """Report rows: source values per column that its contract type cannot hold. One scan."""
     both = typed_columns(recipe, df, date_policy, keep_raw=True)
@@ -149,17 +174,18 @@ def build_table(
     spark = df.sparkSession
     counts = built.counts
     counts["read"] = df.count()
-    rows = typed_columns(recipe, df, date_policy)
+    rows, bad_rows = split_bad_keys(df, recipe, date_policy)
     if recipe.only:
         column, values = recipe.only
         rows = rows.filter(F.col(column).isin(*values))
+        bad_rows = bad_rows.filter(F.col(column).isin(*values)) if bad_rows is not None else None
+    counts["bad_keys"] = bad_rows.count() if bad_rows is not None else 0
 
     missing_first = recipe.cleaning[0] == "missing"
-    rejected = None
     if missing_first or recipe.only:
         # one pass over the critical columns
         first = rows.agg(F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)).first()
-        counts["filtered"] = counts["read"] - first["__n"]
+        counts["filtered"] = counts["read"] - counts["bad_keys"] - first["__n"]
     else:
         counts["filtered"] = 0
     if missing_first:
@@ -180,7 +206,7 @@ def build_table(
         built.missing = {c: after[c] for c in recipe.critical}
         rejected = staged.filter(~F.col(_OK))
     counts["missing"] = sum(built.missing.values())
-    entered = counts["read"] - counts["filtered"] - (counts["missing"] if missing_first else 0)
+    entered = counts["read"] - counts["bad_keys"] - counts["filtered"] - (counts["missing"] if missing_first else 0)
     counts["removed"] = entered - after["__n"]
 
     if contract.id_column:
@@ -198,9 +224,13 @@ def build_table(
     write_table(finished.select(*contract.columns), path, contract.partition_by)
     counts["written"] = built.read(spark).count()
 
-    if quarantine and counts["missing"] + counts["bad_dates"]:
+    if quarantine:
+        # written even when empty, so that nothing of an earlier run stays behind
         rejected.select(*recipe.columns.values()).write.mode("overwrite").parquet(quarantine)
         built.quarantine = quarantine
+        if bad_rows is not None:
+            built.bad_keys = f"{quarantine}_bad_keys"
+            bad_rows.write.mode("overwrite").parquet(built.bad_keys)
     return built
 
 
@@ -248,7 +278,8 @@ def run(
     other locations per source and ``formats`` other formats (``sas`` for the arrivals' binary
     files, ``parquet`` for landed ones), ``source_options`` further arguments of the reader, such
     as ``{"airport": {"null_values": ["NA"]}}``. ``countries=None`` keeps all temperatures. Rows
-    dropped for missing values go to ``dst/quarantine/<table>``; the counts and, with
+    dropped for missing values go to ``dst/quarantine/<table>``, rows whose key is present but no number
+    of its type to ``dst/quarantine/<table>_bad_keys``; the counts and, with
     ``checks``, the report of all quality checks to ``dst/qc_report``. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
     while the last tasks of one finish. The stored steps are removed when all is written, unless

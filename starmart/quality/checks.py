@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import FractionalType, StructType
 
 from ..contracts import ForeignKey, TableContract
 from ..functions import cast_failed
 from ..operators.joins import orphans
 from ..operators.quantiles import exact_quantiles
-from ..operators.rows import missing_counts
 
 
 def report_row(table: str, check: str, column: str, value: Column) -> Column:
@@ -181,10 +180,7 @@ def outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     bounds = outlier_bounds(df, column, reach)
     if bounds is None:
         return df.filter(F.lit(False))
-    return df.filter((F.col(column) < bounds[0]) | (F.col(column) > bounds[1]))
-
-
-def sequential_missing(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Report rows of the sequential missing counts."""
-    counted = df.agg(*missing_counts(columns))
-    return _rows(counted, [report_row(table, "missing", c, F.col(c)) for c in columns])
+    out = (F.col(column) < bounds[0]) | (F.col(column) > bounds[1])
+    if isinstance(df.schema[column].dataType, FractionalType):
+        out = out & ~F.isnan(F.col(column).cast("double"))  # NaN sorts above all numbers
+    return df.filter(out)

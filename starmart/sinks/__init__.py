@@ -1,10 +1,10 @@
 from .stage import stage
 from .tables import (
-    create_table_sql, preview, print_schema, refresh_partitions, spread_for, write_bucketed, write_csv,
+    create_table_sql, refresh_partitions, spread_for, write_bucketed, write_csv,
     write_table,
 )
 
 __all__ = [
-    "stage", "create_table_sql", "preview", "print_schema", "refresh_partitions", "spread_for",
+    "stage", "create_table_sql", "refresh_partitions", "spread_for",
     "write_bucketed", "write_csv", "write_table",
 ]

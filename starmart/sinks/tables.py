@@ -85,11 +85,3 @@ def create_table_sql(contract: TableContract, location: str, name: str | None =
         f"CREATE TABLE IF NOT EXISTS {name or contract.name} (\n  {columns}\n)\n"
         f"USING parquet{parts}\nLOCATION '{location}'"
     )
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
-def print_schema(df: DataFrame) -> None:
-    df.printSchema()

@@ -122,9 +122,9 @@ def test_fact(spark, mart):
         (3, 5, 2016, 5, "ABC", "XX", dt.date(1959, 12, 31), dt.date(9999, 12, 31), 1, 2, "United States"),
     ]
     built = mart[1]["fact_immigration"]
-    # the two rows without a number share the key NULL
+    # the row whose key is text is set apart before rows are compared
     assert built.counts == {
-        "read": 11, "filtered": 0, "removed": 4, "missing": 3, "bad_dates": 0, "written": 4,
+        "read": 11, "filtered": 0, "bad_keys": 1, "removed": 3, "missing": 3, "bad_dates": 0, "written": 4,
     }
     assert built.missing == {"uid": 1, "arrive_date": 1, "visa": 1}
     assert spark.read.parquet(built.quarantine).count() == 3
@@ -151,8 +151,8 @@ def test_airline(spark, mart):
     found = sorted(rows(spark, mart, "dim_immigration_airline", "immi_airline_id", "uid", "admission_num"))
     assert found == [(0, 1, 56582674633), (1, 2, 5), (2, 3, 7), (3, 4, 8), (4, 5, 9), (5, 6, 10)]
     built = mart[1]["dim_immigration_airline"]
-    # missing values go first: no number for two rows, no admission number for one copy
-    assert built.missing == {"uid": 2, "admission_num": 1}
+    # missing values go first: no number for one row, no admission number for one copy; a text number is apart
+    assert built.missing == {"uid": 1, "admission_num": 1} and built.counts["bad_keys"] == 1
     assert (built.counts["missing"], built.counts["removed"]) == (3, 2)
     assert spark.read.parquet(built.quarantine).count() == 3
 
@@ -246,7 +246,7 @@ def test_the_order_of_cleaning_can_be_changed(spark, source, tmp_path):
         recipes=RECIPES | {"fact_immigration": recipe}, checks=False,
     )["fact_immigration"]
     assert sorted(r.uid for r in built.read(spark).collect()) == [1, 2, 3, 5]
-    assert built.missing == {"uid": 2, "arrive_date": 2, "visa": 1}
+    assert built.missing == {"uid": 1, "arrive_date": 2, "visa": 1} and built.balanced
 
 
 def test_strict_dates_drop_pointed_text(spark, source, tmp_path):
@@ -380,3 +380,23 @@ def test_missing_words_of_a_source(spark, source, tmp_path):
         source_options={"airport": {"null_values": ["K1"]}},
     )
     assert built["dim_airport"].counts["written"] == 0
+
+
+def test_keys_that_are_no_numbers_are_all_kept_apart(spark, tmp_path):
+    header = "cicid,i94yr,i94mon,i94port,i94addr,arrdate,depdate,i94mode,i94visa\n"
+    keys = ["3000000001", "3000000002.0", "K1", "K2", "10.2", "10.9", "", "", "7"]
+    (tmp_path / "a.csv").write_text(header + "".join(f"{k},2016,4,AAA,XX,20573,20575,1,2\n" for k in keys))
+
+    def build():
+        return run(
+            spark, "", str(tmp_path / "mart"), ["fact_immigration"], paths={"immigration": str(tmp_path / "a.csv")}, checks=False
+        )["fact_immigration"]
+
+    built = build()
+    assert sorted(r.uid for r in built.read(spark).collect()) == [7, 3000000001, 3000000002]
+    assert sorted(r.uid for r in spark.read.parquet(built.bad_keys).collect()) == ["10.2", "10.9", "K1", "K2"]
+    assert built.counts["bad_keys"] == 4 and built.missing["uid"] == 1 and built.balanced
+    # a clean rerun leaves nothing of the earlier one
+    (tmp_path / "a.csv").write_text(header + "7,2016,4,AAA,XX,20573,20575,1,2\n")
+    built = build()
+    assert spark.read.parquet(built.quarantine).isEmpty() and spark.read.parquet(built.bad_keys).isEmpty()

@@ -223,12 +223,3 @@ def test_orphans_ignore_null_keys(spark):
 def test_city_of_port(spark):
     df = spark.createDataFrame([("SAMPLETOWN, XX   ",), ("No comma ",), (None,)], "c string")
     assert [r[0] for r in df.select(op.city_of_port("c")).collect()] == ["SAMPLETOWN", "NO COMMA", None]
-
-
-def test_preview_style_limit_keeps_schema(spark):
-    from starmart.sinks import preview, print_schema
-
-    df = spark.range(10)
-    assert preview(df, 3).count() == 3
-    print_schema(df)
-    assert df.select(F.lit(1)).first()[0] == 1
