@@ -60,7 +60,7 @@ def _by_length(rows: list) -> dict[int, np.ndarray]:
 
 
 def _matrix(column: pa.Array, length: int) -> np.ndarray:
-    return np.asarray(column.flatten(), dtype=np.int64).reshape(-1, length)
+    return np.asarray(column.flatten(), dtype=np.int64).reshape(len(column), length)
 
 
 def build_index(vectors: DataFrame, pivots: int = 32, partitions: int | None = None) -> tuple[DataFrame, dict]:
@@ -169,7 +169,7 @@ def search(
             q = np.array([r[2] for r in rows], dtype=np.int64).reshape(len(rows), n)
             floor = np.full(len(ids), -np.inf)
             if len(near := by_length.get(n, [])) > k:
-                s = q.astype(np.float64) @ np.array([v for _, v in near], dtype=np.float64).reshape(-1, n).T
+                s = q.astype(np.float64) @ np.array([v for _, v in near], dtype=np.float64).reshape(len(near), n).T
                 s[ids[:, None] == np.array([i for i, _ in near])[None, :]] = -np.inf
                 floor = np.sort(s, 1)[:, -k]
             sent[n] = (np.array([r[0] for r in rows]), ids, q, floor, centres.get(n, np.zeros((1, n))))
