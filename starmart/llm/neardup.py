@@ -29,6 +29,8 @@ from ..sinks.stage import stage
 SHINGLE, PERCENT = 5, 80
 BANDS, WIDTH = 18, 3
 MEMO = 300_000
+#: 64-bit words of a set's parity bits.
+PARITY_WORDS = 8
 
 _U = np.uint64
 _RNG = np.random.default_rng(20)
@@ -78,6 +80,17 @@ def band_hashes(shingles: np.ndarray) -> list[int]:
     return out.view(np.int64).tolist()
 
 
+def parity(shingles: np.ndarray) -> list[int]:
+    """A bit per slot: whether an odd number of shingles falls into it.
+
+    Each shingle that only one of two sets has turns one bit, so the bits in which two sets differ are at most
+    as many as the shingles in which they do.
+    """
+    slots = PARITY_WORDS * 64
+    odd = np.bincount((shingles % _U(slots)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 _SIGNED = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("n", T.LongType()),
     T.StructField("digest", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
@@ -135,19 +148,21 @@ def _buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _sets(docs: DataFrame, text: str, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles) of the classes in ``nodes`` (node, text_key)."""
+    """(node, shingles, parity bits) of the classes in ``nodes`` (node, text_key)."""
     texts = docs.select(text_key(F.col(text)).alias("text_key"), F.col(text).alias("t"))
     found = texts.join(nodes, "text_key").select("node", "t").dropDuplicates(["node"])
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("s", T.ArrayType(T.LongType()))])
+    numbers = T.ArrayType(T.LongType())
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("s", numbers), T.StructField("bits", numbers)])
 
     def run(batches):
         cut = Shingler(shingle)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                sets = [cut(t.as_py()).view(np.int64) for t in part.column(1)]
+                sets = [cut(t.as_py()) for t in part.column(1)]
+                columns = [[x.view(np.int64) for x in sets], [parity(x) for x in sets]]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names
+                    [part.column(0), *(pa.array(c, pa.list_(pa.int64())) for c in columns)], names=schema.names
                 )
 
     return stage(found.mapInArrow(run, schema), "shingle-sets")
@@ -168,6 +183,12 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _alike(a: Column, b: Column, total: Column, percent: int) -> Column:
+    """Parity bits of two sets of ``total`` shingles that allow the similarity."""
+    differing = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(PARITY_WORDS)), F.lit(0))
+    return differing * (100 + percent) <= total * (100 - percent)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of all nodes in ``edges`` (a, b); the component is its smallest node."""
     stars = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -264,7 +285,8 @@ def _across(held: DataFrame, place: DataFrame, sets: DataFrame, percent: int) ->
 
     Where a band joins several components, the classes outside its largest one meet those of other components. Of
     a set only the shingles that a second set of such bands has can be in an intersection, which bounds the
-    similarity of a pair, and of a class with all others of a band, before any two sets are compared.
+    similarity of a pair, and of a class with all others of a band, before any two sets are compared; so do the
+    parity bits, which tell copies changed in different places apart. Both bounds are exact: no link is lost.
     """
     rows = stage(held.join(place, "node"), "band-places")
     counted = rows.groupBy("band", "component").agg(F.count("*").alias("k"))
@@ -278,14 +300,16 @@ def _across(held: DataFrame, place: DataFrame, sets: DataFrame, percent: int) ->
     limits = stage(rows.groupBy("band").agg(F.min("n").alias("low"), F.max("c").alias("top")), "band-limits")
     most = F.least("c", "top")
     rows = rows.join(limits, "band").where(most * 100 >= (F.col("n") + F.greatest("low", most) - most) * percent)
-    rows = stage(rows.drop("low", "top"), "possible-rows")
+    rows = stage(rows.drop("low", "top").join(sets.select("node", "bits"), "node"), "possible-rows")
     few = rows.where("component <> largest").select(
-        "band", "largest", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("c").alias("cc")
+        "band", "largest", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("c").alias("cc"),
+        F.col("bits").alias("other"),
     )
     # two classes that are both outside the largest component meet twice; the smaller one asks
     ask = (F.col("ca") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
     most = F.least("c", "cc")
     ask = ask & (most * 100 >= (F.col("n") + F.col("na") - most) * percent)
+    ask = ask & _alike(F.col("bits"), F.col("other"), F.col("n") + F.col("na"), percent)
     met = few.join(rows.drop("largest"), "band").where(ask)
     pairs = met.groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).agg(F.count("*").alias("k"))
     return pairs.where("k > 1").select("a", "b")

@@ -179,6 +179,15 @@ def near_plain(rows, size, percent):
     return Counter(out)
 
 
+def test_parity_bounds_the_difference():
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 40, 5000):
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[size // 5 :], rng.integers(0, 2**63, size // 4, dtype=np.uint64)]))
+        turned = sum((x ^ y).bit_count() for x, y in zip(*(np.array(neardup.parity(s)).view(np.uint64).tolist() for s in (a, b))))
+        assert turned <= len(np.setxor1d(a, b))
+
+
 def test_near_duplicates(spark, docs):
     rng = random.Random(5)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
