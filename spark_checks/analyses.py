@@ -140,8 +140,11 @@ arrivals as (
          cast(month(o_orderdate) as int) as month, cast(c_nationkey as varchar) as state_code,
          c_nationkey + 1950 as birth_year, c_nationkey
   from orders join customer on o_custkey = c_custkey),
+counted as (select state_code, year * 12 + month - 1 as period, count(*) as n from arrivals group by all),
+spans as (select state_code, unnest(generate_series(min(period), max(period))) as period from counted group by state_code),
 monthly as (
-  select state_code, year, month, count(*) as n_arrivals from arrivals group by all)"""
+  select state_code, cast(period // 12 as int) as year, cast(period % 12 + 1 as int) as month, coalesce(n, 0) as n_arrivals
+  from spans left join counted using (state_code, period))"""
 
 
 def _climatology(years: int) -> str:

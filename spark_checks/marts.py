@@ -77,6 +77,24 @@ def mart_fact_wide_counts(spark, sf_dir) -> DataFrame:
     return spark.createDataFrame(rows, "step string, n bigint")
 
 
+def mart_fact_refresh(spark, sf_dir) -> DataFrame:
+    """Two overlapping batches, the second brought in twice: it changes a mode and moves arrivals to another state."""
+    given = arrivals(spark, sf_dir)
+    number = F.col("cicid").cast("decimal(20,1)").cast("bigint")
+    third = F.coalesce(F.pmod(number, F.lit(3)), F.lit(1))
+    moved = F.when(F.pmod(number, F.lit(6)) == 0, F.lit("ZZ")).otherwise(F.col("i94addr"))
+    first = as_csv(given.filter(third != 2), "immigration")
+    second = as_csv(given.filter(third != 1).withColumn("i94mode", F.lit("7")).withColumn("i94addr", moved), "immigration")
+    dst = new_path(spark, "mart")
+    for source, mode in ((first, "overwrite"), (second, "refresh"), (second, "refresh")):
+        built = run(spark, "", dst, tables=["fact_immigration"], paths={"immigration": source}, checks=False, mode=mode)
+    fact = built["fact_immigration"].read(spark)
+    ids = fact.agg(F.count_distinct("immigration_id").alias("n"), F.max("immigration_id").alias("top")).first()
+    return fact.drop("immigration_id").withColumns({
+        "n_ids": F.lit(ids.n).cast("bigint"), "next_id": F.lit(ids.top + 1).cast("bigint"),
+    })
+
+
 def mart_fact_parquet_sparse(spark, sf_dir) -> DataFrame:
     """The same table from a Parquet source with sparse ids: the ids are unique."""
     path = new_path(spark, "arrivals")
@@ -213,7 +231,8 @@ def vertical_split(spark, sf_dir) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_personal,
+        mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_fact_refresh,
+        mart_personal,
         mart_airline, mart_temperature, mart_temperature_by_date, mart_demography,
         mart_demography_stats, mart_airport, mart_whole, mart_declared, mart_qc_report, dictionary_live,
         vertical_split,
@@ -261,7 +280,14 @@ arrivals as (select * exclude (k) replace (try_cast(k as bigint) as uid) from ke
 survivors as (""", 1
 )
 
+_MERGED = _FACT.replace("arrivals as (", "given as (", 1).replace("survivors as (", """arrivals as (
+  select * replace (case when uid % 3 <> 1 then 7 else mode end as mode,
+                    case when uid % 6 = 0 then 'ZZ' else state_code end as state_code) from given),
+survivors as (""", 1)
+
 ORACLES = {
+    "mart_fact_refresh": f"""{_MERGED}
+select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
     "mart_fact_wide_keys": f"""{_WIDE}
 select immigration_id, uid::varchar as key, visa from fact union all select null, k, visa from bad""",
     "mart_fact_wide_counts": f"""{_WIDE},

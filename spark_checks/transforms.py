@@ -147,9 +147,6 @@ def upper_normalise(spark, sf_dir) -> DataFrame:
     )
 
 
-_EVERYTHING = 1 << 40
-
-
 def _written_lines(df: DataFrame, line, order: str) -> DataFrame:
     """Label text files with the lines in the given order, read back with their numbers."""
     path = new_path(df.sparkSession, "source-labels")
@@ -161,7 +158,7 @@ def label_parse(spark, sf_dir) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     line = F.concat(F.lit("\t'"), F.col("c_custkey"), F.lit("'\t=\t'"), F.col("c_name"), F.lit("  '  "))
     section = LabelSection(
-        "city_code", "label", 0, _EVERYTHING,
+        "city_code", "label", 0, None,
         lambda c: fn.strip_quotes(fn.strip_blank(fn.strip_tabs(c))),
         lambda c: fn.strip_quotes(fn.strip_blank(fn.strip_tabs(c))),
     )
@@ -183,7 +180,7 @@ def label_last_wins(spark, sf_dir) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     line = F.concat(F.col("c_nationkey").cast("string"), F.lit(" = '"), F.col("c_name"), F.lit("=cut'"))
     section = LabelSection(
-        "country_code", "label", 0, _EVERYTHING, fn.strip_blank,
+        "country_code", "label", 0, None, fn.strip_blank,
         lambda c: fn.strip_quotes(fn.strip_blank(c)),
     )
     return parse_labels(_written_lines(customer, line, "c_custkey"), section)
@@ -206,7 +203,7 @@ def label_line_rejects(spark, sf_dir) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     sign = F.when(F.col("c_mktsegment") == "BUILDING", " ").otherwise(" = ")
     line = F.concat(F.col("c_custkey").cast("string"), sign, F.col("c_name"))
-    section = LabelSection("country_code", "label", 0, _EVERYTHING, fn.strip_blank, fn.strip_blank)
+    section = LabelSection("country_code", "label", 0, None, fn.strip_blank, fn.strip_blank)
     return label_rejects(_written_lines(customer, line, "c_custkey"), section).select("line")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import upper_trim
 from ..operators.joins import code_text, lookup
+from ..operators.quantiles import exact_quantiles
 
 
 def primary_destinations(fact: DataFrame, state_code: DataFrame, k: int = 5) -> DataFrame:
@@ -22,16 +23,29 @@ def primary_destinations(fact: DataFrame, state_code: DataFrame, k: int = 5) ->
 def state_trend(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Arrivals per state and month with the change to the month before, and a trend per state.
 
+    Months without arrivals between a state's first and last one count as 0. Arrivals of an
+    unknown month make one row per state, have no change and are not in the slope.
     The second frame holds the slope of a straight line through the months (arrivals
     per month) and its direction. Windows run over one row per state and month.
     """
-    monthly = fact.groupBy("state_code", "year", "month").agg(F.count(F.lit(1)).alias("n_arrivals"))
-    by_state = Window.partitionBy("state_code").orderBy("year", "month")
-    monthly_change = monthly.withColumn(
-        "change", F.col("n_arrivals") - F.lag("n_arrivals").over(by_state)
+    counted = fact.groupBy("state_code", "year", "month").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("period", F.col("year") * 12 + F.col("month") - 1)
+    by_state = Window.partitionBy("state_code", F.col("period").isNull()).orderBy("period")
+    until = F.coalesce(F.lead("period").over(by_state) - 1, F.col("period"))
+    filled = counted.withColumn("until", until).select(
+        "state_code", "year", "month", "n", F.col("period").alias("first"),
+        F.explode_outer(F.sequence("period", "until")).alias("period"),
     )
-    period = (F.col("year") * 12 + F.col("month")).cast("double")
-    slope = F.regr_slope(F.col("n_arrivals").cast("double"), period)
+    given = F.col("period").isNull() | (F.col("period") == F.col("first"))
+    monthly = filled.select(
+        "state_code", "period",
+        F.when(given, F.col("year")).otherwise(F.floor(F.col("period") / 12).cast("int")).alias("year"),
+        F.when(given, F.col("month")).otherwise(F.pmod("period", F.lit(12)) + 1).alias("month"),
+        F.when(given, F.col("n")).otherwise(F.lit(0)).alias("n_arrivals"),
+    )
+    change = F.when(F.col("period").isNotNull(), F.col("n_arrivals") - F.lag("n_arrivals").over(by_state))
+    monthly_change = monthly.withColumn("change", change).drop("period")
+    slope = F.regr_slope(F.col("n_arrivals").cast("double"), F.col("period").cast("double"))
     trend = (
         monthly.groupBy("state_code")
         .agg(slope.alias("slope"), F.sum("n_arrivals").alias("n_arrivals"))
@@ -65,9 +79,9 @@ def age_bands(df: DataFrame, age: Column, band: int = 10) -> DataFrame:
 
 
 def age_quantiles(df: DataFrame, age: Column, probabilities: list[float]) -> DataFrame:
-    """Exact age quantiles; ages take few values, so the counts per value fit one task."""
-    counted = df.select(age.alias("age")).groupBy("age").agg(F.count(F.lit(1)).alias("n"))
-    return counted.agg(F.percentile("age", probabilities, F.col("n")).alias("quantiles"))
+    """Exact age quantiles, one row, whatever values the ages take."""
+    found = exact_quantiles(df.select(age.alias("age")), "age", probabilities)
+    return df.sparkSession.createDataFrame([(found,)], "quantiles array<double>")
 
 
 def climatology(temperature: DataFrame, years: int | None = None) -> DataFrame:

@@ -16,6 +16,10 @@ class ForeignKey:
     parent_columns: tuple[str, ...]
     normalised: bool = False  # compared as upper(trim()) on both sides
 
+    @property
+    def label(self) -> str:
+        return f"{','.join(self.columns)}->{self.parent}"
+
 
 @dataclass(frozen=True)
 class TableContract:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sinks.stage import stage
 
-# Distinct values that may be put in order by one task.
+# Counted values are cut until one task orders no more distinct ones than this.
 ORDERED_VALUES = 100_000
 _CUTS = 100
 
@@ -54,20 +55,18 @@ def exact_quantiles(
                 F.sum("copies").alias("n"), F.count(F.lit(1)).alias("n_values")
             ).collect()  # one row per bracket or gap
         }
-        small = {}
+        parts, places = [], {}
         for p, (first, last) in open_ranks.items():
             below, hit = _segments_of(totals, first, last)
             if len(hit) > 1 or hit[0] % 2 == 0:
                 brackets[p] = _limits(inside, hit, sketch.low, sketch.high)
-            elif totals[hit[0]].n_values <= ORDERED_VALUES:
-                small[p] = (hit[0], below, first, last)
             else:
                 part = counted.filter(F.col("segment") == hit[0])
-                part, below = _narrow(part, below, first, last)
-                found |= _values_at(part, {p: (hit[0], below, first, last)})
-        if small:
-            wanted = sorted({s for s, *_ in small.values()})
-            found |= _values_at(counted.filter(F.col("segment").isin(wanted)), small)
+                part, below = _narrow(part, totals[hit[0]].n_values, below, first, last)
+                places[p] = (len(parts), below, first, last)
+                parts.append(part.withColumn("segment", F.lit(len(parts))))
+        if parts:
+            found |= _values_at(reduce(DataFrame.unionByName, parts), places)
     out = []
     for p in probabilities:
         lower, upper = found[p]
@@ -122,21 +121,22 @@ def _limits(
     return start, stop
 
 
-def _narrow(copies: DataFrame, below: int, first: int, last: int) -> tuple[DataFrame, int]:
-    """Cut counted values at evenly spaced distinct values until few enough are left.
+def _narrow(copies: DataFrame, n_values: int, below: int, first: int, last: int) -> tuple[DataFrame, int]:
+    """Cut ``n_values`` counted values at evenly spaced distinct values until few enough are left.
 
     Spacing by distinct values shrinks the range even when one value holds most rows.
     """
-    while copies.count() > ORDERED_VALUES:
+    while n_values > ORDERED_VALUES:
         points = [i / _CUTS for i in range(1, _CUTS)]
         cuts = sorted(set(copies.agg(F.percentile_approx("v", points, 100 * _CUTS)).first()[0]))
         bucket = F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col("v")))
         totals = {
             r.bucket: r for r in copies.groupBy(bucket.alias("bucket"))
-            .agg(F.sum("copies").alias("n")).collect()  # at most _CUTS rows
+            .agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("n_values")).collect()  # at most _CUTS rows
         }
         start, hit = _segments_of(totals, first - below, last - below)
         below += start
+        n_values = sum(r.n_values for b, r in totals.items() if hit[0] <= b <= hit[-1])
         copies = copies.filter(bucket.between(hit[0], hit[-1]))
     return copies, below
 

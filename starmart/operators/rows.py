@@ -15,9 +15,10 @@ def equal_to(df: DataFrame, column: str, *values) -> DataFrame:
     return df.filter(c == F.lit(values[0]) if len(values) == 1 else c.isin(*values))
 
 
-def in_range(df: DataFrame, column: str, start: int, stop: int) -> DataFrame:
-    """Half-open range filter: ``start <= column < stop``."""
-    return df.filter((F.col(column) >= start) & (F.col(column) < stop))
+def in_range(df: DataFrame, column: str, start: int, stop: int | None = None) -> DataFrame:
+    """Half-open range filter: ``start <= column < stop``, or without an end."""
+    df = df.filter(F.col(column) >= start)
+    return df if stop is None else df.filter(F.col(column) < stop)
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
 from .dictionary import data_dictionary
-from .mart import Built, build_labels, build_table, run
+from .mart import Built, QualityError, build_labels, build_table, run
 from .recipes import RECIPES, Recipe
 
-__all__ = ["data_dictionary", "Built", "build_labels", "build_table", "run", "RECIPES", "Recipe"]
+__all__ = ["data_dictionary", "Built", "QualityError", "build_labels", "build_table", "run", "RECIPES", "Recipe"]

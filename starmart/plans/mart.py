@@ -12,19 +12,24 @@ from pyspark.sql.types import DataType, IntegerType, LongType, StringType, Struc
 from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
 from ..operators.keys import number_staged, tag_rows
-from ..operators.rows import dedupe, distinct_rows, drop_missing, missing_counts
+from ..operators.rows import dedupe, distinct_rows, drop_missing, in_range, missing_counts
 from ..quality.checks import report_row
 from ..quality.report import check_mart
-from ..session import new_path, remove_path
+from ..session import enough_partitions, new_path, path_exists, remove_path, stored_bytes
 from ..sinks.stage import stage
-from ..sinks.tables import write_table
+from ..sinks.tables import refresh_partitions, write_table
 from ..sources.files import land, read_source, read_table, source_path
 from ..sources.labels import LABEL_SECTIONS, label_rejects, parse_labels, read_lines
 from .recipes import RECIPES, Recipe
+from .refresh import merge_batch
 
 _OK = "__ok"
 
 
+class QualityError(RuntimeError):
+    """A check that a run was told to stop at has failed; the report is written."""
+
+
 @dataclass
 class Built:
     """A written table and what became of its source rows."""
@@ -159,6 +164,7 @@ def build_table(
     reject_bad_dates: bool = False,
     quarantine: str | None = None,
     folder: str | None = None,
+    refresh: bool = False,
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
@@ -167,6 +173,8 @@ def build_table(
     ids do not change, and nothing is parsed or shuffled a second time. ``dense`` ids
     need the stored copy in key order, ``sparse`` ones save that sort. Give a columnar
     ``df`` (see :func:`~starmart.sources.land`), its row count is read from the footers.
+    With ``refresh`` the rows are merged into the table found at ``path`` (see :func:`merge_batch`),
+    and ``written`` counts those of this batch.
     """
     if ids not in ("dense", "sparse"):
         raise ValueError(f"unknown kind of ids {ids!r}")
@@ -221,8 +229,11 @@ def build_table(
         counts["bad_dates"] = good.filter(bad).count()
         rejected = rejected.unionByName(good.filter(bad), allowMissingColumns=True)
         finished = drop_missing(finished, recipe.late_dates)
-    write_table(finished.select(*contract.columns), path, contract.partition_by)
-    counts["written"] = built.read(spark).count()
+    if refresh and path_exists(spark, path):
+        counts |= merge_batch(finished.select(*contract.columns), path, contract, recipe.key, folder)
+    else:
+        write_table(finished.select(*contract.columns), path, contract.partition_by)
+        counts["written"] = built.read(spark).count()
 
     if quarantine:
         # written even when empty, so that nothing of an earlier run stays behind
@@ -244,7 +255,7 @@ def build_labels(
     for name, section in sections.items():
         built = Built(CONTRACTS[name], f"{dst}/{name}")
         write_table(parse_labels(lines, section), built.path)
-        in_section = lines.filter((F.col("pos") >= section.start) & (F.col("pos") < section.stop))
+        in_section = in_range(lines, "pos", section.start, section.stop)
         n_lines, n_rejects = in_section.count(), label_rejects(lines, section).count()
         written = built.read(spark).count()
         built.counts = {
@@ -271,6 +282,8 @@ def run(
     parallel: int = 3,
     source_options: Mapping[str, Mapping] | None = None,
     keep_steps: bool = False,
+    fail_on: Iterable[str] = (),
+    mode: str = "overwrite",
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -280,11 +293,18 @@ def run(
     as ``{"airport": {"null_values": ["NA"]}}``. ``countries=None`` keeps all temperatures. Rows
     dropped for missing values go to ``dst/quarantine/<table>``, rows whose key is present but no number
     of its type to ``dst/quarantine/<table>_bad_keys``; the counts and, with
-    ``checks``, the report of all quality checks to ``dst/qc_report``. Sources and tables do not
+    ``checks``, the report of all quality checks to ``dst/qc_report``, where each table's rows
+    replace those of its last run and other tables' stay. Foreign keys are checked against tables
+    of this run or, where it does not build the parent, an earlier one. When a check named in
+    ``fail_on`` (such as ``primary_key_unique``) has failed, :class:`QualityError` is raised after that. With
+    ``mode="refresh"`` the sources are a batch that is merged into the tables at ``dst`` by key; code tables are
+    always written anew from their one file, and quarantine and report describe the batch. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
     while the last tasks of one finish. The stored steps are removed when all is written, unless
     ``keep_steps`` is set or the run fails.
     """
+    if mode not in ("overwrite", "refresh"):
+        raise ValueError(f"unknown mode {mode!r}")
     folder = new_path(spark, "run")
     dst = dst.rstrip("/")
     wanted = set(CONTRACTS) if tables is None else set(tables)
@@ -296,12 +316,15 @@ def run(
         only = ("country", tuple(countries)) if countries is not None else None
         recipes["dim_temperature"] = replace(recipes["dim_temperature"], only=only)
 
+    def location(name: str) -> str:
+        default = "immigration_sas" if name == "immigration" and formats.get(name) == "sas" else name
+        return paths.get(name) or source_path(src, default)
+
     def source(name: str) -> DataFrame:
         fmt = formats.get(name, "csv")
-        default = "immigration_sas" if name == "immigration" and fmt == "sas" else name
         options = {"sep": ";"} if name == "demography" and fmt == "csv" else {}
         options |= (source_options or {}).get(name, {})
-        df = read_source(spark, paths.get(name) or source_path(src, default), fmt, **options)
+        df = read_source(spark, location(name), fmt, **options)
         used = list(dict.fromkeys(c for r in todo if r.source == name for c in r.columns))
         absent = [c for c in used if c not in df.columns]
         if absent:
@@ -320,12 +343,13 @@ def run(
     def table(recipe: Recipe) -> Built:
         return build_table(
             sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
-            reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder,
+            reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder, mode == "refresh",
         )
 
-    with ThreadPoolExecutor(parallel) as pool:
+    names = list(dict.fromkeys(r.source for r in todo))
+    size = sum(stored_bytes(spark, location(n)) for n in names)
+    with enough_partitions(spark, size), ThreadPoolExecutor(parallel) as pool:
         code_tables = pool.submit(labels)
-        names = list(dict.fromkeys(r.source for r in todo))
         sources = dict(zip(names, pool.map(source, names)))
         made = dict(zip([r.name for r in todo], pool.map(table, todo))) | code_tables.result()
     built = {name: made[name] for name in CONTRACTS if name in made}
@@ -340,8 +364,19 @@ def run(
         report = report.unionByName(check_mart(
             {n: b.read(spark) for n, b in built.items()},
             written={n: b.written_schema(spark) for n, b in built.items()},
+            parents={
+                n: read_table(spark, f"{dst}/{n}", schema=c.schema)
+                for n, c in CONTRACTS.items() if n not in built and path_exists(spark, f"{dst}/{n}")
+            },
         ))
-    report.coalesce(1).write.mode("overwrite").parquet(f"{dst}/qc_report")
+    refresh_partitions(report.coalesce(1), f"{dst}/qc_report", ["table_name"])
     if not keep_steps:
         remove_path(spark, folder)
+    if fail_on := list(fail_on):
+        found = spark.read.parquet(f"{dst}/qc_report").filter(
+            F.col("table_name").isin(*built) & F.col("check_name").isin(*fail_on) & (F.col("status") == "failed")
+        )
+        failed = found.sort("table_name", "check_name", "column_name").collect()  # at most one row per check
+        if failed:
+            raise QualityError("; ".join(f"{r.table_name}: {r.check_name} {r.column_name} ({r.value})" for r in failed))
     return built

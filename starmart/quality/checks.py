@@ -71,8 +71,7 @@ def check_foreign_key(
         child, parent, foreign_key.columns, foreign_key.parent_columns, foreign_key.normalised
     )
     counted = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
-    name = f"{','.join(foreign_key.columns)}->{foreign_key.parent}"
-    return _rows(counted, [report_row(table, "foreign_key", name, F.col("n"))])
+    return _rows(counted, [report_row(table, "foreign_key", foreign_key.label, F.col("n"))])
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

@@ -20,8 +20,9 @@ def check_table(
 ) -> DataFrame:
     """Every check the contract asks for, as one frame of report rows.
 
-    Foreign keys are checked against the parents found in ``tables``, types against the
-    schema ``written`` in the files when it is given.
+    Foreign keys are checked against the parents found in ``tables``; a key whose parent is
+    absent has a row with status ``skipped``. Types are checked against the schema ``written``
+    in the files when it is given.
     """
     parts = [
         check_types(df, contract, written),
@@ -34,15 +35,19 @@ def check_table(
         parent = (tables or {}).get(foreign_key.parent)
         if parent is not None:
             parts.append(check_foreign_key(df, parent, contract.name, foreign_key))
+        else:
+            skipped = (contract.name, "foreign_key", foreign_key.label, None, "skipped")
+            parts.append(df.sparkSession.createDataFrame([skipped], parts[0].schema))
     return reduce(DataFrame.unionByName, parts)
 
 
 def check_mart(
     tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CONTRACTS,
-    written: Mapping[str, StructType] | None = None,
+    written: Mapping[str, StructType] | None = None, parents: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The report of all given tables."""
+    """The report of all given tables; ``parents`` are further ones that keys may refer to."""
+    known = {**(parents or {}), **tables}
     return reduce(DataFrame.unionByName, [
-        check_table(df, contracts[name], tables, (written or {}).get(name))
+        check_table(df, contracts[name], known, (written or {}).get(name))
         for name, df in tables.items()
     ])

@@ -9,16 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _MIB = 1024 * 1024
 
-
-# A shuffle of m map and r reduce tasks moves m * r blocks; beyond these numbers
-# blocks get too small to be worth a request, and larger partitions that spill do better.
-_MOST_PARTITIONS = 30_000
-_LARGEST_SPLIT = 1024 * _MIB
+# A shuffle of m map and r reduce tasks moves m * r blocks. From so many partitions on they grow
+# before their number does, up to the largest one.
+_MANY_PARTITIONS, _LARGEST_PARTITION = 30_000, 512 * _MIB
 
 
 def conf_for(input_bytes: int, partition_bytes: int = 128 * _MIB) -> dict[str, str]:
@@ -28,19 +28,40 @@ def conf_for(input_bytes: int, partition_bytes: int = 128 * _MIB) -> dict[str, s
     ordinary ones, so the starting number follows the data; the advisory size is
     what skewed and rebalanced partitions are cut to.
     """
-    partitions = min(_MOST_PARTITIONS, max(8, -(-input_bytes // partition_bytes)))
-    split = min(_LARGEST_SPLIT, max(128 * _MIB, input_bytes // _MOST_PARTITIONS))
+    piece = max(partition_bytes, min(_LARGEST_PARTITION, input_bytes // _MANY_PARTITIONS))
+    partitions = max(8, -(-input_bytes // piece))
+    split = max(128 * _MIB, piece)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(piece),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
     }
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at a path, which may be a pattern; 0 when there are none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(system.getContentSummary(s.getPath()).getLength() for s in system.globStatus(target) or [])
+
+
+@contextmanager
+def enough_partitions(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """At least as many shuffle partitions as ``conf_for`` gives; a higher setting of the session stays."""
+    name = "spark.sql.shuffle.partitions"
+    given, needed = spark.conf.get(name), conf_for(input_bytes)[name]
+    if int(needed) > int(given):
+        spark.conf.set(name, needed)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, given)
+
+
 def working_dir(spark: SparkSession) -> str:
     """Shared folder of the cluster; a temporary one only for a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -65,3 +86,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system, whatever kind that is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -11,14 +11,17 @@ if TYPE_CHECKING:
     from ..contracts import TableContract
 
 
-def spread_for(df: DataFrame, partition_by: Sequence[str], slices: int = 64) -> DataFrame:
+def spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of one output partition together without one task per value.
 
     With adaptive execution a rebalance cuts a hot value into advisory-sized pieces
-    at run time. Without it the rows of each value are dealt to ``slices`` tasks by a
+    at run time. Without it the rows of each value are dealt to as many tasks as
+    the session has shuffle partitions, which ``conf_for`` sizes by the data, by a
     hash of the row and its input partition, which a repeated task deals the same way.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+    conf = df.sparkSession.conf
+    slices = int(conf.get("spark.sql.shuffle.partitions"))
+    if conf.get("spark.sql.adaptive.enabled", "true") == "true":
         return df.hint("rebalance", *partition_by)
     row = F.xxhash64(*df.columns, F.spark_partition_id())
     return df.repartition(*[F.col(c) for c in partition_by], F.pmod(row, F.lit(slices)))

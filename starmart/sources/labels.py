@@ -49,7 +49,7 @@ class LabelSection:
     table: str
     label: str
     start: int
-    stop: int
+    stop: int | None
     clean_code: Callable[[Column], Column]
     clean_label: Callable[[Column], Column]
 
@@ -91,7 +91,7 @@ def parse_labels(lines: DataFrame, section: LabelSection) -> DataFrame:
     return last_wins(pairs, "code", section.label, ["file", "pos"])
 
 
-def rejects(lines: DataFrame, start: int, stop: int) -> DataFrame:
+def rejects(lines: DataFrame, start: int, stop: int | None) -> DataFrame:
     return in_range(lines, "pos", start, stop).filter(~F.contains("line", F.lit("=")))
 
 

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 
 from starmart.contracts import CONTRACTS, FACT_IMMIGRATION
-from starmart.plans import RECIPES, build_labels, data_dictionary, run
+from starmart.plans import RECIPES, QualityError, build_labels, data_dictionary, run
 from starmart.quality import check_mart, check_types
 from starmart.sources import SOURCE_FILES
 
@@ -400,3 +400,70 @@ def test_keys_that_are_no_numbers_are_all_kept_apart(spark, tmp_path):
     (tmp_path / "a.csv").write_text(header + "7,2016,4,AAA,XX,20573,20575,1,2\n")
     built = build()
     assert spark.read.parquet(built.quarantine).isEmpty() and spark.read.parquet(built.bad_keys).isEmpty()
+
+
+def arrival_file(folder, name, lines):
+    path = folder / name
+    path.write_text("\n".join([ARRIVAL_COLUMNS, *lines]) + "\n")
+    return str(path)
+
+
+def arrival(uid, state, mode="1.0"):
+    return f"{uid},2016.0,4.0,101.0,102.0,ABC,20573.0,{mode},{state},20575.0,2.0,1955.0,F,,JL,5,7,WT,z"
+
+
+def test_refresh_keeps_history(spark, tmp_path):
+    first = arrival_file(tmp_path, "first.csv", [arrival(1, "CA"), arrival(2, "NY"), arrival(3, "CA"), arrival(4, "O H:1")])
+    # 3 anew, 4 moves and leaves its state empty, 7 is new, 8 has no state
+    lines = [arrival(3, "CA", "9.0"), arrival(4, "NY"), arrival(7, "TX"), arrival(8, "")]
+    second = arrival_file(tmp_path, "second.csv", lines)
+    dst = str(tmp_path / "mart")
+    run(spark, "", dst, ["fact_immigration"], paths={"immigration": first}, checks=False)
+    expected = [
+        (0, 1, "CA", 1), (1, 2, "NY", 1), (2, 3, "CA", 9), (3, 4, "NY", 1), (4, 7, "TX", 1), (5, 8, None, 1),
+    ]
+    for _ in range(2):
+        built = run(spark, "", dst, ["fact_immigration"], paths={"immigration": second}, checks=False, mode="refresh")
+        fact = built["fact_immigration"]
+        found = fact.read(spark).select("immigration_id", "uid", "state_code", "mode").sort("uid")
+        assert [tuple(r) for r in found.collect()] == expected
+        assert fact.balanced and fact.counts["written"] == 4
+    # a batch without rows changes nothing
+    empty = arrival_file(tmp_path, "empty.csv", [])
+    run(spark, "", dst, ["fact_immigration"], paths={"immigration": empty}, checks=False, mode="refresh")
+    assert fact.read(spark).count() == 6
+    with pytest.raises(ValueError, match="unknown mode"):
+        run(spark, "", dst, mode="append")
+
+
+def test_refresh_of_a_table_without_key_adds_unknown_rows(spark, tmp_path):
+    batches = []
+    for name, lines in (("a", [*CITIES]), ("b", [*CITIES, "Utica;Ohio;30.0;1;1;2;1;1;2.0;OH;White;1"])):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("\n".join(lines) + "\n")
+        batches.append(str(path))
+    dst = str(tmp_path / "mart")
+    for path, mode, n in ((batches[0], "overwrite", 3), (batches[1], "refresh", 4), (batches[1], "refresh", 4)):
+        built = run(spark, "", dst, ["dim_demography"], paths={"demography": path}, checks=False, mode=mode)
+        found = built["dim_demography"].read(spark).select("demog_pop_id", "city").sort("demog_pop_id").collect()
+        assert [r[0] for r in found] == list(range(n)) and built["dim_demography"].balanced
+    assert found[-1].city == "Utica"
+
+
+def test_report_of_a_part_and_abort(spark, tmp_path):
+    source = arrival_file(tmp_path, "one.csv", [arrival(1, "CA")])
+    two = arrival_file(tmp_path, "two.csv", [arrival(1, "CA"), arrival(2, "NY")])
+    dst = str(tmp_path / "mart")
+    run(spark, "", dst, ["fact_immigration"], paths={"immigration": source})
+
+    def report():
+        rows = spark.read.parquet(f"{dst}/qc_report").filter("check_name = 'foreign_key'").collect()
+        return {(r.table_name, r.column_name, r.value, r.status) for r in rows}
+
+    absent = {("fact_immigration", f"{c}->{c}", None, "skipped") for c in ("state_code", "city_code")}
+    assert report() == absent
+    # the fact of the earlier run is the parent; its part of the report stays
+    with pytest.raises(QualityError, match=r"dim_immigration_personal: foreign_key uid->fact_immigration \(1\)"):
+        run(spark, "", dst, ["dim_immigration_personal"], paths={"immigration": two}, fail_on=["foreign_key"])
+    assert report() == absent | {("dim_immigration_personal", "uid->fact_immigration", 1, "failed")}
+    run(spark, "", dst, ["dim_immigration_personal"], paths={"immigration": two}, fail_on=["primary_key_unique"])

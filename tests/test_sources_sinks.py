@@ -282,8 +282,9 @@ def test_drift(spark):
 
 def test_session_settings(spark, monkeypatch):
     conf = session_module.conf_for(100 * 2**40)
-    assert conf["spark.sql.shuffle.partitions"] == "30000"
-    assert conf["spark.sql.files.maxPartitionBytes"] == str(2**30)
+    # no task of more than 512 MB of input
+    assert conf["spark.sql.shuffle.partitions"] == "204800"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(2**29)
     small = session_module.conf_for(10 * 2**30)
     assert small["spark.sql.shuffle.partitions"] == "80"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 2**20)
