@@ -259,6 +259,20 @@ def test_html(spark):
     assert html.extract(empty(pages)).isEmpty()
 
 
+def test_html_text_does_not_depend_on_shards(spark):
+    rng = random.Random(6)
+    runs = [" ".join(f"r{i}x{j}" for j in range(15)) for i in range(40)]
+    rows = []
+    for i in range(80):  # each run stands on two pages of the host
+        own = [f"<p>own{i}w{j} {rng.randrange(10**6)}</p>" for j in range(3)]
+        rows.append((i, "http://big/x", f"{own[0]}<p>{runs[i % 40]}</p>{own[1]}{own[2]}"))
+    rows += [(3, "http://big/x", rows[3][2]), (90, "http://small/x", f"<p>{runs[0]}</p>"), (None, "http://big/y", f"<p>{runs[1]}</p>"), (91, "http://big/x", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = [Counter(map(tuple, html.extract(pages, shard_bytes=n).collect())) for n in (1 << 30, 2000, 1)]
+    assert texts[0] == texts[1] == texts[2]
+    assert all("r" not in t for (k, _, t) in texts[0] if k != 90) and len([1 for k, *_ in texts[0] if k == 90]) == 1
+
+
 def test_covered_tokens_against_all_windows():
     rng = np.random.default_rng(2)
     for _ in range(60):
