@@ -1,18 +1,18 @@
 """Class-based bigram model of a corpus: Brown classes from exchange clustering.
 
-Every word has one class, and P(w | v) = P(class(w) | class(v)) * P(w | class(w)). The ``units`` of clustering are the most frequent
-words and ``TAILS`` groups that the other words fall into by their ending and length, so every word, seen or not, has a
-class without a table of all words. Exchange clustering starts from the frequency ranks. Each round counts in Spark, over all
-training texts, how often a unit stands before and after each class, and moves units to the class under which these counts are likeliest
-until none moves; both tables have a size that parameters bound.
+Every word has one class, and P(w | v) = P(class(w) | class(v)) * P(w | class(w)). Every training word is clustered: the ``units`` most
+frequent start in classes by rank, the others by their ending and length. Each of ``rounds`` rounds counts how often a word stands before
+and after each class, from a stored table of all neighbouring pairs joined with (word, class), and then moves every word to the class
+under which its counts are likeliest, up to ``STEPS`` times or until no word moves. Rounds end early when one moves no word; at the limit
+some words may still be about to move. Words and pairs are tables of any size; only the class tables are collected.
 
 Counts of words, words of a class and class pairs cover all training texts. P(class | class) is interpolated with the share
 of the class, P(word | class) has add-alpha smoothing with one part for words never seen. The end of a text is a token of a class of its own,
 which is also what stands before the first word.
 
-Scoring reads each text once. The ``head`` most frequent words and all classes are broadcast (sizes bounded by
-parameters); counts of a text's other words come from a join with the table of all words, and the sum of a text is
-put together by its row number.
+Scoring reads each text once. The ``head`` most frequent words are broadcast with counts and classes (a size bounded by parameters); count
+and class of a text's other words come from a join with the table of all words, and the sum of a text is put together by its row number.
+A word never seen has the class that most training words of its ending and length have (``TAILS`` groups).
 
 Cases: a null text is empty: it has the end token alone. Rows without a key are scored but not learned from. Repeated rows are
 scored one by one. If there is nothing to learn from, all counts are 0. Other columns are ignored.
@@ -26,14 +26,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..sinks.stage import stage
 
-UNITS, TAILS, CLASSES, ROUNDS = 16_000, 1_024, 32, 3
+UNITS, TAILS, CLASSES, ROUNDS, STEPS = 16_000, 1_024, 32, 3, 5
 HEAD = 200_000
 ALPHA, BETA = 0.5, 4.0
 _FLUSH = 400_000
+_END = b" "  # no word has a space in it
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -63,98 +64,148 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Units:
-    """Number of the unit of a word: its rank, or the group of its ending and length."""
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(v, w, n): how often w follows v; the end stands before the first word and after the last."""
 
-    def __init__(self, words: list[bytes]) -> None:
-        self.known = {w: i for i, w in enumerate(words)}
-        self.size = len(words) + TAILS
-        self.first = len(words)
+    def run(batches):
+        tally: Counter[tuple[bytes, bytes]] = Counter()
 
-    def __call__(self, word: bytes) -> int:
-        got = self.known.get(word)
-        return self.tail(word) if got is None else got
+        def out():
+            v, w = zip(*tally, strict=True) if tally else ((), ())
+            columns = [pa.array(x, pa.binary()).cast(pa.string()) for x in (v, w)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(list(tally.values()), pa.int64())], names=["v", "w", "n"])
+
+        for batch in batches:
+            for t in batch.column(0):
+                words = tokens_of(t.as_py())
+                tally.update(zip([_END, *words], [*words, _END], strict=True))
+                if len(tally) > _FLUSH:
+                    yield out()
+                    tally.clear()
+        yield out()
+
+    return texts.mapInArrow(run, "v string, w string, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
 
-    def tail(self, word: bytes) -> int:
-        number = 0
-        for b in word[-2:]:
-            number = number * 131 + b
-        return self.first + (number * 31 + min(len(word), 12)) % TAILS
 
+def tail(word: bytes) -> int:
+    """Number of the group of a word's ending and length."""
+    number = 0
+    for b in word[-2:]:
+        number = number * 131 + b
+    return (number * 31 + min(len(word), 12)) % TAILS
 
-class _Memo(dict):
-    def __init__(self, units: Units) -> None:
-        super().__init__(units.known)
-        self.units = units
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
-            self.clear()
-            self.update(self.units.known)
-        got = self[word] = self.units.tail(word)
-        return got
+class Units:
+    """Class of a word: broadcast for the most frequent, from the table for others, by ending for words never seen."""
+
+    def __init__(self, known: dict[bytes, int], tails: np.ndarray, table: DataFrame) -> None:
+        self.known, self.tails, self.table = known, tails, table
+        self.met: dict[bytes, int] = {}
+
+    def __call__(self, word: bytes) -> int:
+        if word in self.known:
+            return self.known[word]
+        if word not in self.met:
+            row = self.table.where(F.col("word") == word.decode()).select("g").first()
+            self.met[word] = int(self.tails[tail(word)]) if row is None else row[0]
+        return self.met[word]
 
 
-def unit_ids(texts: DataFrame, units) -> DataFrame:
-    """(u): the units of each text's words and the end unit, stored once for all rounds."""
+def _first_classes(words: DataFrame, ranked: list[bytes], size: int) -> DataFrame:
+    sent = words.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(ranked)})
 
     def run(batches):
-        place, ends = _Memo(units.value), units.value.size
+        ranks = sent.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                found = []
-                for t in batch.column(0).slice(start, 256):
-                    words = tokens_of(t.as_py())
-                    u = np.empty(len(words) + 1, dtype=np.int32)
-                    u[:-1] = np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words))
-                    u[-1] = ends
-                    found.append(u)
-                offsets = np.cumsum([0, *map(len, found)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([lists], names=["u"])
+            own = [w.encode() for w in batch.column(0).to_pylist()]
+            g = [ranks.get(w, tail(w)) % size for w in own]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(g, pa.int32())], names=["word", "g"])
+
+    return words.select("word").mapInArrow(run, "word string, g int")
+
+
+def _contexts(pairs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(word, g, cells, counts): each word's counts by side and class; side 0 what follows it, side 1 what precedes it."""
+    ends = classes.sparkSession.createDataFrame([(_END.decode(), size)], "word string, g int")
+    known = classes.unionByName(ends)
+    sides = []
+    for side, (own, other) in enumerate((("v", "w"), ("w", "v"))):
+        found = pairs.join(known.withColumnRenamed("word", other), other).groupBy(F.col(own).alias("word"), "g").agg(F.sum("n").alias("n"))
+        sides.append(found.select("word", (F.col("g") + side * (size + 1)).alias("cell"), "n"))
+    # at most 2 * (classes + 1) cells of a word
+    rows = sides[0].unionByName(sides[1]).groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("x"))
+    return stage(rows.join(known, "word").select("word", "g", F.col("x.cell").alias("cells"), F.col("x.n").alias("counts")), "contexts")
 
-    return stage(texts.mapInArrow(run, "u array<int>"), "unit-ids")
 
+def _dense(batch: pa.RecordBatch, size: int) -> np.ndarray:
+    cells, counts = batch.column(2), batch.column(3)
+    out = np.zeros((batch.num_rows, 2 * (size + 1)))
+    row = np.repeat(np.arange(batch.num_rows), cells.value_lengths().to_numpy())
+    out[row, cells.flatten().to_numpy()] = counts.flatten().to_numpy()
+    return out
 
-def _class_pairs(ids: DataFrame, units: int, classes, size: int) -> np.ndarray:
-    """Counts by unit, side and class: side 0 what follows the unit, side 1 what precedes it."""
+
+def moved(rows: np.ndarray, classes: np.ndarray, size: int, logs: np.ndarray | None) -> np.ndarray:
+    """The likeliest classes of words with these contexts; the end keeps its own, and without ``logs`` all do."""
+    return classes if logs is None else np.where(classes == size, size, (rows @ logs.T).argmax(1))
+
+
+def _class_table(contexts: DataFrame, size: int, last: np.ndarray | None, logs: np.ndarray | None) -> tuple[np.ndarray, int]:
+    """Context counts of the classes under ``logs``, and how many words have other classes than under ``last``."""
+    width = 2 * (size + 1)
 
     def run(batches):
-        of = np.append(classes.value, size)
-        table = np.zeros((units + 1) * 2 * (size + 1), dtype=np.int64)
+        table, changed = np.zeros((size + 1, width)), 0
         for batch in batches:
-            # every text ends in the end unit, which is also what stands before the next one
-            u = np.concatenate(([units], batch.column(0).flatten().to_numpy().astype(np.int64)))
-            c = of[u]
-            here = np.concatenate(((u[:-1] * 2) * (size + 1) + c[1:], (u[1:] * 2 + 1) * (size + 1) + c[:-1]))
-            table += np.bincount(here, minlength=len(table))
-        cells = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["cell", "n"])
-
-    # at most (units + 1) * 2 * (classes + 1) rows, whatever the number of texts
-    found = ids.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((units + 1) * 2 * (size + 1))
-    table[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return table.reshape(-1, 2, size + 1)
-
-
-def exchange(context: np.ndarray, classes: np.ndarray, size: int, rounds: int = 20) -> np.ndarray:
-    """Classes of the units after moves to the class that makes their contexts likeliest."""
-    after, before = context[:-1, 0], context[:-1, 1]
-    weight = np.maximum(after.sum(1), 0)
-    share = (context[:, 0].sum(0) + 1) / (context[:, 0].sum() + size + 1)
-    for _ in range(rounds):
-        member = np.zeros((size, len(classes)))
-        member[classes, np.arange(len(classes))] = 1
-        n_after, n_before, mass = member @ after, member @ before, member @ weight
-        p_after = (n_after + share) / (mass + 1)[:, None]
-        p_before = (n_before + share) / (mass + 1)[:, None]
-        fit = after @ np.log(p_after).T + before @ np.log(p_before).T
-        moved = np.where(weight > 0, fit.argmax(1), classes)
-        if (moved == classes).all():
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                rows, g = _dense(part, size), part.column(1).to_numpy()
+                now = moved(rows, g, size, logs)
+                changed += int((now != moved(rows, g, size, last)).sum())
+                member = np.zeros((size + 1, len(now)))
+                member[now, np.arange(len(now))] = 1
+                table += member @ rows
+        cells = [*table.ravel().astype(np.int64).tolist(), changed]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(cells)], names=["cell", "n"])
+
+    # a fixed number of rows, whatever the number of words
+    found = contexts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((size + 1) * width + 1)
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out[:-1].reshape(size + 1, width), int(out[-1])
+
+
+def _logs(table: np.ndarray, size: int) -> np.ndarray:
+    """Log probabilities of a word's following and preceding classes, by its class."""
+    after, before = table[:, : size + 1], table[:, size + 1 :]
+    share = (after.sum(0) + 1) / (after.sum() + size + 1)
+    mass = (after.sum(1) + 1)[:size, None]
+    return np.log(np.hstack([(after[:size] + share) / mass, (before[:size] + share) / mass]))
+
+
+def exchange(contexts: DataFrame, size: int, steps: int = STEPS) -> tuple[DataFrame, int]:
+    """(word, g) after moves of every word to the class that makes its contexts likeliest, and the number of words moved."""
+    table, _ = _class_table(contexts, size, None, None)
+    logs = None
+    for _ in range(steps):
+        last, logs = logs, _logs(table, size)
+        table, changed = _class_table(contexts, size, last, logs)
+        if not changed:
             break
-        classes = moved
-    return classes
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                old = part.column(1).to_numpy()
+                g = moved(_dense(part, size), old, size, logs)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(g, pa.int32()), pa.array(g != old)], names=["word", "g", "changed"]
+                )
+
+    found = contexts.mapInArrow(run, "word string, g int, changed boolean").where(F.col("g") != size)
+    found = stage(found, "classes")
+    return found.select("word", "g"), found.where("changed").count()
 
 
 @dataclass
@@ -168,51 +219,51 @@ class Model:
     mass: np.ndarray  # tokens of each class
     types: np.ndarray  # distinct words of each class
     log_class: np.ndarray  # log10 P(next class | class)
-    words: DataFrame  # (word, c)
+    words: DataFrame  # (word, c, g)
     head: dict[bytes, int]
 
 
 def train(texts: DataFrame, *, units: int = UNITS, head: int = HEAD, size: int = CLASSES, rounds: int = ROUNDS) -> Model:
     """The model of the one text column of ``texts``."""
-    spark = texts.sparkSession
     words = stage(word_counts(texts), "word-counts")
+    pairs = stage(pair_counts(texts), "pair-counts")
     ends = texts.count()
+    first = words.orderBy(F.col("c").desc(), "word").limit(units).toArrow()["word"].to_pylist()
+    classes = stage(_first_classes(words, [w.encode() for w in first], size), "classes")
+    for _ in range(rounds):
+        classes, changed = exchange(_contexts(pairs, classes, size), size)
+        if not changed:
+            break
+    words = stage(words.join(classes, "word").select("word", "c", "g"), "word-classes")
     summed = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = words.orderBy(F.col("c").desc(), "word").limit(head).toArrow()
     ranked = [w.encode() for w in top["word"].to_pylist()]
-    known = Units(ranked[:units])
-    sent = spark.sparkContext.broadcast(known)
-    ids = unit_ids(texts, sent)
-    classes = np.arange(known.size) % size
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(classes)
-        context = _class_pairs(ids, known.size, shared, size)
-        classes = exchange(context, classes, size)
-    # pairs of the last classes: a unit's followers are counted under its class
-    shared = spark.sparkContext.broadcast(classes)
-    context = _class_pairs(ids, known.size, shared, size)
-    of = np.append(classes, size)
-    pairs = np.zeros((size + 1, size + 1))
-    np.add.at(pairs, of, context[:, 0])
-    prior = (pairs.sum(0) + 1) / (pairs.sum() + size + 1)
-    smooth = (pairs + BETA * prior) / (pairs.sum(1) + BETA)[:, None]
+    # pairs of the last classes
+    table, _ = _class_table(_contexts(pairs, classes, size), size, None, None)
+    followers = table[:, : size + 1]
+    prior = (followers.sum(0) + 1) / (followers.sum() + size + 1)
+    smooth = (followers + BETA * prior) / (followers.sum(1) + BETA)[:, None]
 
     def members(batches):
-        place, mine = sent.value, shared.value
-        mass, types = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        found = np.zeros((TAILS, size), dtype=np.int64)
         for batch in batches:
-            c = mine[[place(w.encode()) for w in batch.column(0).to_pylist()]] if batch.num_rows else np.empty(0, dtype=int)
-            mass += np.bincount(c, weights=batch.column(1).to_numpy(), minlength=size).astype(np.int64)
-            types += np.bincount(c, minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(mass), pa.array(types)], names=["g", "m", "t"])
-
-    rows = words.mapInArrow(members, "g long, m long, t long").groupBy("g").agg(F.sum("m").alias("m"), F.sum("t").alias("t")).collect()
-    mass, types = np.zeros(size), np.zeros(size)
-    for r in rows:
+            at = np.fromiter((tail(w.encode()) for w in batch.column(0).to_pylist()), dtype=np.int64, count=batch.num_rows)
+            np.add.at(found, (at, batch.column(1).to_numpy()), 1)
+        at, g = np.nonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g), pa.array(found[at, g])], names=["at", "g", "n"])
+
+    # at most TAILS * classes rows
+    groups = words.select("word", "g").mapInArrow(members, "at long, g long, n long").groupBy("at", "g").agg(F.sum("n").alias("n")).collect()
+    mass, types, ending = np.zeros(size), np.zeros(size), np.zeros((TAILS, size))
+    for r in words.groupBy("g").agg(F.sum("c").alias("m"), F.count("*").alias("t")).collect():
         mass[r["g"]], types[r["g"]] = r["m"], r["t"]
+    for r in groups:
+        ending[r["at"], r["g"]] = r["n"]
+    tails = np.where(ending.any(1), ending.argmax(1), types.argmax())
+    known = dict(zip(ranked, top["g"].to_pylist(), strict=True))
     return Model(
-        known, classes, size, summed[0] + ends, summed[1] + (ends > 0), ends, mass, types, np.log10(smooth), words,
-        dict(zip(ranked, top["c"].to_pylist(), strict=True)),
+        Units(known, tails, words), np.arange(size), size, summed[0] + ends, summed[1] + (ends > 0), ends, mass, types,
+        np.log10(smooth), words, dict(zip(ranked, top["c"].to_pylist(), strict=True)),
     )
 
 
@@ -220,22 +271,21 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
     words, whole = model.words, math.log10(model.total + model.distinct + 1)
-    parts = {k: getattr(model, k) for k in ("units", "classes", "size", "ends", "mass", "types", "log_class", "head")}
-    shared = spark.sparkContext.broadcast(parts)
+    emission = -np.log10(model.mass + ALPHA * (model.types + 1))
+    parts = {k: getattr(model, k) for k in ("size", "ends", "log_class", "head")}
+    shared = spark.sparkContext.broadcast({**parts, "known": model.units.known, "tails": model.units.tails, "emit": emission})
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("doc_id"), F.col(text).alias("t"))
     schema = T.StructType([
-        T.StructField("row", T.LongType()), T.StructField("word", T.StringType()), T.StructField("m", T.LongType()),
+        T.StructField("row", T.LongType()), T.StructField("word", T.StringType()), T.StructField("at", T.LongType()),
+        T.StructField("before", T.IntegerType()), T.StructField("after", T.IntegerType()), T.StructField("unseen", T.IntegerType()),
         rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("own", T.DoubleType()),
     ])
 
     def run(batches):
         p = shared.value
-        place, size, head = _Memo(p["units"]), p["size"], p["head"]
-        of = np.append(p["classes"], size)
-        emit = -np.log10(p["mass"] + ALPHA * (p["types"] + 1))
-        emit = np.append(emit, 0.0)
-        log_class, end_unit = p["log_class"], p["units"].size
+        size, head, known, tails = p["size"], p["head"], p["known"], p["tails"]
+        log_class, emit = p["log_class"], np.append(p["emit"], 0.0)
         ranks = {w: i for i, w in enumerate(head)}
         counts = np.fromiter(head.values(), dtype=np.float64, count=len(head))
         log_base, log_own = np.log10(counts + 1), np.log10(counts + ALPHA)
@@ -245,44 +295,56 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
                 out = {n: [] for n in schema.names}
                 for row, doc, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
                     words = tokens_of(t.as_py())
-                    u = np.fromiter(map(place.__getitem__, words), dtype=np.int64, count=len(words))
-                    c = of[np.concatenate(([end_unit], u, [end_unit]))]
+                    c = np.full(len(words) + 2, size)
+                    c[1:-1] = [known.get(w, -1) for w in words]  # -1: the table of all words tells
                     tally = Counter(words)
                     r = np.array([ranks.get(w, -1) for w in tally], dtype=np.int64)
                     m = np.fromiter(tally.values(), dtype=np.float64, count=len(tally))
                     r, m = r[r >= 0], m[r >= 0]
-                    tail = [w for w in tally if w not in ranks]
-                    # no word has a space in it: this row meets no word and lies where its number puts it
-                    tail.append(b" %d" % row)
-                    n, rest = len(words) + 1, [None] * (len(tail) - 1)
-                    own = log_class[c[:-1], c[1:]].sum() + emit[c[1:]].sum() + m @ log_own[r]
+                    rare = np.flatnonzero(c == -1)
+                    both = (c[:-1] >= 0) & (c[1:] >= 0)
+                    n, rest = len(words) + 1, [None] * len(rare)
+                    own = log_class[c[:-1][both], c[1:][both]].sum() + emit[c[c >= 0]].sum() + m @ log_own[r]
                     base = math.log10(p["ends"] + 1) + m @ log_base[r] - n * whole
                     for name, value in (
                         ("doc_id", doc), ("n_tokens", n), ("n_known", int(m.sum()) + (p["ends"] > 0)),
                         ("base", float(base)), ("own", float(own)),
                     ):
                         out[name] += [*rest, value]
-                    out["row"] += [row] * len(tail)
-                    out["word"] += tail
-                    out["m"] += [tally.get(w, 0) for w in tail]
+                    out["row"] += [row] * (len(rare) + 1)
+                    # no word has a space in it: the text's own row meets no word and lies where its number puts it
+                    out["word"] += [*(words[i - 1] for i in rare), b" %d" % row]
+                    out["at"] += [*rare.tolist(), None]
+                    out["before"] += [*c[rare - 1].tolist(), None]
+                    out["after"] += [*c[rare + 1].tolist(), None]
+                    out["unseen"] += [*(int(tails[tail(words[i - 1])]) for i in rare), None]
                 columns = [
-                    pa.array(out["row"], pa.int64()), pa.array(out["word"], pa.binary()).cast(pa.string()),
-                    pa.array(out["m"], pa.int64()), pa.array(out["doc_id"], batch.column(1).type),
+                    pa.array(out["row"], pa.int64()), pa.array(out["word"], pa.binary()).cast(pa.string()), pa.array(out["at"], pa.int64()),
+                    *(pa.array(out[n], pa.int32()) for n in ("before", "after", "unseen")), pa.array(out["doc_id"], batch.column(1).type),
                 ]
                 columns += [pa.array(out[n], pa.int64()) for n in ("n_tokens", "n_known")]
                 columns += [pa.array(out[n], pa.float64()) for n in ("base", "own")]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     found = rows.mapInArrow(run, schema).join(words, "word", "left")
+    width = model.size + 1
+    moves, emits = (F.lit([float(x) for x in values]) for values in (model.log_class.ravel(), emission))
+    found = found.withColumn("g", F.when(F.col("at").isNotNull(), F.coalesce("g", "unseen")))
+    # what stands before is known, or is the rare word one place earlier
+    earlier = F.lag("g").over(Window.partitionBy("row").orderBy("at"))
+    found = found.withColumn("before", F.when(F.col("before") >= 0, F.col("before")).otherwise(earlier))
     c = F.coalesce("c", F.lit(0))
+    rare = F.col("at").isNotNull()
+    steps = F.get(moves, F.col("before") * width + F.col("g")) + F.get(emits, F.col("g"))
+    steps += F.when(F.col("after") >= 0, F.get(moves, F.col("g") * width + F.col("after"))).otherwise(0.0)
 
     def more(add: float) -> Column:
-        return F.when(F.col("m") > 0, F.col("m") * F.log10(c + F.lit(add))).otherwise(0.0)
+        return F.when(rare, F.log10(c + F.lit(add))).otherwise(0.0)
 
     summed = found.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.sum(F.when(c > 0, F.col("m")).otherwise(0))).alias("n_known"),
-        (F.sum("base") + F.sum(more(1.0))).alias("base_score"), (F.sum("own") + F.sum(more(ALPHA))).alias("score"),
+        (F.max("n_known") + F.sum(F.when(rare & (c > 0), 1).otherwise(0))).alias("n_known"),
+        (F.sum("base") + F.sum(more(1.0))).alias("base_score"), (F.sum("own") + F.sum(more(ALPHA) + F.when(rare, steps).otherwise(0.0))).alias("score"),
     )
     return summed.select(
         "doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score"

@@ -243,6 +243,18 @@ def test_brown(spark, docs):
     assert brown.score(empty(docs), model).isEmpty()
 
 
+def test_brown_clusters_rare_words_by_their_contexts(spark):
+    # rare words in two kinds of places; endings do not tell the kind
+    rng = random.Random(9)
+    names = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(120)]
+    rows = [f"the {a} runs . we {b} it ." for a, b in zip(names[:60], names[60:], strict=True)] * 2
+    train = spark.createDataFrame([(t,) for t in rows], "text string")
+    model = brown.train(train, units=6, head=8, size=8, rounds=3)
+    assert model.words.count() == 125 and model.words.where("g is null or g < 0 or g >= 8").isEmpty()
+    of = {r.word: r.g for r in model.words.collect()}
+    assert {of[a] for a in names[:60]}.isdisjoint({of[b] for b in names[60:]})
+
+
 def test_html(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><script>var t='</p>';</script></head><body><header>Top</header><nav><ul><li><a>Home</a></ul></nav>"
