@@ -6,7 +6,9 @@ frequencies averaged; a word without any known n-gram says nothing. The scores o
 priors added, and the language with the highest sum is predicted (ties: the smaller name). The score is its
 share among the languages, for a text of at most ``EVIDENCE`` words.
 
-Learned from a bounded sample of the labelled rows (``rows``), counted in Spark; the model keeps, for each language, the
+Learned from a sample of the labelled rows, counted in Spark. The bound of about ``rows`` is dealt to the languages: one with fewer rows
+than its part is taken whole, the others share what is left, each at least ``LEAST``, so a rare language is learned however
+many rows there are. Priors are from all labelled rows. The model keeps, for each language, the
 ``words`` most frequent words and the ``grams`` most frequent n-grams of each length, so what is broadcast is bounded by
 parameters times the number of languages. Prediction reads every text to its end.
 
@@ -25,9 +27,10 @@ import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..sinks.stage import stage
-from .common import at_most, with_column
+from .common import with_column
 
 ROWS = 20_000
+LEAST = 500
 WORDS = 50_000
 GRAMS = 10_000
 LONGEST = 4
@@ -118,18 +121,36 @@ def _pieces(marked: Column, size: int) -> Column:
     return F.when(last >= 1, each).otherwise(F.array().cast("array<struct<size:int,gram:string>>"))
 
 
+def parts_of(counts: dict[str, int], rows: int, least: int = LEAST) -> dict[str, int]:
+    """How many rows of each language are learned from: all of the small ones, equal parts of the rest for the others."""
+    out, left = {}, rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, max(least, left // (len(counts) - i)))
+        left = max(0, left - out[lang])
+    return out
+
+
+def _sample(usable: DataFrame, counts: dict[str, int], rows: int) -> DataFrame:
+    """About as many rows of each language as its part, picked by a hash of the key; languages within it whole."""
+    parts = parts_of(counts, rows)
+    if parts == counts:
+        return usable
+    # one entry a language, as in the model itself
+    below = F.create_map(*(F.lit(x) for g, n in parts.items() for x in (g, int((1 << 40) * n / counts[g]))))
+    return usable.where(F.pmod(F.xxhash64("k"), F.lit(1 << 40)) < below[F.col("lang")])
+
+
 def train(
     labelled: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
     rows: int = ROWS, words: int = WORDS, grams: int = GRAMS,
 ) -> Model:
-    """Counts over at most about ``rows`` labelled rows, picked by a hash of the key."""
+    """Counts over about ``rows`` labelled rows, dealt to the languages and picked by a hash of the key."""
     usable = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("lang"))
-    usable = at_most(usable.where("k is not null and t is not null and lang is not null"), rows, "k")
+    usable = usable.where("k is not null and t is not null and lang is not null")
     docs = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(docs)
-    if not langs:
+    if not docs:
         return Model([], [], [], [], {})
-    counted = usable.select(
+    counted = _sample(usable, docs, rows).select(
         "lang", F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}+"), 0)).alias("word")
     ).groupBy("lang", "word").agg(F.count("*").alias("n"))
     counted = stage(counted, "langid-words")
@@ -140,6 +161,7 @@ def train(
     split = stage(split, "langid-grams")
     totals = {(r[0], 0): r[1] for r in counted.groupBy("lang").agg(F.sum("n")).collect()}
     totals |= {(r[0], r[1]): r[2] for r in split.groupBy("lang", "size").agg(F.sum("n")).collect()}
+    langs = sorted(g for g in docs if (g, 0) in totals)  # one without any word has nothing to be known by
     top = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
     kept = counted.withColumn("r", F.row_number().over(top)).where(F.col("r") <= words)
     top = Window.partitionBy("lang", "size").orderBy(F.col("n").desc(), "gram")

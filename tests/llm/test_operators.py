@@ -311,6 +311,17 @@ def test_language(spark, docs):
     assert langid.predict(empty(docs), model).isEmpty()
 
 
+def test_language_learns_a_rare_language_above_the_bound(spark):
+    rows = [(i, "lorem ipsum dolor", "aa") for i in range(6000)] + [(7000 + i, "krasna zvezda", "bb") for i in range(6)] + [(8000, "12", "cc")]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(train, rows=20)
+    assert model.langs == ["aa", "bb"] and np.allclose(np.exp(model.prior), [6000 / 6006, 6 / 6006])
+    asked = spark.createDataFrame([(1, "zvezda krasna zvezda"), (2, "ipsum")], "doc_id long, text string")
+    assert {r.doc_id: r.language.lang_pred for r in langid.predict(asked, model).collect()} == {1: "bb", 2: "aa"}
+    assert langid.parts_of({"a": 10, "b": 10**6, "c": 10**7}, 20_000) == {"a": 10, "b": 9995, "c": 9995}
+    assert langid.parts_of({"a": 10, "b": 30}, 100) == {"a": 10, "b": 30}
+
+
 def test_topk(spark):
     rng = np.random.default_rng(4)
     vectors = [(int(i), [float(x) for x in rng.normal(size=6)]) for i in range(300)] + [(i, [0.5] * 6) for i in range(300, 420)]
