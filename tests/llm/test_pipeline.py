@@ -2,7 +2,7 @@
 
 import pytest
 from compare import connect, difference
-from test_operators import near_plain  # noqa: F401  (same folder)
+from test_llm_operators import near_plain  # noqa: F401  (same folder)
 
 import corpus_pipeline
 from starmart.llm import decontamination, secrets
