@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
 from ..sinks.stage import stage
-from . import bpe, brown, decontamination, html, langid, neardup, quality, secrets, topk, warc
+from . import (
+    alignment, bpe, brown, decontamination, html, infilling, langid, neardup, quality, secrets, topk, urlfilter, warc,
+)
 from .common import held_out, remainder, table
 
 QUERIES = {}
@@ -98,6 +100,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_digest(docs, vocabulary_path()))
 
 
+@query
+def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return infilling.digest(infilling.fill_in_middle(docs))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -196,3 +215,43 @@ out as (
   from placed left join c on c.s = placed.s and placed.n > 0 left join named on named.node = c.node)
 select doc_id, n::bigint as n_shingles, component_id, doc_id is not distinct from component_id as kept from out
 """
+
+ORACLES["op11_infilling"] = """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+n as (
+  select doc_id, t, length(t)::bigint as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+    ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from n),
+p as (select *, substring(t, 1, a) as x, substring(t, a + 1, b - a) as y, substring(t, b + 1) as z from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || x || '<S>' || z || '<M>' || y else '<S>' || z || '<P>' || x || '<M>' || y end)
+    as output_sha256, sha256(t) as restored_sha256
+from p
+"""
+
+
+def _urls_sql() -> str:
+    """Every rule on every url."""
+    rules = [
+        "struct_pack(k := {}, l := {}, name := '{}', verdict := '{}', p := '{}')".format(
+            r.rank, len(r.name), r.name, r.verdict, r.pattern.replace("'", "''")
+        ) for r in urlfilter.DEFAULT
+    ]
+    return f"""
+with u as (select row_number() over () as r, page_id, case when contains(url, '://') then substring(url, instr(url, '://') + 3) end as rest from pages),
+h as (select r, page_id, rest, regexp_extract(rest, '^[^/?#]*') as own from u),
+t as (select *, {_LOWER.format('own')} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from h),
+rules as (select unnest([{", ".join(rules)}]) as rule),
+best as (
+  select r, max(struct_pack(k := rule.k, l := rule.l, name := rule.name, verdict := rule.verdict)) as b
+  from t join rules on regexp_matches(t.host || substring(t.rest, length(t.own) + 1), rule.p) group by r)
+select page_id, coalesce(host, '') as host, coalesce(path, '') as path, case when b.k >= 1 then b.name end as rule,
+  coalesce(b.verdict, 'allow') as verdict, b.name as pattern
+from t left join best using (r)
+"""
+
+
+ORACLES["op13_urlfilter"] = _urls_sql()
