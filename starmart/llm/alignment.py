@@ -36,6 +36,8 @@ from ..sinks.stage import stage
 from .bpe import byte_alphabet
 
 HEAD, LINKS, MEMO = 200_000, 1 << 20, 300_000
+#: Longer texts go to the slower of two encoders with equal ids: the fast one's stack ends at runs of about a million spaces.
+LONG = 200_000
 _ID = 1 << 32  # a pair is one number: first id * _ID + second id
 _WORDS = re.compile(" *[^ ]+| +")
 #: How a byte-level file cuts a text before merging; a fixed value of that kind of tokenizer.
@@ -60,7 +62,18 @@ class ByteLevel:
         self.strings = [b""] * (max(ranks.values()) + 1)
         for s, i in ranks.items():
             self.strings[i] = s
-        self.encode = tiktoken.Encoding("aligned", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.short = tiktoken.Encoding("aligned", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.spec, self.long = spec, None
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) <= LONG:
+            return self.short(text)
+        if self.long is None:
+            import tokenizers
+
+            self.long = tokenizers.Tokenizer.from_str(self.spec)
+            self.long.encode_special_tokens = True
+        return self.long.encode(text, add_special_tokens=False).ids
 
 
 class Pieces:

@@ -34,6 +34,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TOKEN = frozenset(_LOWER + "0123456789")
 _ANY, _EDGE = "any", "edge"  # stand for unknown text, and for something that ends a token
 _MOST = 64
+#: Rules' tokens up to which they are broadcast to count them, some MB; beyond, all tokens of the urls are counted.
+BROADCAST = 100_000
 
 
 @dataclass(frozen=True)
@@ -163,7 +165,11 @@ def rule_index(urls: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     sets = [(i, a, t) for i, r in enumerate(rules) for a, tokens in enumerate(mandatory_tokens(r.pattern)) for t in tokens or {""}]
     held = spark.createDataFrame(sets, "rule int, alternative int, token string")
     seen = urls.select(F.explode(tokens_of(F.col("target"))).alias("token"))
-    counts = seen.join(held.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    asked, few = held.select("token").distinct(), len(sets) <= BROADCAST
+    # without a broadcast the tokens are counted first: a frequent one is a few rows then
+    kept = seen.join(F.broadcast(asked), "token", "left_semi") if few else seen
+    counts = kept.groupBy("token").agg(F.count("*").alias("n"))
+    counts = counts if few else counts.join(asked, "token", "left_semi")
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("least")
     filed = held.join(counts, "token", "left").groupBy("rule", "alternative").agg(rarest)
     filed = filed.select("rule", F.col("least.token").alias("token")).distinct()

@@ -59,7 +59,9 @@ def test_tokens():
     assert urlfilter.mandatory_tokens("^abc$") == [{"abc"}]
 
 
-def test_index_is_by_the_rarest_token(spark):
+@pytest.mark.parametrize("broadcast", [urlfilter.BROADCAST, 0])
+def test_index_is_by_the_rarest_token(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(urlfilter, "BROADCAST", broadcast)
     pages = spark.createDataFrame([("http://a.net/x/",)] * 3 + [("http://a.net/y/",), ("http://b.io/x/",)], "url string")
     rows = pages.select(urlfilter.host_and_path(pages.url)[2].alias("target"))
     rules = [urlfilter.Rule("one", "/(?:x|y)/$", "block"), urlfilter.site("a.net/x/", "block")]
