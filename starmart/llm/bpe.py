@@ -5,7 +5,7 @@ pair is merged, its neighbours' new pairs are pushed, and entries whose symbols
 are skipped. Decoding concatenates vocabulary strings; the file names no decoder, so a space is between them.
 
 The vocabulary file is read on the driver and broadcast: it is a fixed file of a few MB that does not grow
-with the data. Words already merged are remembered in each task, up to ``MEMO`` of them.
+with the data. Words already merged and their pieces are remembered in each task, up to ``MEMO`` of either; then the older half goes.
 
 Cases: a null or empty text gives no ids. Special tokens that stand in a text are found before normalisation and
 become their ids, as the tokenizers library does. Repeated rows are encoded one by one; other columns are handed
@@ -14,17 +14,20 @@ through, an existing column with the name of the result is replaced.
 
 from __future__ import annotations
 
-import heapq
 import json
 import unicodedata
 from array import array
+from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import with_column
 
-MEMO = 200_000
+MEMO = 400_000
+_PLACES = 40  # bits of a place in a word, or of a symbol
+_PLACE = (1 << _PLACES) - 1
 #: White space of the pattern language of the vocabulary file; ``str.split`` also parts at U+001C to U+001F.
 WHITE = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 SPLITS_MORE = regex.compile("[\x1c-\x1f]")
@@ -48,28 +51,41 @@ def byte_alphabet() -> list[str]:
     return out
 
 
-def merge(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """``symbols`` after all merges; ``ranks`` gives (rank, merged id) of a pair."""
+class Merges:
+    """The merges of a vocabulary: the rank of a pair, and what is merged at each rank."""
+
+    def __init__(self, merged: list[tuple[int, int, int]]) -> None:
+        self.rank = {a << _PLACES | b: i for i, (a, b, _) in enumerate(merged)}
+        self.first, self.second, self.made = (list(x) for x in zip(*merged, strict=True)) if merged else ([], [], [])
+
+
+def merge(symbols: list[int], merges: Merges) -> list[int]:
+    """``symbols`` after all merges. An entry of the heap is one number, rank before place."""
+    rank, first, second, made = merges.rank.get, merges.first, merges.second, merges.made
+    heap = []
+    for i, (a, b) in enumerate(pairwise(symbols)):
+        if (r := rank(a << _PLACES | b)) is not None:
+            heap.append(r << _PLACES | i)
+    if not heap:
+        return symbols
     n = len(symbols)
     left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-    heap = []
-    for i in range(n - 1):
-        if (got := ranks.get((symbols[i], symbols[i + 1]))) is not None:
-            heap.append((got[0], i, symbols[i], symbols[i + 1], got[1]))
-    heapq.heapify(heap)
+    heapify(heap)
     while heap:
-        _, i, a, b, new = heapq.heappop(heap)
+        entry = heappop(heap)
+        r, i = entry >> _PLACES, entry & _PLACE
         j = right[i]
-        if symbols[i] != a or j < 0 or symbols[j] != b:
+        if symbols[i] != first[r] or j < 0 or symbols[j] != second[r]:
             continue  # stale: one of the two has been merged since
-        symbols[i], symbols[j] = new, -1
+        symbols[i] = new = made[r]
+        symbols[j] = -1
         right[i] = k = right[j]
         if k >= 0:
             left[k] = i
-            if (got := ranks.get((new, symbols[k]))) is not None:
-                heapq.heappush(heap, (got[0], i, new, symbols[k], got[1]))
-        if (h := left[i]) >= 0 and (got := ranks.get((symbols[h], new))) is not None:
-            heapq.heappush(heap, (got[0], h, symbols[h], new, got[1]))
+            if (r := rank(new << _PLACES | symbols[k])) is not None:
+                heappush(heap, r << _PLACES | i)
+        if (h := left[i]) >= 0 and (r := rank(symbols[h] << _PLACES | new)) is not None:
+            heappush(heap, r << _PLACES | h)
     return [s for s in symbols if s >= 0]
 
 
@@ -83,49 +99,65 @@ class Codec:
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.strings = {i: s for s, i in [*self.vocab.items(), *self.special.items()]}
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.ranks[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+        self.merges = Merges([(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in model["merges"]])
         self.pieces = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
-        self.alphabet = byte_alphabet()
-        self.memo: dict[str, array] = {}
-
-    def _chunk(self, chunk: str) -> array:
-        """Ids of a run of characters without white space."""
-        # lower case of single characters: no rule for the end of a word
-        text = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
-        out = array("I")
-        for piece in self.pieces.findall(text):
-            letters = [self.alphabet[b] for b in piece.encode()]
-            letters[-1] += self.end
-            out.extend(merge([self.vocab[c] for c in letters], self.ranks))
-        return out
-
-    def encode(self, text: str | None) -> array:
-        out, at = array("I"), 0
+        alphabet = byte_alphabet()
+        self.inner = [self.vocab[c] for c in alphabet]
+        self.last = [self.vocab[c + self.end] for c in alphabet]
+        self.memo: dict[str, tuple[bytes, str, int]] = {}
+        self.parts: dict[str, list[int]] = {}
+
+    def _merged(self, text: str) -> tuple[bytes, str, int]:
+        """Ids as 32-bit numbers, their strings and how many there are, of characters without white space."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        # lower case of single characters: the rule for a sigma at the end of a word is the only other one
+        text = text.lower() if "\u03a3" not in text else "".join(map(str.lower, text))
+        ids: list[int] = []
+        for piece in [text] if text.isascii() and text.isalpha() else self.pieces.findall(text):
+            ids += self._piece(piece)
+        return array("I", ids).tobytes(), " ".join(map(self.strings.__getitem__, ids)), len(ids)
+
+    def _piece(self, piece: str) -> list[int]:
+        got = self.parts.get(piece)
+        if got is None:
+            *raw, end = piece.encode()
+            got = merge([*map(self.inner.__getitem__, raw), self.last[end]], self.merges)
+            if len(piece) <= 64:
+                self.parts[piece] = got
+        return got
+
+    def pieces_of(self, text: str | None) -> list[tuple[bytes, str, int]]:
+        """What each run of characters without white space, and each special token, of a text becomes."""
         if not text:
-            return out
-        for m in self.specials.finditer(text) if self.special and "<" in text else ():
-            self._plain(text[at : m.start()], out)
-            out.append(self.special[m.group()])
+            return []
+        out: list[tuple[bytes, str, int]] = []
+        at = 0
+        for m in self.specials.finditer(text) if self.special else ():
+            out += self._plain(text[at : m.start()])
+            out.append((array("I", [self.special[m.group()]]).tobytes(), m.group(), 1))
             at = m.end()
-        self._plain(text[at:] if at else text, out)
-        return out
+        return out + self._plain(text[at:] if at else text)
 
-    def _plain(self, text: str, out: array) -> None:
+    def _plain(self, text: str) -> list[tuple[bytes, str, int]]:
         memo = self.memo
-        for chunk in WHITE.split(text) if SPLITS_MORE.search(text) else text.split():
-            if not chunk:
-                continue
-            got = memo.get(chunk)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                got = self._chunk(chunk)
-                if len(chunk) <= 64:
-                    memo[chunk] = got
-            out.extend(got)
+        chunks = WHITE.split(text) if SPLITS_MORE.search(text) else text.split()
+        for known in (memo, self.parts):
+            if len(known) > MEMO:
+                for old in list(known)[: MEMO // 2]:
+                    del known[old]
+        new = {c for c in chunks if c not in memo}
+        for chunk in new:
+            memo[chunk] = self._merged(chunk)
+        out = [got for chunk in chunks if (got := memo[chunk])[2]]
+        for chunk in new:
+            if len(chunk) > 64:
+                del memo[chunk]
+        return out
+
+    def encode(self, text: str | None) -> array:
+        return array("I", b"".join([p[0] for p in self.pieces_of(text)]))
 
     def decode(self, ids) -> str:
         return " ".join(map(self.strings.__getitem__, ids))
@@ -145,8 +177,11 @@ def encode(
     def make():
         codec = Codec(spec.value)
 
+        def one(found):
+            return array("I", b"".join([p[0] for p in found])).tolist(), " ".join([p[1] for p in found]) if decoded else None
+
         def work(texts):
-            return [(list(ids := codec.encode(t)), codec.decode(ids) if decoded else None) for t in texts]
+            return [one(codec.pieces_of(t)) for t in texts]
 
         return work
 
@@ -165,11 +200,12 @@ def encode_digest(docs: DataFrame, path: str, *, text: str = "text", result: str
         codec = Codec(spec.value)
 
         def one(t):
-            ids = codec.encode(t)
-            decoded = hashlib.sha256(codec.decode(ids).encode()).hexdigest()
+            found = codec.pieces_of(t)
+            ids, decoded = b"".join([p[0] for p in found]), " ".join([p[1] for p in found])
             if sys.byteorder == "big":
-                ids.byteswap()
-            return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), decoded
+                (swapped := array("I", ids)).byteswap()
+                ids = swapped.tobytes()
+            return sum([p[2] for p in found]), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
         return lambda texts: [one(t) for t in texts]
 
