@@ -13,7 +13,7 @@ from starmart.plans import data_dictionary, run
 from starmart.plans.recipes import RECIPES
 from starmart.quality import check_table
 from starmart.session import new_path
-from starmart.sinks import create_table_sql
+from starmart.sinks import create_table_sql, current_version, files_of, key_ranges, look_up, publish, repeated_keys
 
 from .inputs import (
     ARRIVALS_SQL, DEMOGRAPHICS_SQL, TEMPERATURES_SQL, airports, arrivals, as_csv, demographics,
@@ -77,8 +77,8 @@ def mart_fact_wide_counts(spark, sf_dir) -> DataFrame:
     return spark.createDataFrame(rows, "step string, n bigint")
 
 
-def mart_fact_refresh(spark, sf_dir) -> DataFrame:
-    """Two overlapping batches, the second brought in twice: it changes a mode and moves arrivals to another state."""
+def _refreshed(spark, sf_dir, **options):
+    """A fact table after two overlapping batches, the second brought in twice: it changes a mode and moves arrivals to another state."""
     given = arrivals(spark, sf_dir)
     number = F.col("cicid").cast("decimal(20,1)").cast("bigint")
     third = F.coalesce(F.pmod(number, F.lit(3)), F.lit(1))
@@ -87,14 +87,49 @@ def mart_fact_refresh(spark, sf_dir) -> DataFrame:
     second = as_csv(given.filter(third != 1).withColumn("i94mode", F.lit("7")).withColumn("i94addr", moved), "immigration")
     dst = new_path(spark, "mart")
     for source, mode in ((first, "overwrite"), (second, "refresh"), (second, "refresh")):
-        built = run(spark, "", dst, tables=["fact_immigration"], paths={"immigration": source}, checks=False, mode=mode)
-    fact = built["fact_immigration"].read(spark)
+        built = run(spark, "", dst, tables=["fact_immigration"], paths={"immigration": source}, checks=False, mode=mode, **options)
+    return built["fact_immigration"]
+
+
+def _with_ids(fact: DataFrame) -> DataFrame:
     ids = fact.agg(F.count_distinct("immigration_id").alias("n"), F.max("immigration_id").alias("top")).first()
     return fact.drop("immigration_id").withColumns({
         "n_ids": F.lit(ids.n).cast("bigint"), "next_id": F.lit(ids.top + 1).cast("bigint"),
     })
 
 
+def mart_fact_refresh(spark, sf_dir) -> DataFrame:
+    return _with_ids(_refreshed(spark, sf_dir).read(spark))
+
+
+def mart_fact_versions(spark, sf_dir) -> DataFrame:
+    """The same batches into a table kept as versions."""
+    return _with_ids(_refreshed(spark, sf_dir, versioned=True).read(spark))
+
+
+def _versioned(spark, sf_dir):
+    dst = new_path(spark, "mart")
+    source = as_csv(arrivals(spark, sf_dir), "immigration")
+    return run(spark, "", dst, tables=["fact_immigration"], paths={"immigration": source}, checks=False, versioned=True)["fact_immigration"]
+
+
+def mart_fact_look_up(spark, sf_dir) -> DataFrame:
+    """Look-ups of the arrivals of the first tenth of the keys in a table kept as versions."""
+    fact = _versioned(spark, sf_dir)
+    top = fact.read(spark).agg(F.max("uid")).first()[0]
+    keys = fact.read(spark).select("uid").where(F.col("uid") * 10 < top)
+    return look_up(spark, fact.path, fact.contract.schema, "uid", keys)
+
+
+def mart_fact_repeats(spark, sf_dir) -> DataFrame:
+    """Keys that a batch brought in beside stored rows instead of in their place, looked for in the files that meet the batch."""
+    fact = _versioned(spark, sf_dir)
+    path, number = fact.path, current_version(spark, fact.path)
+    batch = fact.read(spark).where("uid % 1000 = 1")
+    publish(batch, path, "uid", fact.contract.partition_by, fact.contract.id_column, files_of(spark, path), number)
+    return repeated_keys(spark, path, fact.contract.schema, ["uid"], key_ranges(batch, "uid"))
+
+
 def mart_fact_parquet_sparse(spark, sf_dir) -> DataFrame:
     """The same table from a Parquet source with sparse ids: the ids are unique."""
     path = new_path(spark, "arrivals")
@@ -232,6 +267,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_fact_refresh,
+        mart_fact_versions, mart_fact_look_up, mart_fact_repeats,
         mart_personal,
         mart_airline, mart_temperature, mart_temperature_by_date, mart_demography,
         mart_demography_stats, mart_airport, mart_whole, mart_declared, mart_qc_report, dictionary_live,
@@ -288,6 +324,12 @@ survivors as (""", 1)
 ORACLES = {
     "mart_fact_refresh": f"""{_MERGED}
 select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
+    "mart_fact_versions": f"""{_MERGED}
+select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
+    "mart_fact_look_up": f"""{_FACT}
+select * from fact where uid * 10 < (select max(uid) from fact)""",
+    "mart_fact_repeats": f"""{_FACT}
+select uid, 2::bigint as n from fact where uid % 1000 = 1""",
     "mart_fact_wide_keys": f"""{_WIDE}
 select immigration_id, uid::varchar as key, visa from fact union all select null, k, visa from bad""",
     "mart_fact_wide_counts": f"""{_WIDE},

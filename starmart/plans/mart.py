@@ -18,10 +18,11 @@ from ..quality.report import check_mart
 from ..session import enough_partitions, new_path, path_exists, remove_path, stored_bytes
 from ..sinks.stage import stage
 from ..sinks.tables import refresh_partitions, write_table
-from ..sources.files import land, read_source, read_table, source_path
+from ..sinks.versions import current_version, publish
+from ..sources.files import land, read_source, read_table, source_path, stored_schema
 from ..sources.labels import LABEL_SECTIONS, label_rejects, parse_labels, read_lines
 from .recipes import RECIPES, Recipe
-from .refresh import merge_batch
+from .refresh import Change, merge_batch, merge_version
 
 _OK = "__ok"
 
@@ -40,6 +41,7 @@ class Built:
     missing: dict[str, int] = field(default_factory=dict)
     quarantine: str | None = None
     bad_keys: str | None = None
+    change: Change | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, schema=self.contract.schema)
@@ -49,7 +51,7 @@ class Built:
         by_path = self.contract.partition_by
         return StructType([
             self.contract.schema[f.name] if f.name in by_path else f
-            for f in spark.read.parquet(self.path).schema.fields
+            for f in stored_schema(spark, self.path).fields
         ])
 
     @property
@@ -165,6 +167,7 @@ def build_table(
     quarantine: str | None = None,
     folder: str | None = None,
     refresh: bool = False,
+    versioned: bool = False,
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
@@ -173,8 +176,9 @@ def build_table(
     ids do not change, and nothing is parsed or shuffled a second time. ``dense`` ids
     need the stored copy in key order, ``sparse`` ones save that sort. Give a columnar
     ``df`` (see :func:`~starmart.sources.land`), its row count is read from the footers.
-    With ``refresh`` the rows are merged into the table found at ``path`` (see :func:`merge_batch`),
-    and ``written`` counts those of this batch.
+    With ``refresh`` the rows are merged into the table found at ``path`` (see :func:`merge_batch` and, for
+    one kept as versions, :func:`merge_version`), and ``written`` counts those of this batch. ``versioned``
+    writes a new version; a table kept as versions stays one.
     """
     if ids not in ("dense", "sparse"):
         raise ValueError(f"unknown kind of ids {ids!r}")
@@ -229,7 +233,15 @@ def build_table(
         counts["bad_dates"] = good.filter(bad).count()
         rejected = rejected.unionByName(good.filter(bad), allowMissingColumns=True)
         finished = drop_missing(finished, recipe.late_dates)
-    if refresh and path_exists(spark, path):
+    kept = current_version(spark, path)
+    if refresh and kept is not None:
+        built.change = merge_version(finished.select(*contract.columns), path, contract, recipe.key, folder)
+        counts |= built.change.counts
+    elif versioned or kept is not None:
+        first = (recipe.key or [c for c in contract.columns if c != contract.id_column])[0]
+        publish(finished.select(*contract.columns), path, first, contract.partition_by, contract.id_column, since=kept)
+        counts["written"] = built.read(spark).count()
+    elif refresh and path_exists(spark, path):
         counts |= merge_batch(finished.select(*contract.columns), path, contract, recipe.key, folder)
     else:
         write_table(finished.select(*contract.columns), path, contract.partition_by)
@@ -284,6 +296,7 @@ def run(
     keep_steps: bool = False,
     fail_on: Iterable[str] = (),
     mode: str = "overwrite",
+    versioned: bool = False,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -298,7 +311,8 @@ def run(
     of this run or, where it does not build the parent, an earlier one. When a check named in
     ``fail_on`` (such as ``primary_key_unique``) has failed, :class:`QualityError` is raised after that. With
     ``mode="refresh"`` the sources are a batch that is merged into the tables at ``dst`` by key; code tables are
-    always written anew from their one file, and quarantine and report describe the batch. Sources and tables do not
+    always written anew from their one file, and quarantine and report describe the batch. ``versioned`` keeps the tables
+    of the recipes as versions (see :mod:`starmart.sinks.versions`): readers see the old one until the new one is whole. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
     while the last tasks of one finish. The stored steps are removed when all is written, unless
     ``keep_steps`` is set or the run fails.
@@ -343,7 +357,7 @@ def run(
     def table(recipe: Recipe) -> Built:
         return build_table(
             sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
-            reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder, mode == "refresh",
+            reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder, mode == "refresh", versioned,
         )
 
     names = list(dict.fromkeys(r.source for r in todo))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,8 +13,12 @@ from ..operators.keys import number_staged, tag_rows
 from ..session import remove_path
 from ..sinks.stage import stage
 from ..sinks.tables import refresh_partitions, write_table
+from ..sinks.versions import Ranges, current_version, files_of, key_ranges, publish, read_files
 from ..sources.files import read_table
 
+#: Partition values up to which a filter lists them.
+_LITERALS = 10_000
+
 
 def _match(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
     """Join by equal columns, where NULL equals NULL; the right side's copies are dropped."""
@@ -22,6 +27,29 @@ def _match(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str)
     return left.join(right.withColumnsRenamed(names), on, how).drop(*names.values())
 
 
+def _added(
+    batch: DataFrame, replaced: DataFrame, contract: TableContract, key: Sequence[str], first_id: int, folder: str | None
+) -> DataFrame:
+    """The rows that a batch brings in, with the ids of the rows they replace or new ones from ``first_id``; stored."""
+    name = contract.id_column
+    same = list(key) or [c for c in contract.columns if c != name]
+    # NULL ids are those still to be given
+    if key and name:
+        ids = replaced.groupBy(*same).agg(F.min(name).alias(name))
+        placed = stage(_match(batch.drop(name), ids, same, "left"), f"placed-{contract.name}", folder)
+        known, new = placed.filter(F.col(name).isNotNull()), placed.filter(F.col(name).isNull()).drop(name)
+    elif key:
+        known, new = batch, None
+    else:
+        known, new = None, _match(batch, replaced.select(*same).distinct(), same, "left_anti")
+        new = new.drop(name) if name else new
+    if name and new is not None:
+        tagged = stage(tag_rows(new, same, order_is_unique=bool(key)), f"new-{contract.name}", folder)
+        new = number_staged(tagged, name).withColumn(name, F.col(name) + first_id)
+    added = reduce(DataFrame.unionByName, [d.select(*contract.columns) for d in (known, new) if d is not None])
+    return stage(added, f"added-{contract.name}", folder)
+
+
 def merge_batch(
     batch: DataFrame, path: str, contract: TableContract, key: Sequence[str], folder: str | None = None
 ) -> dict[str, int]:
@@ -32,6 +60,7 @@ def merge_batch(
     largest stored one. Only partitions that hold a row of the batch, or held a row that it
     replaces, are read in full and written; a table without partitions is rewritten. All is
     computed from a stored copy before anything is overwritten, and a batch brought in twice changes nothing.
+    Finding the replaced rows reads the key of the whole table; :func:`merge_version` reads less.
     """
     spark = batch.sparkSession
     old = read_table(spark, path, schema=contract.schema)
@@ -39,27 +68,12 @@ def merge_batch(
     same = list(key) or [c for c in contract.columns if c != name]
     batch = stage(batch, f"batch-{contract.name}", folder)
     replaced = stage(_match(old, batch.select(*same).distinct(), same, "left_semi"), f"replaced-{contract.name}", folder)
-    # NULL ids are those still to be given
-    if key and name:
-        ids = replaced.groupBy(*same).agg(F.min(name).alias(name))
-        placed = stage(_match(batch.drop(name), ids, same, "left"), f"placed-{contract.name}", folder)
-        known, new = placed.filter(F.col(name).isNotNull()), placed.filter(F.col(name).isNull()).drop(name)
-    elif key:
-        known, new = batch, None
-    else:
-        known, new = None, _match(batch, replaced.select(*same).distinct(), same, "left_anti")
-        new = new.drop(name) if name else new
-    if name and new is not None:
-        start = old.agg(F.coalesce(F.max(name) + 1, F.lit(0))).first()[0]
-        tagged = stage(tag_rows(new, same, order_is_unique=bool(key)), f"new-{contract.name}", folder)
-        new = number_staged(tagged, name).withColumn(name, F.col(name) + start)
-    added = reduce(DataFrame.unionByName, [d.select(*contract.columns) for d in (known, new) if d is not None])
-    added = stage(added, f"added-{contract.name}", folder)
+    first_id = old.agg(F.coalesce(F.max(name) + 1, F.lit(0))).first()[0] if name else 0
+    added = _added(batch, replaced, contract, key, first_id, folder)
 
     kept = old
     if parts:
-        touched = added.select(*parts).union(replaced.select(*parts)).distinct()
-        kept = _match(kept, touched, parts, "left_semi")
+        kept = _in_partitions(old, added.select(*parts).union(replaced.select(*parts)).distinct(), parts)
     if key:
         kept = _match(kept, added.select(*same).distinct(), same, "left_anti")
     merged = stage(kept.select(*contract.columns).unionByName(added), f"merged-{contract.name}", folder)
@@ -75,6 +89,72 @@ def merge_batch(
     return {"known": n_batch - n_added, "written": n_added}
 
 
+def _in_partitions(rows: DataFrame, values: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows of some partitions, as a literal filter, which prunes folders; a join when there are very many."""
+    found = values.limit(_LITERALS + 1).collect()
+    if len(found) > _LITERALS:
+        return _match(rows, values, parts, "left_semi")
+    hit = F.lit(False)
+    if len(parts) == 1:
+        given = [r[0] for r in found if r[0] is not None]
+        hit = F.col(parts[0]).isin(*given) if given else hit
+        return rows.where(hit | F.col(parts[0]).isNull() if len(given) < len(found) else hit)
+    for r in found:
+        hit = hit | reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, r, strict=True)])
+    return rows.where(hit)
+
+
+@dataclass
+class Change:
+    """What a batch did to a versioned table: stored rows before and after, and how many files were looked at."""
+
+    added: DataFrame
+    replaced: DataFrame
+    ranges: Ranges | None
+    counts: dict[str, int]
+    files: dict[str, int]
+
+
+def merge_version(
+    batch: DataFrame, path: str, contract: TableContract, key: Sequence[str], folder: str | None = None
+) -> Change:
+    """As :func:`merge_batch`, for a table kept as versions; the result is a new version.
+
+    The batch's keys are summed up in ranges, and only files whose range of the first key column meets one are read. Of these,
+    files that hold a replaced row are written anew without it, the others are taken over as they are. New ids follow the
+    largest one in the list of files. Tables without a key compare whole rows, so all their files are read.
+    """
+    spark = batch.sparkSession
+    since, name = current_version(spark, path), contract.id_column
+    files = files_of(spark, path, since)
+    same = list(key) or [c for c in contract.columns if c != name]
+    batch = stage(batch, f"batch-{contract.name}", folder)
+    ranges = key_ranges(batch, key[0]) if key else None
+    near = files.where(ranges.meets(F.col("low"), F.col("high"), F.col("keyless"))) if ranges else files
+    old = read_files(spark, path, contract.schema, near, with_file=True)
+    found = _match(old, batch.select(*same).distinct(), same, "left_semi")
+    found = stage(found, f"replaced-{contract.name}", folder)
+    replaced = found.drop("__file")
+    top = files.agg(F.max("top_id")).first()[0]
+    added = _added(batch, replaced, contract, key, 0 if top is None else top + 1, folder)
+    if key:
+        hit = found.select(F.col("__file").alias("file")).distinct()
+    else:
+        hit = found.select(F.col("__file").alias("file")).limit(0)
+    hit = stage(hit, f"hit-{contract.name}", folder)
+    rest = read_files(spark, path, contract.schema, hit)
+    rest = _match(rest, batch.select(*same).distinct(), same, "left_anti")
+    n_added = added.count()
+    counts = {"known": batch.count() - n_added, "written": n_added}
+    numbers = {"listed": files.count(), "read": near.count(), "rewritten": hit.count()}
+    if n_added:
+        publish(
+            rest.select(*contract.columns).unionByName(added), path, (list(key) or same)[0], contract.partition_by, name,
+            kept=files.join(hit, "file", "left_anti"), since=since,
+        )
+    return Change(added, replaced, ranges, counts, numbers)
+
+
 def _folders(table: DataFrame, parts: Sequence[str], values: DataFrame) -> list[str]:
     """Folders of partition values, at most one each."""
     place = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")

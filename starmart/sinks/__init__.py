@@ -3,8 +3,12 @@ from .tables import (
     create_table_sql, refresh_partitions, spread_for, write_bucketed, write_csv,
     write_table,
 )
+from .versions import (
+    current_version, files_of, key_ranges, look_up, point_to, publish, read_files, remove_unused, repeated_keys,
+)
 
 __all__ = [
+    "current_version", "files_of", "key_ranges", "look_up", "point_to", "publish", "read_files", "remove_unused", "repeated_keys",
     "stage", "create_table_sql", "refresh_partitions", "spread_for",
     "write_bucketed", "write_csv", "write_table",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
 
 from ..functions import cast_column
 from ..sinks.stage import stage
+from ..sinks.versions import current_version, files_of, read_files
 from .sas import read_sas
 
 
@@ -120,15 +121,29 @@ def read_source(
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: StructType | None = None
 ) -> DataFrame:
-    """A written mart table; filters on its partition columns prune directories.
+    """A written mart table, the version in force of one kept as versions; filters on its partition columns prune directories.
 
     ``schema`` saves the look into a file footer and fixes the partition column's type.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
+    if current_version(spark, path) is not None:
+        df = read_files(spark, path, schema if schema is not None else stored_schema(spark, path))
+    else:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 
+def stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The columns and types found in the files of a table, and the partition columns after them."""
+    if current_version(spark, path) is None:
+        return spark.read.parquet(path).schema
+    first = files_of(spark, path).select("file").first()
+    if first is None:
+        return StructType([])
+    schema = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data/{first[0]}").schema
+    return StructType([f for f in schema.fields if f.name != "batch"])
+
+
 def local_table(spark: SparkSession, rows, schema: StructType | str | None = None) -> DataFrame:
     """A small driver-side collection or pandas frame as a table."""
     return spark.createDataFrame(list(rows.items()) if isinstance(rows, dict) else rows, schema)
