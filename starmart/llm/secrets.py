@@ -12,7 +12,8 @@ the candidates when they are few and splits a text that holds many of the rows.
 Offsets are code points, end exclusive, of leftmost non-overlapping matches of each rule; a match whose ``group`` is shorter than
 ``least`` is dropped after it has taken its place. Offsets are summed from the lengths of the matches and the pieces between.
 
-Cases: a null text is empty. Repeated rows are searched one by one. Other columns are handed through; an existing column
+Cases: a null text is empty. Texts of any length are searched whole; the work grows with their length and the number of their matches.
+Repeated rows are searched one by one. Other columns are handed through; an existing column
 with the name of the result is replaced.
 """
 
@@ -155,6 +156,37 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
 _SPAN = "struct<start:int,place:int,kind:string,end:int>"
 
 
+_CHUNK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; inside a function over an array it would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, most: bool = False) -> Column:
+    """For each number of an array the sum of those before it, or with ``most`` the largest of them, 0 for the first.
+
+    An array that grows by one element a step is copied in each, so this goes by chunks: inside them first, then over what they come to.
+    """
+    def ahead(x: Column) -> Column:
+        start = F.struct(F.lit(0).alias("all"), F.array().cast("array<int>").alias("out"))
+        more = F.greatest if most else lambda a, b: a + b
+        return F.aggregate(x, start, lambda done, v: F.struct(
+            more(done["all"], v).alias("all"), F.concat(done["out"], F.array(done["all"])).alias("out"),
+        ))
+
+    def chunked(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(v) - 1, F.lit(_CHUNK))
+        return F.when(F.size(v) > 0, F.transform(starts, lambda i: ahead(F.slice(v, i + 1, F.lit(_CHUNK)))))
+
+    def joined(chunks: Column) -> Column:
+        offsets = ahead(F.transform(chunks, lambda c: c["all"]))["out"]
+        return F.flatten(F.zip_with(chunks, offsets, lambda c, o: F.transform(c["out"], lambda x: F.greatest(x, o) if most else x + o)))
+
+    return F.coalesce(_let(_let(values, chunked), joined), F.array().cast("array<int>"))
+
+
 def _matches(text: Column, rule: Rule, place: int) -> Column:
     """Spans of one rule, in order."""
     pattern = F.lit(rule.pattern)
@@ -162,17 +194,12 @@ def _matches(text: Column, rule: Rule, place: int) -> Column:
         F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, 0),
         lambda p, m: F.struct(F.length(p).alias("before"), F.length(m).alias("own")),
     )
-    kept = F.transform(F.regexp_extract_all(text, pattern, rule.group), lambda g: F.length(g) >= rule.least)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(done: Column, x: Column) -> Column:
-        begin = done["at"] + x["before"]
-        end = begin + x["own"]
-        more = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.concat(done["out"], more).alias("out"))
-
     matched = F.filter(lengths, lambda x: x["own"].isNotNull())
-    found = F.aggregate(matched, start, step, lambda done: done["out"])
+    starts = _before(F.transform(matched, lambda x: x["before"] + x["own"]))
+    found = F.zip_with(matched, starts, lambda x, s: F.struct(
+        (s + x["before"]).alias("start"), (s + x["before"] + x["own"]).alias("end"),
+    ))
+    kept = F.transform(F.regexp_extract_all(text, pattern, rule.group), lambda g: F.length(g) >= rule.least)
     tagged = F.zip_with(found, kept, lambda s, k: F.when(k, F.struct(
         s["start"].alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), s["end"].alias("end"),
     )))
@@ -205,19 +232,24 @@ def find_secrets(
     return rows.select("row.*", found.alias(result))
 
 
-def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every span, or run of overlapping spans, replaced by ``mark``."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+#: Spans from which on a text is cut into its characters once, instead of counting to each span's place in it.
+_MANY = 64
 
-    def step(done: Column, s: Column) -> Column:
-        between = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        out = F.when(s["start"] >= done["at"], F.concat(done["out"], between, F.lit(mark))).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
 
-    whole = F.aggregate(
-        spans, zero, step, lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text) - d["at"]))
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+    """``text`` with every span, or run of overlapping spans, replaced by ``mark``."""
+    reached = _before(F.transform(spans, lambda s: s["end"]), most=True)
+    gaps = F.zip_with(spans, reached, lambda s, r: F.struct(r.alias("from"), (s["start"] - r).alias("n")))
+    gaps = F.filter(gaps, lambda g: g["n"] >= 0)
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+
+    def whole(piece, size: Column) -> Column:
+        pieces = F.transform(gaps, lambda g: F.concat(piece(g["from"], g["n"]), F.lit(mark)))
+        return F.concat(F.array_join(pieces, ""), piece(end, size - end))
+
+    few = whole(lambda a, n: F.substring(text, a + 1, n), F.length(text))
+    many = _let(F.split(text, "", -1), lambda x: whole(lambda a, n: F.array_join(F.slice(x, a + 1, n), ""), F.length(text)))
+    return F.when(F.size(spans) > _MANY, many).when(F.size(spans) > 0, few).otherwise(text)
 
 
 def _joined(spans: Column) -> Column:
