@@ -254,11 +254,12 @@ def near_duplicates(
     often = often.join(stars, ["a", "b"]).groupBy("b").agg(F.max(F.struct("k", "a", "nb")).alias("m"))
     first = stage(often.select("m.a", "b", "m.nb"), "first-pairs")
     links = _verified(first, sets, percent, "links-first")
-    if not stars.isEmpty():
+    if not touched.isEmpty():
         place = stage(_labelled(sizes, links).select("node", "component"), "places")
         apart = _apart(stars, place)
         links = links.unionByName(_verified(apart, sets, percent, "links-stars"))
         place = stage(_labelled(sizes, links).select("node", "component"), "places")
+        # also without a star pair of close sizes: two classes of a bucket can be alike, and its pivot much larger
         rest = _across(held, place.join(sizes, "node"), sets, percent)
         more = _verified(stage(sized(rest), "across-pairs"), sets, percent, "links-across")
         links = links.unionByName(more)
