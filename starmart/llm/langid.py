@@ -106,8 +106,9 @@ class Predictor:
             if got is not None:
                 words += counts[w]
                 total = total + counts[w] * got
+        best = int((total + model.prior).argmax())  # the first of equals, and langs are sorted
+        # the score alone is damped: the words of a text are no independent evidence
         sums = total * (min(1.0, EVIDENCE / words) if words else 0.0) + model.prior
-        best = int(sums.argmax())  # the first of equals, and langs are sorted
         return model.langs[best], float(1 / np.exp(sums - sums[best]).sum())
 
 

@@ -133,12 +133,14 @@ def fit(
     rows: int = ROWS, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO,
 ) -> Ensemble:
     """Rules and weights from at most about ``rows`` labelled keys, picked by a hash of the key."""
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy(F.col(key).alias("k")).agg(F.max(label).cast("double").alias("label"))
     chosen = stage(at_most(known, rows, "k"), "quality-labels")
     texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text"))
     sample = measured(texts.join(F.broadcast(chosen), "k"), "text", "s").select("label", "s.*")
-    sample = stage(sample, "quality-sample").coalesce(8)
+    sample = stage(sample.withColumn("row", F.monotonically_increasing_id()), "quality-sample")
+    # keys can stand in many rows
+    sample = at_most(sample, 2 * rows, "row").drop("row").coalesce(8)
     share = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(share) < 2:
         ones = share.get(1.0, 0) / sum(share.values()) if share else 0.5

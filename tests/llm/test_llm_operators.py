@@ -285,6 +285,25 @@ def test_html_text_does_not_depend_on_shards(spark):
     assert all("r" not in t for (k, _, t) in texts[0] if k != 90) and len([1 for k, *_ in texts[0] if k == 90]) == 1
 
 
+def test_html_of_malformed_pages_is_read_once():
+    import time
+
+    start = time.perf_counter()
+    for piece in ("<a ", '<a "', "<", "<p ='", "<script>", "<svg>", "<!--", "a<b ", '<a ="x', "<div>", "</section><div>", "<![CDATA["):
+        html.blocks_of(piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - start < 30
+    assert html.blocks_of("a <b>x</b> 1 < 2 > 0 <p title='a>b'>t</p><p it's>u<p>v") == [(1, "a x 1 < 2 > 0"), (1, "t"), (1, "u"), (1, "v")]
+    assert html.blocks_of("<head><title>t</title><body>x <svg>y <p>z") == [(1, "x y"), (1, "z")]
+    assert html.blocks_of("<article>x</article><p>y <a href='u") == [(0, "x"), (1, "y")]
+
+
+def test_html_hosts_whose_markup_tells_are_not_searched(spark, monkeypatch):
+    marked = [(i, f"http://a.io/{i}", f"<p>menu {i}</p><article>text {i}</article>") for i in range(5)]
+    monkeypatch.setattr(html, "_by_repeats", None)
+    pages = spark.createDataFrame(marked, "page_id long, url string, html string")
+    assert {r.text for r in html.extract(pages).collect()} == {f"text {i}" for i in range(5)}
+
+
 def test_covered_tokens_against_all_windows():
     rng = np.random.default_rng(2)
     for _ in range(60):
