@@ -55,6 +55,18 @@ def profile_columns(spark, sf_dir) -> DataFrame:
     return found.withColumn("pct_missing", F.round("pct_missing", 6))
 
 
+def distinct_sketch_bound(spark, sf_dir) -> DataFrame:
+    """Exact distinct counts, and whether the union of sketches by status is within 5 % of each."""
+    orders = table(spark, sf_dir, "orders")
+    keys = ["o_orderkey", "o_custkey", "o_orderdate"]
+    parts = op.distinct_sketches(orders, keys, ["o_orderstatus"])
+    found = op.estimated_distinct(parts, keys).select(F.posexplode(F.array(*keys)).alias("i", "estimate"))
+    exact = orders.agg(*(F.count_distinct(k).alias(k) for k in keys)).select(F.posexplode(F.array(*keys)).alias("i", "n_distinct"))
+    close = F.abs(F.col("estimate") - F.col("n_distinct")) <= 0.05 * F.col("n_distinct")
+    names = F.get(F.array(*map(F.lit, keys)), F.col("i"))
+    return exact.join(found, "i").select(names.alias("column_name"), "n_distinct", close.alias("within_bound"))
+
+
 def pk_check(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").withColumn(
         "l_orderkey", F.when(F.col("l_quantity") != 50, F.col("l_orderkey"))
@@ -197,7 +209,7 @@ def outliers_iqr(spark, sf_dir) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        null_profile_pct, duplicate_row_count, year_range, row_counts, profile_columns, pk_check,
+        null_profile_pct, duplicate_row_count, year_range, row_counts, profile_columns, distinct_sketch_bound, pk_check,
         repeated_keys, fk_orphans, fk_orphan_rows, fk_matched_rows, fk_unused_codes, fk_check, unique_check,
         not_null_check, type_cast_contract, typed_values, schema_drift, row_balance, quartiles,
         outliers_iqr,
@@ -224,6 +236,10 @@ from customer""")
 
 
 ORACLES = {
+    "distinct_sketch_bound": """
+select 'o_orderkey' as column_name, count(distinct o_orderkey) as n_distinct, true as within_bound from orders
+union all select 'o_custkey', count(distinct o_custkey), true from orders
+union all select 'o_orderdate', count(distinct o_orderdate), true from orders""",
     "null_profile_pct": """
 select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as n_missing,
        cast(0 as double) as pct_missing

@@ -7,13 +7,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart import operators as op
+from starmart import analytics as an, operators as op
 from starmart.contracts import FACT_IMMIGRATION
 from starmart.plans import data_dictionary, run
 from starmart.plans.recipes import RECIPES
 from starmart.quality import check_table
 from starmart.session import new_path
-from starmart.sinks import create_table_sql, current_version, files_of, key_ranges, look_up, publish, repeated_keys
+from starmart.sinks import create_table_sql, current_version, files_of, key_ranges, look_up, publish, repeated_keys, stage
 
 from .inputs import (
     ARRIVALS_SQL, DEMOGRAPHICS_SQL, TEMPERATURES_SQL, airports, arrivals, as_csv, demographics,
@@ -77,7 +77,7 @@ def mart_fact_wide_counts(spark, sf_dir) -> DataFrame:
     return spark.createDataFrame(rows, "step string, n bigint")
 
 
-def _refreshed(spark, sf_dir, **options):
+def _refreshed(spark, sf_dir, each=None, **options):
     """A fact table after two overlapping batches, the second brought in twice: it changes a mode and moves arrivals to another state."""
     given = arrivals(spark, sf_dir)
     number = F.col("cicid").cast("decimal(20,1)").cast("bigint")
@@ -88,6 +88,8 @@ def _refreshed(spark, sf_dir, **options):
     dst = new_path(spark, "mart")
     for source, mode in ((first, "overwrite"), (second, "refresh"), (second, "refresh")):
         built = run(spark, "", dst, tables=["fact_immigration"], paths={"immigration": source}, checks=False, mode=mode, **options)
+        if each:
+            each(built["fact_immigration"])
     return built["fact_immigration"]
 
 
@@ -107,6 +109,19 @@ def mart_fact_versions(spark, sf_dir) -> DataFrame:
     return _with_ids(_refreshed(spark, sf_dir, versioned=True).read(spark))
 
 
+def mart_months_refreshed(spark, sf_dir) -> DataFrame:
+    """Arrivals by state and month, kept in step with the refreshes by their changes alone."""
+    counted: list[DataFrame] = []
+
+    def follow(fact) -> None:
+        change = fact.change
+        now = an.months_after(counted[-1], change.added, change.replaced) if change else an.arrivals_by_month(fact.read(spark))
+        counted.append(stage(now, "months"))
+
+    _refreshed(spark, sf_dir, follow, versioned=True, keep_steps=True)
+    return counted[-1]
+
+
 def _versioned(spark, sf_dir):
     dst = new_path(spark, "mart")
     source = as_csv(arrivals(spark, sf_dir), "immigration")
@@ -267,7 +282,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_fact_refresh,
-        mart_fact_versions, mart_fact_look_up, mart_fact_repeats,
+        mart_fact_versions, mart_fact_look_up, mart_fact_repeats, mart_months_refreshed,
         mart_personal,
         mart_airline, mart_temperature, mart_temperature_by_date, mart_demography,
         mart_demography_stats, mart_airport, mart_whole, mart_declared, mart_qc_report, dictionary_live,
@@ -326,6 +341,8 @@ ORACLES = {
 select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
     "mart_fact_versions": f"""{_MERGED}
 select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
+    "mart_months_refreshed": f"""{_MERGED}
+select state_code, year, month, count(*) as n from fact group by all""",
     "mart_fact_look_up": f"""{_FACT}
 select * from fact where uid * 10 < (select max(uid) from fact)""",
     "mart_fact_repeats": f"""{_FACT}

@@ -20,6 +20,21 @@ def primary_destinations(fact: DataFrame, state_code: DataFrame, k: int = 5) ->
     )
 
 
+def arrivals_by_month(fact: DataFrame) -> DataFrame:
+    """(state_code, year, month, n) of the rows of a fact table."""
+    return fact.groupBy("state_code", "year", "month").agg(F.count(F.lit(1)).alias("n"))
+
+
+def months_after(counted: DataFrame, added: DataFrame, replaced: DataFrame) -> DataFrame:
+    """Stored ``arrivals_by_month`` after a batch: less the stored rows it replaced, plus the rows it brought in.
+
+    Reads the batch's rows alone, whatever the table holds. Months left without arrivals go.
+    """
+    gone = arrivals_by_month(replaced).withColumn("n", -F.col("n"))
+    both = counted.unionByName(arrivals_by_month(added)).unionByName(gone)
+    return both.groupBy("state_code", "year", "month").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
 def state_trend(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Arrivals per state and month with the change to the month before, and a trend per state.
 
@@ -28,7 +43,11 @@ def state_trend(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     The second frame holds the slope of a straight line through the months (arrivals
     per month) and its direction. Windows run over one row per state and month.
     """
-    counted = fact.groupBy("state_code", "year", "month").agg(F.count(F.lit(1)).alias("n"))
+    return trend_of_months(arrivals_by_month(fact))
+
+
+def trend_of_months(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As :func:`state_trend`, from stored counts by month."""
     counted = counted.withColumn("period", F.col("year") * 12 + F.col("month") - 1)
     by_state = Window.partitionBy("state_code", F.col("period").isNull()).orderBy("period")
     until = F.coalesce(F.lead("period").over(by_state) - 1, F.col("period"))

@@ -13,8 +13,10 @@ from .rows import (
     dedupe, dedupe_report, distinct_rows, drop_missing, equal_to, in_range, last_wins,
     missing_report, survivor_order,
 )
+from .sketches import distinct_sketches, estimated_distinct, merged_sketches, refreshed_sketches
 
 __all__ = [
+    "distinct_sketches", "estimated_distinct", "merged_sketches", "refreshed_sketches",
     "add_calendar", "add_constant", "drop_sparse", "normalise_names", "project", "rename",
     "rename_positional", "replace_columns", "split_columns", "city_of_port", "climate_by_arrival",
     "code_text", "enrich_countries", "enrich_places", "join_on_uid", "join_places", "lookup",
