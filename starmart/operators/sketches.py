@@ -41,6 +41,6 @@ def refreshed_sketches(stored: DataFrame, rows: DataFrame, columns: Sequence[str
 
 
 def estimated_distinct(sketches: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """The estimates of each group, read from the union of its sketches: the same however the rows were dealt to two or more."""
+    """The estimates of each group, read from the union of its sketches; another deal of the rows can give another one within the bound."""
     whole = merged_sketches(sketches, columns, by)
     return whole.select(*by, *(F.hll_sketch_estimate(c).alias(c) for c in columns))
