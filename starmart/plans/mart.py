@@ -19,7 +19,7 @@ from ..session import enough_partitions, new_path, path_exists, remove_path, sto
 from ..sinks.stage import stage
 from ..sinks.tables import refresh_partitions, write_table
 from ..sinks.versions import current_version, publish
-from ..sources.files import land, read_source, read_table, source_path, stored_schema
+from ..sources.files import land, land_apart, read_source, read_table, source_path, stored_schema
 from ..sources.labels import LABEL_SECTIONS, label_rejects, parse_labels, read_lines
 from .recipes import RECIPES, Recipe
 from .refresh import Change, merge_batch, merge_version
@@ -168,6 +168,8 @@ def build_table(
     folder: str | None = None,
     refresh: bool = False,
     versioned: bool = False,
+    malformed: int | None = None,
+    keyless_apart: bool = False,
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
@@ -178,14 +180,19 @@ def build_table(
     ``df`` (see :func:`~starmart.sources.land`), its row count is read from the footers.
     With ``refresh`` the rows are merged into the table found at ``path`` (see :func:`merge_batch` and, for
     one kept as versions, :func:`merge_version`), and ``written`` counts those of this batch. ``versioned``
-    writes a new version; a table kept as versions stays one.
+    writes a new version; a table kept as versions stays one. ``malformed`` is the number of source lines that were
+    set apart before. With ``keyless_apart`` rows without a key are set apart before rows are compared: each is
+    counted as missing and goes to quarantine, where otherwise one stands for all and the others count as removed.
     """
     if ids not in ("dense", "sparse"):
         raise ValueError(f"unknown kind of ids {ids!r}")
     contract, built = recipe.contract, Built(recipe.contract, path)
     spark = df.sparkSession
     counts = built.counts
-    counts["read"] = df.count()
+    n_rows = df.count()
+    counts["read"] = n_rows + (malformed or 0)
+    if malformed is not None:
+        counts["malformed"] = malformed
     rows, bad_rows = split_bad_keys(df, recipe, date_policy)
     if recipe.only:
         column, values = recipe.only
@@ -197,7 +204,7 @@ def build_table(
     if missing_first or recipe.only:
         # one pass over the critical columns
         first = rows.agg(F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)).first()
-        counts["filtered"] = counts["read"] - counts["bad_keys"] - first["__n"]
+        counts["filtered"] = n_rows - counts["bad_keys"] - first["__n"]
     else:
         counts["filtered"] = 0
     if missing_first:
@@ -205,6 +212,13 @@ def build_table(
         rejected = rows.filter(~_complete(recipe.critical))
         rows = drop_missing(rows, recipe.critical)
 
+    lacking = [c for c in recipe.key if c in recipe.critical] if keyless_apart and not missing_first else []
+    keyless = None
+    if lacking:
+        keyless = rows.filter(~_complete(lacking))
+        without_key = keyless.agg(*missing_counts(lacking)).first()
+        rows = drop_missing(rows, lacking)
+
     reduced = _reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical))
     name = f"cleaned-{recipe.name}"
     if contract.id_column:
@@ -217,9 +231,12 @@ def build_table(
     if not missing_first:
         built.missing = {c: after[c] for c in recipe.critical}
         rejected = staged.filter(~F.col(_OK))
+    if keyless is not None:
+        built.missing |= {c: without_key[c] for c in lacking}  # none of the reduced rows lacks them
+        rejected = rejected.unionByName(keyless, allowMissingColumns=True)
     counts["missing"] = sum(built.missing.values())
-    entered = counts["read"] - counts["bad_keys"] - counts["filtered"] - (counts["missing"] if missing_first else 0)
-    counts["removed"] = entered - after["__n"]
+    entered = n_rows - counts["bad_keys"] - counts["filtered"] - (counts["missing"] if missing_first else 0)
+    counts["removed"] = entered - after["__n"] - (sum(without_key) if keyless is not None else 0)
 
     if contract.id_column:
         staged = number_staged(staged, contract.id_column, dense=ids == "dense")
@@ -297,6 +314,8 @@ def run(
     fail_on: Iterable[str] = (),
     mode: str = "overwrite",
     versioned: bool = False,
+    lines_apart: bool = False,
+    keyless_apart: bool = False,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -312,7 +331,9 @@ def run(
     ``fail_on`` (such as ``primary_key_unique``) has failed, :class:`QualityError` is raised after that. With
     ``mode="refresh"`` the sources are a batch that is merged into the tables at ``dst`` by key; code tables are
     always written anew from their one file, and quarantine and report describe the batch. ``versioned`` keeps the tables
-    of the recipes as versions (see :mod:`starmart.sinks.versions`): readers see the old one until the new one is whole. Sources and tables do not
+    of the recipes as versions (see :mod:`starmart.sinks.versions`): readers see the old one until the new one is whole. With ``lines_apart`` the lines
+    of a CSV source that have more or fewer cells than its header are counted as ``malformed`` by its tables and go as they are to
+    ``dst/quarantine/<source>_lines``; ``keyless_apart`` is that of :func:`build_table`. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
     while the last tasks of one finish. The stored steps are removed when all is written, unless
     ``keep_steps`` is set or the run fails.
@@ -338,14 +359,20 @@ def run(
         fmt = formats.get(name, "csv")
         options = {"sep": ";"} if name == "demography" and fmt == "csv" else {}
         options |= (source_options or {}).get(name, {})
-        df = read_source(spark, location(name), fmt, **options)
         used = list(dict.fromkeys(c for r in todo if r.source == name for c in r.columns))
+        if lines_apart and fmt == "csv":
+            whole, lines = land_apart(spark, location(name), used, name, folder, **options)
+            lines.write.mode("overwrite").parquet(f"{dst}/quarantine/{name}_lines")
+            malformed[name] = lines.count()
+            return whole
+        df = read_source(spark, location(name), fmt, **options)
         absent = [c for c in used if c not in df.columns]
         if absent:
             raise ValueError(f"source {name} lacks the columns {absent}")
         return df if fmt == "parquet" else land(df, used, name, folder)
 
     todo = [r for r in recipes.values() if r.name in wanted]
+    malformed: dict[str, int] = {}  # by source, filled before its tables are built
     sections = {k: v for k, v in LABEL_SECTIONS.items() if k in wanted}
 
     def labels() -> dict[str, Built]:
@@ -358,6 +385,7 @@ def run(
         return build_table(
             sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
             reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder, mode == "refresh", versioned,
+            malformed.get(recipe.source), keyless_apart,
         )
 
     names = list(dict.fromkeys(r.source for r in todo))

@@ -21,6 +21,8 @@ def _struct(*columns: tuple) -> StructType:
 
 _TEXT, _FLOAT, _INT = StringType(), FloatType(), IntegerType()
 
+_CORRUPT = "_corrupt_record"
+
 # Default file names below the base path, and the columns of the files.
 SOURCE_FILES = {
     "immigration": "data/immigration_data_sample.csv",
@@ -74,13 +76,17 @@ def read_csv(
     Without ``schema`` every column is text under its header name: one line is read,
     no types are inferred. Every file's header must list the columns of the schema, or
     of the first file (a changed file fails instead of shifting values). A cell that is no
-    value of its type becomes NULL and its row is kept in ``corrupt_column`` when one is named.
+    value of its type becomes NULL and its row is kept in ``corrupt_column`` when one is named. Without
+    ``schema`` that column holds the lines whose number of cells is not the header's: too short, too long, or with
+    a quote that is never closed and so takes the delimiters after it (in the last cell it takes none).
     ``null_values`` are further texts that mean a missing value.
     """
     reader = (
         spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line)
         .option("enforceSchema", False)
     )
+    if schema is None and corrupt_column:
+        schema = reader.csv(path).schema
     if schema is not None:
         if corrupt_column:
             schema = StructType([*schema.fields, StructField(corrupt_column, StringType())])
@@ -149,6 +155,28 @@ def local_table(spark: SparkSession, rows, schema: StructType | str | None = Non
     return spark.createDataFrame(list(rows.items()) if isinstance(rows, dict) else rows, schema)
 
 
+def land_apart(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], name: str, folder: str | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV source stored once: the used columns of its whole lines, and apart (file, block, line) of the malformed ones.
+
+    ``block`` is where the split of the file begins that holds the line. ``options`` are those of :func:`read_csv`.
+    """
+    df = read_csv(spark, path, corrupt_column=_CORRUPT, **options)
+    if absent := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"source {name} lacks the columns {absent}")
+    malformed = F.col(_CORRUPT).isNotNull()
+    place = [
+        F.when(malformed, F.col(f"_metadata.{c}")).alias(a)
+        for c, a in (("file_path", "__file"), ("file_block_start", "__block"))
+    ]
+    stored = stage(df.select(*[F.col(f"`{c}`") for c in columns], _CORRUPT, *place), f"landed-{name}", folder)
+    lines = stored.filter(malformed).select(
+        F.col("__file").alias("file"), F.col("__block").alias("block"), F.col(_CORRUPT).alias("line")
+    )
+    return stored.filter(~malformed).select(*[F.col(f"`{c}`") for c in columns]), lines
+
+
 def land(
     df: DataFrame, columns: Sequence[str], name: str, folder: str | None = None
 ) -> DataFrame:

@@ -467,3 +467,45 @@ def test_report_of_a_part_and_abort(spark, tmp_path):
         run(spark, "", dst, ["dim_immigration_personal"], paths={"immigration": two}, fail_on=["foreign_key"])
     assert report() == absent | {("dim_immigration_personal", "uid->fact_immigration", 1, "failed")}
     run(spark, "", dst, ["dim_immigration_personal"], paths={"immigration": two}, fail_on=["primary_key_unique"])
+
+
+def test_malformed_lines_are_set_apart(spark, tmp_path):
+    whole = "1,2016,4,ABC,XX,20573,20575,1,2"
+    bad = ["2,2016,4,ABC,XX,20573,20575,1", whole + ",x", '3,"2016,4,ABC,XX,20573,20575,1,2', "4"]
+    header = "cicid,i94yr,i94mon,i94port,i94addr,arrdate,depdate,i94mode,i94visa"
+    for part, lines in enumerate((bad[:2], [whole, "NA,2016,4,ABC,XX,20573,20575,1,2", *bad[2:]])):
+        (tmp_path / f"part{part}.csv").write_text("\n".join([header, *lines]) + "\n")
+    dst = str(tmp_path / "mart")
+    built = run(
+        spark, "", dst, tables=["fact_immigration"], paths={"immigration": f"{tmp_path}/part*.csv"},
+        source_options={"immigration": {"null_values": ["NA"]}}, lines_apart=True,
+    )["fact_immigration"]
+    assert (built.counts["read"], built.counts["malformed"], built.counts["missing"], built.counts["written"]) == (6, 4, 1, 1)
+    assert built.balanced and built.counts["bad_keys"] == 0
+    lines = spark.read.parquet(f"{dst}/quarantine/immigration_lines").collect()
+    assert sorted(r.line for r in lines) == sorted(bad)
+    assert {r.file.rsplit("/", 1)[1] for r in lines} == {"part0.csv", "part1.csv"} and {r.block for r in lines} == {0}
+    report = {(r.check_name, r.column_name): r.value for r in spark.read.parquet(f"{dst}/qc_report").collect()}
+    assert report["rows", "malformed"] == 4 and report["row_balance", ""] == 0
+
+
+def test_sources_without_malformed_lines_and_formats_without_lines(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    columns = RECIPES["fact_immigration"].columns
+    spark.createDataFrame([["1"] * len(columns)], [*columns]).write.parquet(path)
+    built = run(
+        spark, "", str(tmp_path / "mart"), tables=["fact_immigration"], paths={"immigration": path},
+        formats={"immigration": "parquet"}, checks=False, lines_apart=True,
+    )["fact_immigration"]
+    assert "malformed" not in built.counts and built.counts["written"] == 1
+
+
+def test_rows_without_a_key_one_by_one(spark, source, mart, tmp_path):
+    apart = run(spark, source, str(tmp_path / "mart"), ["fact_immigration", "dim_temperature"], keyless_apart=True)
+    for name in apart:
+        assert apart[name].balanced
+        assert sorted(apart[name].read(spark).collect(), key=str) == sorted(mart[1][name].read(spark).collect(), key=str)
+    before, after = mart[1]["dim_temperature"].counts, apart["dim_temperature"].counts
+    assert sum(after.values()) == sum(before.values()) and after["missing"] >= before["missing"]
+    lost = spark.read.parquet(apart["fact_immigration"].quarantine)
+    assert lost.count() == apart["fact_immigration"].counts["missing"]
