@@ -1,12 +1,17 @@
 """Class-based bigram model of a corpus: Brown classes from exchange clustering.
 
-Every word has one class, and P(w | v) = P(class(w) | class(v)) * P(w | class(w)). Every training word is clustered: the ``units`` most
-frequent start in classes by rank, the others by their ending and length. Each of ``rounds`` rounds counts how often a word stands before
-and after each class, from a stored table of all neighbouring pairs joined with (word, class), and then moves every word to the class
-under which its counts are likeliest, up to ``STEPS`` times or until no word moves. Rounds end early when one moves no word; at the limit
-some words may still be about to move. Words and pairs are tables of any size; only the class tables are collected.
-
-Counts of words, words of a class and class pairs cover all training texts. P(class | class) is interpolated with the share
+Every word has one class, and P(w | v) = P(class(w) | class(v)) * P(w | class(w)). Every training word is clustered by its own contexts.
+
+The ``head`` most frequent words have numbers, by rank. Training texts are stored once as streams of numbers, where the end of a text has a
+number too and a word beyond the head that of its ending and length (``TAILS`` groups). A round counts in one pass over the streams how often
+each number stands before and after each class, in tables that are summed by ranges of numbers, and then moves each number to the class under
+which its counts are likeliest, up to ``STEPS`` times or until none moves. At first the ``units`` most frequent words are dealt to the classes by
+rank and all other numbers by ending. There are at most ``rounds`` rounds; each table gives the likelihood of the classes it was counted with, and
+a round that does not raise it is undone and is the last (``Model.likelihoods``). A word beyond the head then gets the class under which
+its own contexts are likeliest; those words are a table of any size. What the driver holds is bounded by ``head``, ``TAILS`` and the classes.
+
+Counts of words, words of a class and class pairs cover all training texts; where two words beyond the head stand side by side, the second is
+counted under the class of its ending. P(class | class) is interpolated with the share
 of the class, P(word | class) has add-alpha smoothing with one part for words never seen. The end of a text is a token of a class of its own,
 which is also what stands before the first word.
 
@@ -33,8 +38,7 @@ from ..sinks.stage import stage
 UNITS, TAILS, CLASSES, ROUNDS, STEPS = 16_000, 1_024, 32, 3, 5
 HEAD = 200_000
 ALPHA, BETA = 0.5, 4.0
-_FLUSH = 400_000
-_END = b" "  # no word has a space in it
+_FLUSH, _CHUNK, _MOST = 400_000, 4_096, 1 << 30
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -64,29 +68,6 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """(v, w, n): how often w follows v; the end stands before the first word and after the last."""
-
-    def run(batches):
-        tally: Counter[tuple[bytes, bytes]] = Counter()
-
-        def out():
-            v, w = zip(*tally, strict=True) if tally else ((), ())
-            columns = [pa.array(x, pa.binary()).cast(pa.string()) for x in (v, w)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(list(tally.values()), pa.int64())], names=["v", "w", "n"])
-
-        for batch in batches:
-            for t in batch.column(0):
-                words = tokens_of(t.as_py())
-                tally.update(zip([_END, *words], [*words, _END], strict=True))
-                if len(tally) > _FLUSH:
-                    yield out()
-                    tally.clear()
-        yield out()
-
-    return texts.mapInArrow(run, "v string, w string, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
-
-
 def tail(word: bytes) -> int:
     """Number of the group of a word's ending and length."""
     number = 0
@@ -111,68 +92,104 @@ class Units:
         return self.met[word]
 
 
-def _first_classes(words: DataFrame, ranked: list[bytes], size: int) -> DataFrame:
-    sent = words.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(ranked)})
+class _Numbers(dict):
+    """Number of a word: its rank, or beyond the head that of its ending and length."""
 
-    def run(batches):
-        ranks = sent.value
-        for batch in batches:
-            own = [w.encode() for w in batch.column(0).to_pylist()]
-            g = [ranks.get(w, tail(w)) % size for w in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(g, pa.int32())], names=["word", "g"])
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + 1 + tail(word)
 
-    return words.select("word").mapInArrow(run, "word string, g int")
 
+def pack(values: np.ndarray, kind: str) -> bytes:
+    """Whole numbers as compressed bytes, all lowest bytes first, then all second ones and so on."""
+    return pa.compress(np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T), "zstd", asbytes=True)
 
-def _contexts(pairs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(word, g, cells, counts): each word's counts by side and class; side 0 what follows it, side 1 what precedes it."""
-    ends = classes.sparkSession.createDataFrame([(_END.decode(), size)], "word string, g int")
-    known = classes.unionByName(ends)
-    sides = []
-    for side, (own, other) in enumerate((("v", "w"), ("w", "v"))):
-        found = pairs.join(known.withColumnRenamed("word", other), other).groupBy(F.col(own).alias("word"), "g").agg(F.sum("n").alias("n"))
-        sides.append(found.select("word", (F.col("g") + side * (size + 1)).alias("cell"), "n"))
-    # at most 2 * (classes + 1) cells of a word
-    rows = sides[0].unionByName(sides[1]).groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("x"))
-    return stage(rows.join(known, "word").select("word", "g", F.col("x.cell").alias("cells"), F.col("x.n").alias("counts")), "contexts")
 
+def unpack(data: bytes, n: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(data, n * width, "zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, n).T).view(kind).ravel()
 
-def _dense(batch: pa.RecordBatch, size: int) -> np.ndarray:
-    cells, counts = batch.column(2), batch.column(3)
-    out = np.zeros((batch.num_rows, 2 * (size + 1)))
-    row = np.repeat(np.arange(batch.num_rows), cells.value_lengths().to_numpy())
-    out[row, cells.flatten().to_numpy()] = counts.flatten().to_numpy()
-    return out
 
+def streams(texts: DataFrame, ranked: list[bytes]) -> DataFrame:
+    """(n, ids, rare): numbers of the words of some texts with the end before, between and after them; the words beyond the head in order."""
+    sent = texts.sparkSession.sparkContext.broadcast(ranked)
 
-def moved(rows: np.ndarray, classes: np.ndarray, size: int, logs: np.ndarray | None) -> np.ndarray:
-    """The likeliest classes of words with these contexts; the end keeps its own, and without ``logs`` all do."""
-    return classes if logs is None else np.where(classes == size, size, (rows @ logs.T).argmax(1))
+    def run(batches):
+        numbers = _Numbers(zip(sent.value, range(len(sent.value)), strict=True))
+        end = len(numbers)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                parts, rare = [np.array([end])], []
+                for t in batch.column(0).slice(start, 256):
+                    words = tokens_of(t.as_py())
+                    ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
+                    rare += [words[i] for i in np.flatnonzero(ids > end)]
+                    parts += [ids, parts[0]]
+                ids = np.concatenate(parts)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([len(ids)], pa.int64()), pa.array([pack(ids, "<i4")], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), pa.array(rare, pa.binary()).cast(pa.string())),
+                ], names=["n", "ids", "rare"])
+
+    return stage(texts.mapInArrow(run, "n long, ids binary, rare array<string>"), "streams")
+
+
+def _pieces(batches):
+    """(ids, rare) of each stored stream."""
+    for batch in batches:
+        for n, data, rare in zip(*batch.columns, strict=True):
+            yield unpack(data.as_py(), n.as_py(), "<i4").astype(np.int64), rare
+
+
+def context_table(texts: DataFrame, classes: np.ndarray, size: int) -> np.ndarray:
+    """Each number's counts by side and class of its neighbours: columns of what follows it, then of what precedes it."""
+    width, units = 2 * (size + 1), len(classes)
+    sent = texts.sparkSession.sparkContext.broadcast(classes)
+    schema = "chunk int, n long, at binary, counts binary"
+
+    def out(chunk: int, table: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(table)
+        values = (chunk, len(at), pack(np.diff(at, prepend=0), "<i4"), pack(table[at], "<i8"))
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["chunk", "n", "at", "counts"])
+
+    def parts_of(table: np.ndarray):
+        for chunk in range(0, units, _CHUNK):
+            part = table[chunk * width : (chunk + _CHUNK) * width]
+            if part.any():
+                yield out(chunk, part)
+
+    def count(batches):
+        of, one = sent.value, np.int32(1)
+        table, seen = np.zeros(units * width, dtype=np.int32), 0
+        for ids, _ in _pieces(batches):
+            own, after = ids[:-1], ids[1:]
+            seen += len(ids)
+            if seen > _MOST:  # before a cell can overflow
+                yield from parts_of(table)
+                table[:], seen = 0, len(ids)
+            np.add.at(table, own * width + of[after], one)
+            np.add.at(table, after * width + (size + 1 + of[own]), one)
+        yield from parts_of(table)
+
+    def merge(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, n, at, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                table = sums.setdefault(chunk, np.zeros(_CHUNK * width, dtype=np.int64))
+                table[np.cumsum(unpack(at, n, "<i4"))] += unpack(counts, n, "<i8")
+        for chunk, table in sums.items():
+            yield out(chunk, table)
 
+    parts = texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(merge, schema)
+    whole = np.zeros((units + _CHUNK) * width, dtype=np.int64)
+    for r in parts.toArrow().to_pylist():  # one row for each range of numbers
+        whole[r["chunk"] * width + np.cumsum(unpack(r["at"], r["n"], "<i4"))] = unpack(r["counts"], r["n"], "<i8")
+    return whole[: units * width].reshape(units, width)
 
-def _class_table(contexts: DataFrame, size: int, last: np.ndarray | None, logs: np.ndarray | None) -> tuple[np.ndarray, int]:
-    """Context counts of the classes under ``logs``, and how many words have other classes than under ``last``."""
-    width = 2 * (size + 1)
 
-    def run(batches):
-        table, changed = np.zeros((size + 1, width)), 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                rows, g = _dense(part, size), part.column(1).to_numpy()
-                now = moved(rows, g, size, logs)
-                changed += int((now != moved(rows, g, size, last)).sum())
-                member = np.zeros((size + 1, len(now)))
-                member[now, np.arange(len(now))] = 1
-                table += member @ rows
-        cells = [*table.ravel().astype(np.int64).tolist(), changed]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(cells)), pa.int32()), pa.array(cells)], names=["cell", "n"])
-
-    # a fixed number of rows, whatever the number of words
-    found = contexts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros((size + 1) * width + 1)
-    out[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return out[:-1].reshape(size + 1, width), int(out[-1])
+def _by_class(rows: np.ndarray, classes: np.ndarray, size: int) -> np.ndarray:
+    return np.array([rows[classes == g].sum(0) for g in range(size + 1)])
 
 
 def _logs(table: np.ndarray, size: int) -> np.ndarray:
@@ -183,29 +200,117 @@ def _logs(table: np.ndarray, size: int) -> np.ndarray:
     return np.log(np.hstack([(after[:size] + share) / mass, (before[:size] + share) / mass]))
 
 
-def exchange(contexts: DataFrame, size: int, steps: int = STEPS) -> tuple[DataFrame, int]:
-    """(word, g) after moves of every word to the class that makes its contexts likeliest, and the number of words moved."""
-    table, _ = _class_table(contexts, size, None, None)
-    logs = None
+def likelihood(table: np.ndarray, size: int) -> float:
+    """Log likelihood of the class pairs of a table of contexts by class, less what does not depend on the classes."""
+    pairs = table[:, : size + 1].astype(np.float64)
+
+    def total(n: np.ndarray) -> float:
+        return float((n[n > 0] * np.log(n[n > 0])).sum())
+
+    return total(pairs) - total(pairs.sum(0)) - total(pairs.sum(1))
+
+
+def moves(rows: np.ndarray, classes: np.ndarray, size: int, steps: int = STEPS) -> np.ndarray:
+    """Classes after up to ``steps`` moves of every number to the class that makes its contexts likeliest; the end keeps its own."""
     for _ in range(steps):
-        last, logs = logs, _logs(table, size)
-        table, changed = _class_table(contexts, size, last, logs)
-        if not changed:
+        logs = _logs(_by_class(rows, classes, size), size).T
+        best = np.concatenate([np.zeros(0, dtype=np.int64), *((rows[i : i + _CHUNK] @ logs).argmax(1) for i in range(0, len(rows), _CHUNK))])
+        now = np.where((classes == size) | ~rows.any(1), classes, best)
+        if (now == classes).all():
             break
+        classes = now
+    return classes
 
-    def run(batches):
+
+def exchange(
+    texts: DataFrame, classes: np.ndarray, size: int, rounds: int, steps: int = STEPS
+) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """The classes after the rounds that raised the likelihood, their table of contexts, and the likelihood at first and after each round kept."""
+    rows = context_table(texts, classes, size)
+    known = [likelihood(_by_class(rows, classes, size), size)]
+    for _ in range(rounds):
+        now = moves(rows, classes, size, steps)
+        if (now == classes).all():
+            break
+        found = context_table(texts, now, size)
+        reached = likelihood(_by_class(found, now, size), size)
+        if reached <= known[-1]:
+            break
+        classes, rows = now, found
+        known.append(reached)
+    return classes, rows, known
+
+
+def _rare_words(texts: DataFrame, classes: np.ndarray, size: int, end: int, logs: np.ndarray) -> DataFrame:
+    """(word, c, g, codes, counts) of the words beyond the head: class, and how often they stand between which two neighbours.
+
+    A neighbour is its class, plus ``size`` + 1 if it is beyond the head itself. The frequency of such a word is at most a share of
+    one in ``head`` of all words, so that its rows are no hot spot.
+    """
+    sides = 2 * (size + 1)
+    sent = texts.sparkSession.sparkContext.broadcast(np.where(np.arange(len(classes)) > end, classes + size + 1, classes))
+
+    def places(batches):
+        for ids, rare in _pieces(batches):
+            at = np.flatnonzero(ids > end)
+            codes = sent.value[ids[at - 1]] * sides + sent.value[ids[at + 1]]
+            yield pa.RecordBatch.from_arrays([rare.values, pa.array(codes, pa.int32())], names=["word", "code"])
+
+    def assign(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
-                old = part.column(1).to_numpy()
-                g = moved(_dense(part, size), old, size, logs)
+                codes, counts = part.column(1), part.column(2)
+                rows = np.zeros((part.num_rows, sides))
+                row = np.repeat(np.arange(part.num_rows), codes.value_lengths().to_numpy())
+                before, after = divmod(codes.flatten().to_numpy(), sides)
+                n = counts.flatten().to_numpy()
+                np.add.at(rows, (row, after % (size + 1)), n)
+                np.add.at(rows, (row, size + 1 + before % (size + 1)), n)
+                c = np.bincount(row, weights=n, minlength=part.num_rows).astype(np.int64)
+                g = (rows @ logs.T).argmax(1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(g, pa.int32()), pa.array(g != old)], names=["word", "g", "changed"]
+                    [part.column(0), pa.array(c), pa.array(g, pa.int32()), codes, counts], names=["word", "c", "g", "codes", "counts"]
                 )
 
-    found = contexts.mapInArrow(run, "word string, g int, changed boolean").where(F.col("g") != size)
-    found = stage(found, "classes")
-    return found.select("word", "g"), found.where("changed").count()
+    # the rows of a word come together once and are counted there, by its neighbours and then as a whole
+    found = texts.mapInArrow(places, "word string, code int").repartition("word").groupBy("word", "code").agg(F.count("*").alias("n"))
+    found = found.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("x"))  # at most sides * sides entries
+    found = found.select("word", F.col("x.code").alias("codes"), F.col("x.n").alias("counts"))
+    return stage(found.mapInArrow(assign, "word string, c long, g int, codes array<int>, counts array<long>"), "rare-words")
+
+
+def _rare_sums(rare: DataFrame, classes: np.ndarray, size: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the classes of the words beyond the head change in the class pairs, their words by ending and class, their tokens by class."""
+    side, sides = size + 1, 2 * (size + 1)
+    sent = rare.sparkSession.sparkContext.broadcast(classes[end + 1 :])
+    cells = side * side + TAILS * size + size
+
+    def run(batches):
+        pairs, types, mass = np.zeros((side, side), dtype=np.int64), np.zeros((TAILS, size), dtype=np.int64), np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            ending = np.fromiter((tail(w.encode()) for w in batch.column(0).to_pylist()), dtype=np.int64, count=batch.num_rows)
+            c, g, codes = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3)
+            np.add.at(types, (ending, g), 1)
+            np.add.at(mass, g, c)
+            row = np.repeat(np.arange(batch.num_rows), codes.value_lengths().to_numpy())
+            before, after = divmod(codes.flatten().to_numpy(), sides)
+            n, old, new = batch.column(4).flatten().to_numpy(), sent.value[ending][row], g[row]
+            np.subtract.at(pairs, (old, after % side), n)
+            np.add.at(pairs, (new, after % side), n)
+            head = before < side  # a pair of two words beyond the head is the first one's
+            np.subtract.at(pairs, (before[head], old[head]), n[head])
+            np.add.at(pairs, (before[head], new[head]), n[head])
+        found = np.concatenate([pairs.ravel(), types.ravel(), mass])
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(found[at], pa.int64())], names=["cell", "n"])
+
+    # a fixed number of cells, whatever the number of words
+    summed = rare.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(cells, dtype=np.int64)
+    out[summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    pairs, types, mass = np.split(out, [side * side, side * side + TAILS * size])
+    return pairs.reshape(side, side), types.reshape(TAILS, size), mass
 
 
 @dataclass
@@ -220,57 +325,50 @@ class Model:
     types: np.ndarray  # distinct words of each class
     log_class: np.ndarray  # log10 P(next class | class)
     words: DataFrame  # (word, c, g)
+    rare: DataFrame  # those beyond the head
     head: dict[bytes, int]
+    likelihoods: list[float]
 
 
 def train(texts: DataFrame, *, units: int = UNITS, head: int = HEAD, size: int = CLASSES, rounds: int = ROUNDS) -> Model:
     """The model of the one text column of ``texts``."""
+    spark = texts.sparkSession
     words = stage(word_counts(texts), "word-counts")
-    pairs = stage(pair_counts(texts), "pair-counts")
-    ends = texts.count()
-    first = words.orderBy(F.col("c").desc(), "word").limit(units).toArrow()["word"].to_pylist()
-    classes = stage(_first_classes(words, [w.encode() for w in first], size), "classes")
-    for _ in range(rounds):
-        classes, changed = exchange(_contexts(pairs, classes, size), size)
-        if not changed:
-            break
-    words = stage(words.join(classes, "word").select("word", "c", "g"), "word-classes")
-    summed = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = words.orderBy(F.col("c").desc(), "word").limit(head).toArrow()
     ranked = [w.encode() for w in top["word"].to_pylist()]
-    # pairs of the last classes
-    table, _ = _class_table(_contexts(pairs, classes, size), size, None, None)
-    followers = table[:, : size + 1]
+    counts, end = top["c"].to_numpy(), len(ranked)
+    numbered = streams(texts, ranked)
+    endings = np.array([tail(w) for w in ranked], dtype=np.int64)
+    rank = np.arange(end)
+    classes = np.concatenate([np.where(rank < units, rank, endings) % size, [size], np.arange(TAILS) % size])
+    classes, rows, known = exchange(numbered, classes, size, rounds)
+    table = _by_class(rows, classes, size)
+    rare = _rare_words(numbered, classes, size, end, _logs(table, size))
+    changed, types, mass = _rare_sums(rare, classes, size, end)
+    followers = (table[:, : size + 1] + changed).astype(np.float64)
     prior = (followers.sum(0) + 1) / (followers.sum() + size + 1)
     smooth = (followers + BETA * prior) / (followers.sum(1) + BETA)[:, None]
-
-    def members(batches):
-        found = np.zeros((TAILS, size), dtype=np.int64)
-        for batch in batches:
-            at = np.fromiter((tail(w.encode()) for w in batch.column(0).to_pylist()), dtype=np.int64, count=batch.num_rows)
-            np.add.at(found, (at, batch.column(1).to_numpy()), 1)
-        at, g = np.nonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g), pa.array(found[at, g])], names=["at", "g", "n"])
-
-    # at most TAILS * classes rows
-    groups = words.select("word", "g").mapInArrow(members, "at long, g long, n long").groupBy("at", "g").agg(F.sum("n").alias("n")).collect()
-    mass, types, ending = np.zeros(size), np.zeros(size), np.zeros((TAILS, size))
-    for r in words.groupBy("g").agg(F.sum("c").alias("m"), F.count("*").alias("t")).collect():
-        mass[r["g"]], types[r["g"]] = r["m"], r["t"]
-    for r in groups:
-        ending[r["at"], r["g"]] = r["n"]
-    tails = np.where(ending.any(1), ending.argmax(1), types.argmax())
-    known = dict(zip(ranked, top["g"].to_pylist(), strict=True))
+    distinct = end + int(types.sum())
+    of = classes[:end]
+    np.add.at(types, (endings, of), 1)
+    np.add.at(mass, of, counts)
+    tails = np.where(types.any(1), types.argmax(1), types.sum(0).argmax())
+    ends = int(followers[size].sum())
+    rare = rare.select("word", "c", "g")
+    all_words = spark.createDataFrame(
+        pa.table({"word": top["word"], "c": top["c"], "g": pa.array(of, pa.int32())}), "word string, c long, g int"
+    ).unionByName(rare)
     return Model(
-        Units(known, tails, words), np.arange(size), size, summed[0] + ends, summed[1] + (ends > 0), ends, mass, types,
-        np.log10(smooth), words, dict(zip(ranked, top["c"].to_pylist(), strict=True)),
+        Units(dict(zip(ranked, of.tolist(), strict=True)), tails, rare), np.arange(size), size, int(mass.sum()) + ends, distinct + (ends > 0),
+        ends, mass.astype(np.float64), types.sum(0).astype(np.float64), np.log10(smooth), all_words, rare,
+        dict(zip(ranked, counts.tolist(), strict=True)), known,
     )
 
 
 def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
-    words, whole = model.words, math.log10(model.total + model.distinct + 1)
+    words, whole = model.rare, math.log10(model.total + model.distinct + 1)
     emission = -np.log10(model.mass + ALPHA * (model.types + 1))
     parts = {k: getattr(model, k) for k in ("size", "ends", "log_class", "head")}
     shared = spark.sparkContext.broadcast({**parts, "known": model.units.known, "tails": model.units.tails, "emit": emission})

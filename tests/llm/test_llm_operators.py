@@ -255,6 +255,46 @@ def test_brown_clusters_rare_words_by_their_contexts(spark):
     assert {of[a] for a in names[:60]}.isdisjoint({of[b] for b in names[60:]})
 
 
+def test_brown_tables_and_likelihood(spark):
+    rng = random.Random(4)
+    rows = [(" ".join(rng.choice(WORDS[i % 3 :: 3]) + str(rng.randrange(4)) for i in range(rng.randrange(9))),) for _ in range(200)] + [(None,), ("",)]
+    texts = spark.createDataFrame(rows, "text string").repartition(5)
+    ranked, size = [b"alpha0", b"beta1", b"mu3", b"eta2", b"gamma0"], 3
+    end = len(ranked)
+    number = {w: i for i, w in enumerate(ranked)}
+    classes = np.array([0, 1, 2, 0, 1, size, *(i % size for i in range(brown.TAILS))])
+    numbered = brown.streams(texts, ranked)
+
+    def plain(classes):
+        table, pairs = np.zeros((len(classes), 2 * (size + 1)), dtype=int), Counter()
+        for (t,) in rows:
+            ids = [end, *(number.get(w, end + 1 + brown.tail(w)) for w in brown.tokens_of(t)), end]
+            for a, b in zip(ids, ids[1:]):
+                table[a, classes[b]] += 1
+                table[b, size + 1 + classes[a]] += 1
+                pairs[classes[a], classes[b]] += 1
+        first, second = Counter(), Counter()
+        for (a, b), n in pairs.items():
+            first[a] += n
+            second[b] += n
+        return table, sum(n * math.log(n / first[a] / second[b]) for (a, b), n in pairs.items())
+
+    table, known = plain(classes)
+    assert (brown.context_table(numbered, classes, size) == table).all()
+    found, kept, steps = brown.exchange(numbered, classes, size, 6)
+    table, reached = plain(found)
+    assert (kept == table).all() and math.isclose(steps[0], known) and math.isclose(steps[-1], reached)
+    assert len(steps) > 1 and all(a < b for a, b in zip(steps, steps[1:]))
+    # a step by hand: each number moves to the class under which its counts are likeliest
+    logs = brown._logs(brown._by_class(table, found, size), size)
+    moved = brown.moves(table, found, size, 1)
+    for u in range(len(found)):
+        costs = [sum(n * logs[g, cell] for cell, n in enumerate(table[u])) for g in range(size)]
+        assert moved[u] == (found[u] if u == end or not table[u].any() else int(np.argmax(costs)))
+    for values, kind in ((np.array([0, 7, 2**31 - 1]), "<i4"), (np.array([], dtype=int), "<i8"), (np.array([2**62]), "<i8")):
+        assert (brown.unpack(brown.pack(values, kind), len(values), kind) == values).all()
+
+
 def test_html(spark):
     page = (
         "<!DOCTYPE html><html><head><title>T</title><script>var t='</p>';</script></head><body><header>Top</header><nav><ul><li><a>Home</a></ul></nav>"
