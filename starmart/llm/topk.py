@@ -9,7 +9,8 @@ d(q, x) >= max(0, d(q, p) - high, low - d(q, p)), and with it an upper bound of
 Pivots are a bounded sample (``pivots``); a second bounded sample (``probes``) gives each query a first
 threshold, which is the score of real rows and so never too high. All rows are indexed and searched; rows of the same
 pivot and distance are told apart by id when the index is cut into partitions, so a repeated vector is no hot spot.
-Queries reach the tasks in blocks of at most about ``block`` rows.
+Queries reach the tasks in blocks of at most about ``block`` rows, one after another: the results of a block are stored
+and its broadcast is dropped before the next one is read. Scores are 64-bit numbers; sums that a float holds exactly are made as floats.
 
 Cases: a vector that is null, or holds a null, NaN or infinite component, and a row without an id, take no part.
 Vectors meet only those of the same length (the empty vector too, with score 0). Repeated rows of one id are
@@ -29,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..sinks.stage import stage
 
 RING = 256
+_NONE = 1 - 2**63  # no score; products are larger
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -59,6 +61,16 @@ def _by_length(rows: list) -> dict[int, np.ndarray]:
     return {n: np.array([[0] * n, *vs], dtype=np.float64) for n, vs in out.items()}
 
 
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers, exact: as floats where no sum can reach 2^53, else as 64-bit numbers."""
+    if not a.size or not b.size:
+        return np.zeros((len(a), len(b)), dtype=np.int64)
+    wide, other = a.astype(np.float64), b.astype(np.float64)
+    if np.sqrt((wide**2).sum(1).max()) * np.sqrt((other**2).sum(1).max()) < 2.0**52:
+        return (wide @ other.T).astype(np.int64)
+    return a @ b.T
+
+
 def _matrix(column: pa.Array, length: int) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.int64).reshape(len(column), length)
 
@@ -102,24 +114,20 @@ class _Search:
         self.norms = (self.wide**2).sum(1)
         self.to_pivots = _distances(self.wide, centre)
         self.floor = floor
-        self.score = np.full((len(ids), k), -np.inf)
+        self.score = np.full((len(ids), k), _NONE)
         self.best = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.exact = {}
-
-    def products(self, rows: np.ndarray, x: np.ndarray) -> np.ndarray:
-        return self.wide[rows] @ x.T.astype(np.float64)
 
     def add(self, pivot: int, low: float, high: float, ids: np.ndarray, x: np.ndarray, bound: np.ndarray) -> None:
         active = np.flatnonzero(bound >= np.maximum(self.floor, self.score[:, -1]))
         if not len(active):
             return
-        scores = self.products(active, x)
-        scores[self.ids[active][:, None] == ids[None, :]] = -np.inf
+        scores = _products(self.q[active], x)
+        scores[self.ids[active][:, None] == ids[None, :]] = _NONE
         hit = scores.max(1) >= np.maximum(self.floor, self.score[:, -1])[active]
         active, scores = active[hit], scores[hit]
         if not len(active):
             return
-        scores[scores < self.floor[active][:, None]] = -np.inf
+        scores[scores < self.floor[active][:, None]] = _NONE
         s = np.concatenate([self.score[active], scores], 1)
         i = np.concatenate([self.best[active], np.broadcast_to(ids, scores.shape)], 1)
         order = np.lexsort((i, -s), axis=1)[:, : self.k]
@@ -167,10 +175,10 @@ def search(
         for n, rows in asked.items():
             ids = np.array([r[1] for r in rows], dtype=np.int64)
             q = np.array([r[2] for r in rows], dtype=np.int64).reshape(len(rows), n)
-            floor = np.full(len(ids), -np.inf)
+            floor = np.full(len(ids), _NONE)
             if len(near := by_length.get(n, [])) > k:
-                s = q.astype(np.float64) @ np.array([v for _, v in near], dtype=np.float64).reshape(len(near), n).T
-                s[ids[:, None] == np.array([i for i, _ in near])[None, :]] = -np.inf
+                s = _products(q, np.array([v for _, v in near], dtype=np.int64).reshape(len(near), n))
+                s[ids[:, None] == np.array([i for i, _ in near])[None, :]] = _NONE
                 floor = np.sort(s, 1)[:, -k]
             sent[n] = (np.array([r[0] for r in rows]), ids, q, floor, centres.get(n, np.zeros((1, n))))
         shared = spark.sparkContext.broadcast(sent)
@@ -191,18 +199,20 @@ def search(
                 for _, n, *ring in sorted(rings, key=lambda r: -r[0]):
                     running[n].add(*ring)
             for n, s in running.items():
-                q, j = np.nonzero(np.isfinite(s.score))
+                q, j = np.nonzero(s.score > _NONE)
                 order = shared.value[n][0]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(order[q], pa.int32()), pa.array(s.ids[q], pa.int64()), pa.array(s.best[q, j], pa.int64()),
-                    pa.array(s.score[q, j].astype(np.int64), pa.int64()),
+                    pa.array(s.score[q, j], pa.int64()),
                 ], names=schema.names)
 
-        part = index.select("id", "v", "n", "pivot", "distance").mapInArrow(visit, schema).withColumn("block", F.lit(b))
-        found = part if found is None else found.unionByName(part)
-    best = Window.partitionBy("block", "number").orderBy(F.col("score").desc(), F.col("vec_id"))
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        part = index.select("id", "v", "n", "pivot", "distance").mapInArrow(visit, schema)
+        best = Window.partitionBy("number").orderBy(F.col("score").desc(), F.col("vec_id"))
+        ranked = part.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        ranked = stage(ranked.select("query_id", "rank", "vec_id", "score"), "top-k")
+        shared.destroy()
+        found = ranked if found is None else found.unionByName(ranked)
+    return found
 
 
 def top_k(
