@@ -9,8 +9,8 @@ the end of a WARC record, so executors write plain gzip WARC files and a lost ta
 such bytes too, so pieces are joined again until ``Content-Length`` is reached. A gzip file is read by one task from
 front to back, one record at a time; archives are cut by the number of partitions that write them.
 
-**Assembly.** Records reach the capture they belong to through concurrent-to identifiers, in either direction and through one
-record between, and each capture is one row: the response, requests and metadata records nested.
+**Assembly.** Records reach the capture they belong to through concurrent-to identifiers, in either direction and through any
+number of records between (one round of joins for each, ended when no record is reached), and each capture is one row: the response, requests and metadata records nested.
 
 Cases: a null payload is empty. A null url has no target URI; control characters and spaces in one are percent-coded. A null key is in no
 metadata record. Rows repeated under the largest key are all responses. A record that no identifier ties to a response is a
@@ -229,13 +229,24 @@ def captures(records: DataFrame) -> DataFrame:
     links = known.select("record_id", "holder", F.explode("concurrent_to").alias("to"))
     hubs = known.where("holder").select(F.col("record_id").alias("hub"))
     others = links.where("not holder")
-    direct = others.join(hubs, others["to"] == hubs["hub"]).select("record_id", "hub")
+    met = stage(others.join(hubs, others["to"] == hubs["hub"], "left").select("record_id", "to", "hub"), "warc-met")
+    direct = met.where("hub is not null").select("record_id", "hub")
     named = links.where("holder").select(F.col("to").alias("record_id"), F.col("record_id").alias("hub"))
     first = stage(direct.unionByName(named).groupBy("record_id").agg(F.min("hub").alias("hub")), "warc-hubs")
-    second = others.join(first.withColumnRenamed("record_id", "to"), "to").groupBy("record_id").agg(F.min("hub").alias("hub2"))
-    placed = records.join(first, "record_id", "left").join(second, "record_id", "left")
+    # links between records without a payload, either way, from those that have no capture yet
+    between = met.where("hub is null").select("record_id", "to")
+    between = between.unionByName(between.select(F.col("to").alias("record_id"), F.col("record_id").alias("to")))
+    known = first
+    while True:
+        between = stage(between.join(known, "record_id", "left_anti"), "warc-between")
+        reached = between.join(known.withColumnRenamed("record_id", "to"), "to").groupBy("record_id").agg(F.min("hub").alias("hub"))
+        reached = stage(reached, "warc-hubs")
+        if reached.isEmpty():
+            break
+        known = known.unionByName(reached)
+    placed = records.join(known, "record_id", "left")
     own = F.when(holder, F.col("record_id"))
-    placed = placed.withColumn("capture_id", F.coalesce(own, "hub", "hub2", "record_id"))
+    placed = placed.withColumn("capture_id", F.coalesce(own, "hub", "record_id"))
     rows = placed.groupBy("capture_id").agg(F.collect_list(F.struct(*RECORD.names)).alias("all"))
     return rows.select(
         "capture_id",

@@ -1,5 +1,6 @@
 """Long texts, samples and switches: what must not change with size."""
 
+import math
 import random
 import re
 import time
@@ -7,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm import common, langid, neardup, quality, secrets
+from starmart.llm import common, langid, neardup, quality, secrets, topk, warc
 
 
 def plain_redacted(text, spans):
@@ -74,3 +75,39 @@ def test_alike_classes_of_a_bucket_with_a_large_pivot(spark):
     docs = spark.createDataFrame([(1, " ".join(z)), (2, " ".join(x)), (3, " ".join(y))], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, shingle=4, percent=80).collect()}
     assert got == {1: 1, 2: 2, 3: 2}
+
+
+def test_top_k_of_sums_beyond_a_float(spark):
+    rng = random.Random(12)
+    big = 2**19  # products of about 2^54
+    rows = [(i, [big + rng.randrange(-9, 10) / 256 for _ in range(3)]) for i in range(60)]
+    rows += [(100 + i, [rng.uniform(-1, 1) for _ in range(3)]) for i in range(40)] + [(200 + i, [0.5, -0.5]) for i in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in rows}
+    want = set()
+    for q in range(0, 220, 5):
+        if q in whole:
+            scores = [(-sum(a * b for a, b in zip(whole[q], v)), k) for k, v in whole.items() if k != q and len(v) == len(whole[q])]
+            want |= {(q, r, k, -s) for r, (s, k) in enumerate(sorted(scores)[:5], 1)}
+    assert max(s for *_, s in want) > 2**53
+    for block in (4, 4096):  # many blocks and one
+        got = topk.top_k(table, F.col("id") % 5 == 0, pivots=4, block=block, probes=16).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_captures_through_many_records(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame([(1, "http://a/", "x" * 1500), (2, "http://b/", "y")], "page_id long, url string, html string"), str(tmp_path / "w"))
+    records = warc.read_records(spark, str(tmp_path / "w"))
+    one = records.where("record_type = 'request'").orderBy("record_id").first()
+
+    def linked(name, to):
+        return records.where("record_type = 'metadata'").limit(1).withColumn("record_id", F.lit(name)).withColumn("concurrent_to", F.array(F.lit(to)))
+
+    chain, last = records, one.record_id
+    for name in ("b", "c", "d", "e"):
+        chain, last = chain.unionByName(linked(name, last)), name
+    chain = chain.unionByName(linked("p", "q")).unionByName(linked("q", "p"))
+    found = {r.capture_id: {m.record_id for m in r.metadata} for r in warc.captures(chain).collect()}
+    own = one.concurrent_to[0]
+    assert {"b", "c", "d", "e"} <= found[own] and len(found[own]) == 5
+    assert len(found) == 4 and found["p"] == {"p"} and found["q"] == {"q"}
