@@ -11,6 +11,7 @@ from pyspark.sql.types import (
 
 from starmart import operators as op, quality as qc
 from starmart.contracts import ForeignKey
+from starmart.sinks import stage
 
 from .inputs import table
 
@@ -109,6 +110,19 @@ def fk_matched_rows(spark, sf_dir) -> DataFrame:
     ).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+def fk_orphans_prefiltered(spark, sf_dir) -> DataFrame:
+    """Orphans of the urgent orders of some days; the many customers they do not refer to are ruled out before the shuffle."""
+    few = _orders_with_gaps(spark, sf_dir).where((F.col("o_orderpriority") == "1-URGENT") & (F.dayofmonth("o_orderdate") == 1))
+    return op.orphans(few, _known_customers(spark, sf_dir), ["o_custkey"], ["c_custkey"], prefilter=True)
+
+
+def fk_matched_prefiltered(spark, sf_dir) -> DataFrame:
+    """Orders of the customers of one nation; most other orders are ruled out before the shuffle."""
+    few = table(spark, sf_dir, "customer").where("c_nationkey = 3")
+    found = op.matched_rows(_orders_with_gaps(spark, sf_dir), few, ["o_custkey"], ["c_custkey"], prefilter=True)
+    return found.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 def fk_unused_codes(spark, sf_dir) -> DataFrame:
     """The other direction of a foreign key: codes no row refers to."""
     nation, li = table(spark, sf_dir, "nation"), table(spark, sf_dir, "lineitem")
@@ -202,6 +216,32 @@ def quartiles(spark, sf_dir) -> DataFrame:
     )
 
 
+def _kept_profiles(spark, sf_dir, columns) -> DataFrame:
+    """Profiles by return flag, stored when the flag R held other prices, then made anew for that flag."""
+    li = table(spark, sf_dir, "lineitem").withColumn("l_tax", F.nullif(F.col("l_tax"), F.lit(0.04)))
+    before = li.withColumn("l_extendedprice", F.when(F.col("l_returnflag") == "R", F.lit(-1.0)).otherwise(F.col("l_extendedprice")))
+    stored = stage(op.column_profiles(before, columns, ["l_returnflag"]), "profiles")
+    return op.refreshed_profiles(stored, li.where("l_returnflag = 'R'"), columns, ["l_returnflag"])
+
+
+def quartiles_kept(spark, sf_dir) -> DataFrame:
+    """Exact quartiles that start from the brackets of kept profiles."""
+    li = table(spark, sf_dir, "lineitem")
+    profiles = stage(_kept_profiles(spark, sf_dir, ["l_extendedprice"]), "profiles")
+    points = [0.25, 0.5, 0.75]
+    known = op.bracketing(profiles, "l_extendedprice", points)
+    q1, q2, q3 = op.exact_quantiles(li, "l_extendedprice", points, known=known)
+    return op.row_count(li).select(
+        "n_rows", F.round(F.lit(q1), 6).alias("q1"), F.round(F.lit(q2), 6).alias("q2"),
+        F.round(F.lit(q3), 6).alias("q3"),
+    )
+
+
+def null_shares_kept(spark, sf_dir) -> DataFrame:
+    found = op.null_shares(_kept_profiles(spark, sf_dir, ["l_extendedprice", "l_tax"]))
+    return found.withColumn("pct_missing", F.round("pct_missing", 6))
+
+
 def outliers_iqr(spark, sf_dir) -> DataFrame:
     return qc.outliers(table(spark, sf_dir, "events"), "value").select("event_id", "user_id", "value")
 
@@ -210,7 +250,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         null_profile_pct, duplicate_row_count, year_range, row_counts, profile_columns, distinct_sketch_bound, pk_check,
-        repeated_keys, fk_orphans, fk_orphan_rows, fk_matched_rows, fk_unused_codes, fk_check, unique_check,
+        repeated_keys, fk_orphans, fk_orphan_rows, fk_matched_rows, fk_unused_codes, fk_orphans_prefiltered,
+        fk_matched_prefiltered, quartiles_kept, null_shares_kept, fk_check, unique_check,
         not_null_check, type_cast_contract, typed_values, schema_drift, row_balance, quartiles,
         outliers_iqr,
     )
@@ -298,6 +339,22 @@ where held is not null and not exists (select 1 from known where c_custkey = hel
 with {_GAPS}
 select o_orderkey, held as o_custkey, o_totalprice from gaps
 where exists (select 1 from known where c_custkey = held)""",
+    "fk_orphans_prefiltered": f"""
+with {_GAPS}
+select held as o_custkey, count(*) as n_rows from gaps
+where held is not null and o_orderpriority = '1-URGENT' and day(o_orderdate) = 1
+  and not exists (select 1 from known where c_custkey = held)
+group by held""",
+    "fk_matched_prefiltered": f"""
+with {_GAPS}
+select o_orderkey, held as o_custkey, o_totalprice from gaps
+where exists (select 1 from customer where c_custkey = held and c_nationkey = 3)""",
+    "null_shares_kept": """
+select 'l_extendedprice' as column_name, count(*) as n_rows, count(*) filter (where l_extendedprice is null) as n_missing,
+       0.0::double as pct_missing from lineitem
+union all
+select 'l_tax', count(*), count(*) filter (where l_tax = 0.04),
+       round(count(*) filter (where l_tax = 0.04) * 100.0::double / count(*), 6) from lineitem""",
     "fk_unused_codes": """
 select n_nationkey, count(*) as n_rows from nation
 where n_nationkey not in (select l_linenumber from lineitem) group by n_nationkey""",
@@ -376,6 +433,11 @@ select *, rows_in - rows_duplicate - rows_missing = rows_out as balanced from co
 select count(*) as n_rows, round(quantile_cont(l_extendedprice, 0.25), 6) as q1,
        round(quantile_cont(l_extendedprice, 0.5), 6) as q2,
        round(quantile_cont(l_extendedprice, 0.75), 6) as q3
+from lineitem""",
+    "quartiles_kept": """
+select count(*) as n_rows, round(quantile_cont(l_extendedprice, 0.25), 6) as q1,
+       round(quantile_cont(l_extendedprice, 0.5), 6) as q2,
+       round(quantile_cont(l_extendedprice, 0.75), 6) as q3
 from lineitem""",
     "outliers_iqr": """
 with q as (

@@ -109,6 +109,20 @@ def mart_fact_versions(spark, sf_dir) -> DataFrame:
     return _with_ids(_refreshed(spark, sf_dir, versioned=True).read(spark))
 
 
+def mart_fact_aligned(spark, sf_dir) -> DataFrame:
+    """The same batches into a table in buckets of the arrival number."""
+    return _with_ids(_refreshed(spark, sf_dir, aligned=8).read(spark))
+
+
+def mart_aligned_ages(spark, sf_dir) -> DataFrame:
+    """Ages of the arrivals, from two tables in the same buckets."""
+    source = as_csv(arrivals(spark, sf_dir), "immigration")
+    names = ["fact_immigration", "dim_immigration_personal"]
+    built = run(spark, "", new_path(spark, "mart"), tables=names, paths={"immigration": source}, checks=False, aligned=8)
+    found = an.age_distribution(*(built[n].read(spark) for n in names), band=5)
+    return found.withColumn("share_pct", F.round("share_pct", 6))
+
+
 def mart_months_refreshed(spark, sf_dir) -> DataFrame:
     """Arrivals by state and month, kept in step with the refreshes by their changes alone."""
     counted: list[DataFrame] = []
@@ -282,7 +296,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         mart_fact, mart_fact_counts, mart_fact_quarantine, mart_fact_parquet_sparse, mart_fact_wide_keys, mart_fact_wide_counts, mart_fact_refresh,
-        mart_fact_versions, mart_fact_look_up, mart_fact_repeats, mart_months_refreshed,
+        mart_fact_versions, mart_fact_aligned, mart_aligned_ages, mart_fact_look_up, mart_fact_repeats, mart_months_refreshed,
         mart_personal,
         mart_airline, mart_temperature, mart_temperature_by_date, mart_demography,
         mart_demography_stats, mart_airport, mart_whole, mart_declared, mart_qc_report, dictionary_live,
@@ -341,6 +355,17 @@ ORACLES = {
 select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
     "mart_fact_versions": f"""{_MERGED}
 select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
+    "mart_fact_aligned": f"""{_MERGED}
+select * exclude (immigration_id), count(*) over () as n_ids, count(*) over () as next_id from fact""",
+    "mart_aligned_ages": f"""{_FACT},
+people as (
+  select uid, birth_year, row_number() over (
+    partition by uid order by citizen_country nulls last, residence_country nulls last, birth_year nulls last,
+      gender nulls last, ins_num nulls last) as rn
+  from arrivals)
+select cast(floor((year - birth_year) / 5) * 5 as int) as age_from, count(*) as n,
+       round(count(*) * 100.0::double / sum(count(*)) over (), 6) as share_pct
+from fact join people using (uid) where rn = 1 group by 1""",
     "mart_months_refreshed": f"""{_MERGED}
 select state_code, year, month, count(*) as n from fact group by all""",
     "mart_fact_look_up": f"""{_FACT}

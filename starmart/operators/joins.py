@@ -14,6 +14,7 @@ from pyspark.sql.types import IntegralType
 
 from ..functions import number_to_int, upper_trim
 from ..sinks.stage import stage
+from .prefilter import comparable, key_filter
 
 
 def join_on_uid(fact: DataFrame, dimension: DataFrame, key: str = "uid", how: str = "inner") -> DataFrame:
@@ -70,12 +71,13 @@ def join_places(
 
 def orphans(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str],
-    normalised: bool = False,
+    normalised: bool = False, prefilter: bool = False,
 ) -> DataFrame:
     """Key values of ``child`` that ``parent`` lacks, with their row counts.
 
     Both sides are reduced to distinct keys before they meet, so a hot key is one
-    row. A key with a NULL part refers to nothing and is no orphan.
+    row. A key with a NULL part refers to nothing and is no orphan. ``prefilter`` is for a parent much larger than the
+    child's set of keys: rows of the parent that a Bloom filter of these keys rules out are not shuffled. The result is the same.
     """
     form = upper_trim if normalised else F.col
     keys = [f"__k{i}" for i in range(len(columns))]
@@ -84,8 +86,12 @@ def orphans(
         .na.drop(subset=keys)
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    known = parent.select(*[form(c).alias(k) for c, k in zip(parent_columns, keys)]).distinct()
-    return held.join(known, keys, "left_anti").withColumnsRenamed(dict(zip(keys, columns)))
+    known = parent.select(*[form(c).alias(k) for c, k in zip(parent_columns, keys)])
+    if prefilter and comparable(held, keys, known, keys):
+        held = stage(held, "held-keys")
+        referred = key_filter(held, keys)
+        known = known if referred is None else referred.passing(known, keys)
+    return held.join(known.distinct(), keys, "left_anti").withColumnsRenamed(dict(zip(keys, columns)))
 
 
 def orphan_rows(
@@ -101,10 +107,18 @@ def orphan_rows(
 
 
 def matched_rows(
-    child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
+    child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str], prefilter: bool = False
 ) -> DataFrame:
-    """The rows of ``child`` whose key ``parent`` has."""
+    """The rows of ``child`` whose key ``parent`` has.
+
+    ``prefilter`` is for a child of which few rows match: those that a Bloom filter of the parent's keys rules out are
+    not shuffled. The result is the same.
+    """
     known = parent.select(*[F.col(p).alias(c) for c, p in zip(columns, parent_columns)]).distinct()
+    if prefilter and comparable(child, columns, known, columns):
+        known = stage(known, "known-keys")
+        held = key_filter(known, columns)
+        child = child if held is None else held.passing(child, columns)
     return child.join(known, list(columns), "left_semi")
 
 

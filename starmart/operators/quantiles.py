@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sinks.stage import stage
+from .kept import Bracketing
 
 # Counted values are cut until one task orders no more distinct ones than this.
 ORDERED_VALUES = 100_000
@@ -16,7 +17,7 @@ _CUTS = 100
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = 10_000
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = 10_000, known: Bracketing | None = None
 ) -> list[float | None]:
     """Linearly interpolated quantiles, exact, of the non-missing values of ``column``.
 
@@ -24,26 +25,22 @@ def exact_quantiles(
     the values inside the brackets are counted one by one and those between them all
     together. These counts prove which bracket holds which rank, so the result never
     rests on the sketch's error bound; a bracket that misses is moved and counted again.
-    Only counts reach the driver, and no task orders more than ``ORDERED_VALUES`` values.
+    Only counts reach the driver, and no task orders more than ``ORDERED_VALUES`` values. With ``known``, kept
+    from stored profiles of these rows (see :func:`~starmart.operators.bracketing`), the first scan is saved.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    margin = 2.0 / accuracy
-    sides = {p + side for p in probabilities for side in (-margin, margin)}
-    points = sorted(side for side in sides if 0 < side < 1) or [0.5]
-    sketch = values.agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
-        F.percentile_approx("v", points, accuracy).alias("bounds"),
-    ).first()
-    if not sketch.n:
+    if known is None:
+        known = _sketched(values, probabilities, accuracy)
+    if not known.n:
         return [None] * len(probabilities)
-    bounds = dict(zip(points, sketch.bounds))
+    bounds, margin = known.bounds, known.margin
     ranks, brackets = {}, {}
     for p in probabilities:
-        position = (sketch.n - 1) * p
+        position = (known.n - 1) * p
         ranks[p] = (math.floor(position), math.ceil(position))
-        brackets[p] = (bounds.get(p - margin, sketch.low), bounds.get(p + margin, sketch.high))
+        brackets[p] = (bounds.get(p - margin, known.low), bounds.get(p + margin, known.high))
 
     found: dict[float, tuple[float, float]] = {}
     while len(found) < len(ranks):
@@ -59,7 +56,7 @@ def exact_quantiles(
         for p, (first, last) in open_ranks.items():
             below, hit = _segments_of(totals, first, last)
             if len(hit) > 1 or hit[0] % 2 == 0:
-                brackets[p] = _limits(inside, hit, sketch.low, sketch.high)
+                brackets[p] = _limits(inside, hit, known.low, known.high)
             else:
                 part = counted.filter(F.col("segment") == hit[0])
                 part, below = _narrow(part, totals[hit[0]].n_values, below, first, last)
@@ -70,10 +67,21 @@ def exact_quantiles(
     out = []
     for p in probabilities:
         lower, upper = found[p]
-        out.append(lower + (upper - lower) * ((sketch.n - 1) * p - ranks[p][0]))
+        out.append(lower + (upper - lower) * ((known.n - 1) * p - ranks[p][0]))
     return out
 
 
+def _sketched(values: DataFrame, probabilities: Sequence[float], accuracy: int) -> Bracketing:
+    margin = 2.0 / accuracy
+    sides = {p + side for p in probabilities for side in (-margin, margin)}
+    points = sorted(side for side in sides if 0 < side < 1) or [0.5]
+    sketch = values.agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.percentile_approx("v", points, accuracy).alias("bounds"),
+    ).first()
+    return Bracketing(sketch.n, sketch.low, sketch.high, margin, dict(zip(points, sketch.bounds or ())))
+
+
 def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
     merged: list[tuple[float, float]] = []
     for low, high in sorted(brackets):

@@ -16,13 +16,14 @@ from ..operators.rows import dedupe, distinct_rows, drop_missing, in_range, miss
 from ..quality.checks import report_row
 from ..quality.report import check_mart
 from ..session import enough_partitions, new_path, path_exists, remove_path, stored_bytes
+from ..sinks.aligned import layout_of, write_aligned
 from ..sinks.stage import stage
 from ..sinks.tables import refresh_partitions, write_table
 from ..sinks.versions import current_version, publish
 from ..sources.files import land, land_apart, read_source, read_table, source_path, stored_schema
 from ..sources.labels import LABEL_SECTIONS, label_rejects, parse_labels, read_lines
-from .recipes import RECIPES, Recipe
-from .refresh import Change, merge_batch, merge_version
+from .recipes import FACT, RECIPES, Recipe
+from .refresh import Change, merge_aligned, merge_batch, merge_version
 
 _OK = "__ok"
 
@@ -170,6 +171,7 @@ def build_table(
     versioned: bool = False,
     malformed: int | None = None,
     keyless_apart: bool = False,
+    buckets: int | None = None,
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
@@ -183,7 +185,11 @@ def build_table(
     writes a new version; a table kept as versions stays one. ``malformed`` is the number of source lines that were
     set apart before. With ``keyless_apart`` rows without a key are set apart before rows are compared: each is
     counted as missing and goes to quarantine, where otherwise one stands for all and the others count as removed.
+    With ``buckets`` the table is written in so many hash buckets of its key (see :mod:`starmart.sinks.aligned`); a table in
+    buckets keeps their number, and a refresh of it adds a part.
     """
+    if buckets and (versioned or len(recipe.key) != 1 or recipe.key[0] not in recipe.critical):
+        raise ValueError("buckets need a key of one column without gaps, and no versions")
     if ids not in ("dense", "sparse"):
         raise ValueError(f"unknown kind of ids {ids!r}")
     contract, built = recipe.contract, Built(recipe.contract, path)
@@ -250,8 +256,14 @@ def build_table(
         counts["bad_dates"] = good.filter(bad).count()
         rejected = rejected.unionByName(good.filter(bad), allowMissingColumns=True)
         finished = drop_missing(finished, recipe.late_dates)
-    kept = current_version(spark, path)
-    if refresh and kept is not None:
+    kept, layout = current_version(spark, path), layout_of(spark, path)
+    if refresh and layout is not None:
+        built.change = merge_aligned(finished.select(*contract.columns), path, contract, recipe.key, folder)
+        counts |= built.change.counts
+    elif layout is not None or (buckets and not refresh):
+        dealt = layout.buckets if layout is not None else buckets
+        counts["written"] = write_aligned(finished.select(*contract.columns), path, recipe.key[0], dealt, contract.id_column)
+    elif refresh and kept is not None:
         built.change = merge_version(finished.select(*contract.columns), path, contract, recipe.key, folder)
         counts |= built.change.counts
     elif versioned or kept is not None:
@@ -316,6 +328,7 @@ def run(
     versioned: bool = False,
     lines_apart: bool = False,
     keyless_apart: bool = False,
+    aligned: int | None = None,
 ) -> dict[str, Built]:
     """Build the whole mart, or the named tables of it, below ``dst``.
 
@@ -333,7 +346,9 @@ def run(
     always written anew from their one file, and quarantine and report describe the batch. ``versioned`` keeps the tables
     of the recipes as versions (see :mod:`starmart.sinks.versions`): readers see the old one until the new one is whole. With ``lines_apart`` the lines
     of a CSV source that have more or fewer cells than its header are counted as ``malformed`` by its tables and go as they are to
-    ``dst/quarantine/<source>_lines``; ``keyless_apart`` is that of :func:`build_table`. Sources and tables do not
+    ``dst/quarantine/<source>_lines``; ``keyless_apart`` is that of :func:`build_table`. With
+    ``aligned`` the tables keyed by the arrival number are written in so many hash buckets of it instead of folders, and join
+    without a shuffle; take the partitions that ``conf_for`` gives for their size. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
     while the last tasks of one finish. The stored steps are removed when all is written, unless
     ``keep_steps`` is set or the run fails.
@@ -385,7 +400,7 @@ def run(
         return build_table(
             sources[recipe.source], recipe, f"{dst}/{recipe.name}", ids, date_policy,
             reject_bad_dates, f"{dst}/quarantine/{recipe.name}", folder, mode == "refresh", versioned,
-            malformed.get(recipe.source), keyless_apart,
+            malformed.get(recipe.source), keyless_apart, aligned if recipe.key == FACT.key else None,
         )
 
     names = list(dict.fromkeys(r.source for r in todo))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..contracts import TableContract
 from ..operators.keys import number_staged, tag_rows
 from ..session import remove_path
+from ..sinks.aligned import append_aligned, layout_of, read_aligned
 from ..sinks.stage import stage
 from ..sinks.tables import refresh_partitions, write_table
 from ..sinks.versions import Ranges, current_version, files_of, key_ranges, publish, read_files
@@ -106,7 +107,7 @@ def _in_partitions(rows: DataFrame, values: DataFrame, parts: Sequence[str]) ->
 
 @dataclass
 class Change:
-    """What a batch did to a versioned table: stored rows before and after, and how many files were looked at."""
+    """What a batch did to a versioned or aligned table: stored rows before and after, and how many files were looked at or parts there are."""
 
     added: DataFrame
     replaced: DataFrame
@@ -155,6 +156,21 @@ def merge_version(
     return Change(added, replaced, ranges, counts, numbers)
 
 
+def merge_aligned(batch: DataFrame, path: str, contract: TableContract, key: Sequence[str], folder: str | None = None) -> Change:
+    """As :func:`merge_batch`, for a table in buckets of its key; the result is one more part.
+
+    The batch alone is shuffled: it meets the stored rows bucket by bucket. New ids follow the largest one entered for a part.
+    """
+    spark, layout = batch.sparkSession, layout_of(batch.sparkSession, path)
+    batch = stage(batch, f"batch-{contract.name}", folder)
+    keys = batch.select(*key)  # plain equality, since no key is missing: the stored side stays where it is
+    replaced = stage(read_aligned(spark, path, contract.schema).join(keys, list(key), "left_semi"), f"replaced-{contract.name}", folder)
+    first_id = 0 if layout.top_id is None else layout.top_id + 1
+    added = _added(batch, replaced.select(*contract.columns), contract, key, first_id, folder)
+    n_added = append_aligned(added, path, contract.id_column) if not added.isEmpty() else 0
+    return Change(added, replaced, None, {"known": batch.count() - n_added, "written": n_added}, {"parts": len(layout.parts) + bool(n_added)})
+
+
 def _folders(table: DataFrame, parts: Sequence[str], values: DataFrame) -> list[str]:
     """Folders of partition values, at most one each."""
     place = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")

@@ -10,6 +10,7 @@ from pyspark.sql.types import (
 )
 
 from ..functions import cast_column
+from ..sinks.aligned import PART, layout_of, read_aligned
 from ..sinks.stage import stage
 from ..sinks.versions import current_version, files_of, read_files
 from .sas import read_sas
@@ -127,11 +128,13 @@ def read_source(
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: StructType | None = None
 ) -> DataFrame:
-    """A written mart table, the version in force of one kept as versions; filters on its partition columns prune directories.
+    """A written mart table, the version in force of one kept as versions, the latest parts of an aligned one; filters on its partition columns prune directories.
 
     ``schema`` saves the look into a file footer and fixes the partition column's type.
     """
-    if current_version(spark, path) is not None:
+    if layout_of(spark, path) is not None:
+        df = read_aligned(spark, path, schema if schema is not None else stored_schema(spark, path))
+    elif current_version(spark, path) is not None:
         df = read_files(spark, path, schema if schema is not None else stored_schema(spark, path))
     else:
         reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -141,6 +144,8 @@ def read_table(
 
 def stored_schema(spark: SparkSession, path: str) -> StructType:
     """The columns and types found in the files of a table, and the partition columns after them."""
+    if layout_of(spark, path) is not None:
+        return StructType([f for f in spark.read.parquet(f"{path}/data").schema.fields if f.name != PART])
     if current_version(spark, path) is None:
         return spark.read.parquet(path).schema
     first = files_of(spark, path).select("file").first()
