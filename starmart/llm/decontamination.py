@@ -5,8 +5,8 @@ automaton, and each text is scanned once with it. Word positions of the hits are
 to code points of the text as it was given.
 
 The benchmark reaches the tasks in blocks of at most about ``block_bytes`` of text (or one item,
-if that is longer), so what a task holds is bounded; a further block is a further scan of the
-same rows in the same tasks, without a shuffle.
+if that is longer), each scanned by a job of its own, so a task holds one automaton whatever the benchmark. With more than one block the rows
+are stored with a number, each job stores the hits of its block, and these are joined with the rows at the end.
 
 Cases: a null or empty text has no words and no hits. Items without words have no windows.
 An item without an id contaminates documents but is in no list of items; rows that share an id are
@@ -17,14 +17,18 @@ existing column with the name of the result is replaced.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import ahocorasick
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..sinks.stage import stage
 from .common import with_column
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+_ROW, _FOUND = "__benchmark_row", "__benchmark_found"
 
 _SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _UPPER = bytes(range(0x41, 0x5B))
@@ -95,11 +99,17 @@ def _code_points(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(starts[a], ends[b - 1]) for a, b in runs]
 
 
-def scan(machine: ahocorasick.Automaton | None, text: str | None, before: dict | None = None) -> tuple:
-    """n_words, word_spans, spans and items of one text, joined with those of an earlier block."""
+def _joined(text: str | None, found: list[dict] | None) -> tuple:
+    """What :func:`scan` gives, from the results of the blocks that hit the text."""
+    runs = _merged([(s["start"], s["end"]) for f in found or () for s in f["word_spans"]])
+    items = {i for f in found or () for i in f["items"]}
+    return len(plain_words(text)), runs, _code_points(text, runs) if runs else [], sorted(items)
+
+
+def scan(machine: ahocorasick.Automaton | None, text: str | None) -> tuple:
+    """n_words, word_spans, spans and items of one text."""
     words = plain_words(text)
-    hits = [(s["start"], s["end"]) for s in before["word_spans"]] if before else []
-    items = set(before["items"]) if before else set()
+    hits, items = [], set()
     if machine is not None and words:
         straw = f" {' '.join(words)} "
         ends: list[int] | None = None
@@ -124,20 +134,32 @@ def find_benchmark(
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     block = F.pmod(F.xxhash64("k", "t"), F.lit(blocks))
-    out = docs
-    for b in range(blocks):
+
+    def scanned(rows: DataFrame, b: int) -> tuple[DataFrame, Broadcast]:
         pairs = [tuple(r) for r in items.where(block == b).toLocalIterator()]
         shared = docs.sparkSession.sparkContext.broadcast(pairs)
-        first = b == 0
 
-        def make(shared=shared, first=first):
+        def make():
             machine = automaton(shared.value, size)
-            if first:
-                return lambda texts: [scan(machine, t) for t in texts]
-            return lambda texts, before: [scan(machine, t, p) for t, p in zip(texts, before, strict=True)]
+            return lambda texts: [scan(machine, t) for t in texts]
 
-        out = with_column(out, result, _RESULT, make, text, *([] if first else [result]))
-    return out
+        return with_column(rows, result, _RESULT, make, text), shared
+
+    if blocks == 1:
+        return scanned(docs, 0)[0]
+    rows = stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), "benchmark-rows")
+    texts, hits = rows.select(_ROW, text), []
+    for b in range(blocks):
+        found, shared = scanned(texts, b)
+        hits.append(stage(found.where(F.size(f"{result}.word_spans") > 0).select(_ROW, result), "benchmark-hits"))
+        shared.destroy()
+    # at most one row a block for each document
+    gathered = reduce(DataFrame.unionByName, hits).groupBy(_ROW).agg(F.collect_list(result).alias(_FOUND))
+    both = rows.join(gathered, _ROW, "left")
+    whole = with_column(
+        both, result, _RESULT, lambda: lambda ts, found: [_joined(t, f) for t, f in zip(ts, found, strict=True)], text, _FOUND
+    )
+    return whole.drop(_ROW, _FOUND)
 
 
 def digest(found: DataFrame, key: str = "doc_id", result: str = "benchmark") -> DataFrame:
