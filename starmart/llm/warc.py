@@ -1,7 +1,7 @@
 """WARC archives: writing captures, reading records, assembling captures.
 
 **Writing.** Every page becomes a request, a response or revisit, and a metadata record; request and metadata name
-the response in ``WARC-Concurrent-To``. Among equal payloads of at least ``threshold`` bytes the row with the largest key holds
+the response in ``WARC-Concurrent-To``, a revisit the record that holds its payload in ``WARC-Refers-To``. Among equal payloads of at least ``threshold`` bytes the row with the largest key holds
 the payload and the others revisit it. The three records are one line of Spark's text writer, whose line separator is
 the end of a WARC record, so executors write plain gzip WARC files and a lost task is written again.
 
@@ -39,7 +39,7 @@ RECORD = T.StructType([
     T.StructField("concurrent_to", T.ArrayType(T.StringType())), T.StructField("target_uri", T.StringType()),
     T.StructField("date", T.StringType()), T.StructField("fields", T.MapType(T.StringType(), T.StringType())),
     T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()),
-    T.StructField("block", T.BinaryType()),
+    T.StructField("refers_to", T.StringType()), T.StructField("block", T.BinaryType()),
 ])
 
 
@@ -78,7 +78,14 @@ def write_archives(
     rows = rows.join(groups, ["sha", "size"], "left")
     revisit = F.col("origin").isNotNull() & F.coalesce(F.col("key") < F.col("origin"), F.lit(True))
     base = F.concat(F.lit(path), F.lit(":"), F.monotonically_increasing_id().cast("string"))
-    rows = rows.withColumn("again", revisit).withColumn("base", base)
+    rows = rows.withColumn("again", revisit).withColumn("body", F.when(~F.col("again"), F.col("body"))).withColumn("base", base)
+    # stored, so that a record has one id wherever it is named; revisits need no payload, responses no second join
+    rows = stage(rows, "warc-rows")
+    heads = stage(
+        rows.where(~F.col("again") & F.col("origin").isNotNull()).groupBy("sha", "size").agg(F.min("base").alias("head")), "warc-heads"
+    )
+    revisits = rows.where("again").join(heads, ["sha", "size"], "left")
+    rows = rows.where("not again").withColumn("head", F.lit(None).cast("string")).unionByName(revisits)
     kind = F.when(F.col("again"), "revisit").otherwise("response")
     hub = _urn(F.col("base"), "response")
     shared = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", F.col("url"))]
@@ -91,14 +98,12 @@ def write_archives(
     response = _record(kind, hub, [
         *shared, ("Content-Type", F.lit("application/http; msgtype=response")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "sha")), ("WARC-Profile", F.when(F.col("again"), profile)),
+        ("WARC-Refers-To", F.when(F.col("head").isNotNull(), _urn(F.col("head"), "response"))),
     ], F.concat(http, F.when(F.col("again"), "").otherwise(F.col("body"))))
     request = _record("request", _urn(F.col("base"), "request"), [
         *tied, ("Content-Type", F.lit("application/http; msgtype=request")),
     ], F.concat(F.lit("GET "), F.coalesce("url", F.lit("/")), F.lit(" HTTP/1.1" + _END)))
-    facts = F.concat_ws(
-        "\r\n", F.concat(F.lit("page-id: "), F.col("key").cast("string")),
-        F.when(F.col("again"), F.concat(F.lit("refers-to-page: "), F.col("origin").cast("string"))),
-    )
+    facts = F.coalesce(F.concat(F.lit("page-id: "), F.col("key").cast("string")), F.lit(""))
     metadata = _record("metadata", _urn(F.col("base"), "metadata"), [
         *tied, ("Content-Type", F.lit("application/warc-fields")),
     ], F.concat(facts, F.lit("\r\n")))
@@ -145,7 +150,8 @@ def _parsed(headers: list[tuple[str, str]], block: bytes, blocks: bool) -> dict:
     return {
         "record_id": named.get("warc-record-id"), "record_type": kind, "target_uri": named.get("warc-target-uri"),
         "concurrent_to": [v for n, v in headers if n == "warc-concurrent-to"], "date": named.get("warc-date"),
-        "fields": list(facts.items()), "payload_bytes": size, "payload_digest": digest, "block": block if blocks else None,
+        "fields": list(facts.items()), "payload_bytes": size, "payload_digest": digest,
+        "refers_to": named.get("warc-refers-to"), "block": block if blocks else None,
     }
 
 
@@ -257,10 +263,14 @@ def captures(records: DataFrame) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Page, size and hash of the payload, and what a revisit refers to."""
+    """Page, size and hash of the payload, and the page of the record that a revisit refers to."""
     facts = F.get("metadata", F.lit(0))["fields"]
-    return found.select(
-        facts["page-id"].cast("long").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
+    rows = stage(found.select(
+        "capture_id", facts["page-id"].cast("long").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"), F.col("response.record_type").alias("record_type"),
-        facts["refers-to-page"].cast("long").alias("refers_to"),
-    )
+        F.col("response.refers_to").alias("record"),
+    ), "warc-captures")
+    holders = rows.select(F.col("capture_id").alias("record"), F.col("page_id").alias("refers_to"))
+    linked = rows.where("record is not null").join(holders, "record", "left")
+    plain = rows.where("record is null").withColumn("refers_to", F.lit(None).cast("long"))
+    return plain.unionByName(linked).drop("capture_id", "record")

@@ -4,11 +4,12 @@ import math
 import random
 import re
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm import common, langid, neardup, quality, secrets, topk, warc
+from starmart.llm import common, decontamination, html, langid, neardup, quality, secrets, topk, warc
 
 
 def plain_redacted(text, spans):
@@ -111,3 +112,49 @@ def test_captures_through_many_records(spark, tmp_path):
     own = one.concurrent_to[0]
     assert {"b", "c", "d", "e"} <= found[own] and len(found[own]) == 5
     assert len(found) == 4 and found["p"] == {"p"} and found["q"] == {"q"}
+
+
+def test_revisits_refer_to_the_record_that_holds_the_payload(spark, tmp_path):
+    same, other = "s" * 1200, "o" * 1200
+    rows = [(1, "http://a/", same), (2, "http://b/", other), (3, "http://c/", same), (4, "http://d/", same), (4, "http://e/", same), (None, None, other), (7, "http://f/", "x")]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), str(tmp_path / "w"))
+    records = warc.read_records(spark, str(tmp_path / "w"))
+    by_id = {r.record_id: r for r in records.collect()}
+    revisits = [r for r in by_id.values() if r.record_type == "revisit"]
+    assert len(revisits) == 3 and all(by_id[r.refers_to].record_type == "response" and by_id[r.refers_to].payload_digest == r.payload_digest for r in revisits)
+    assert all(r.refers_to is None for r in by_id.values() if r.record_type != "revisit")
+    found = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.digest(warc.captures(records)).collect())
+    assert found == Counter({(1, "revisit", 4): 1, (2, "response", None): 1, (3, "revisit", 4): 1, (4, "response", None): 2, (None, "revisit", 2): 1, (7, "response", None): 1})
+
+
+def test_a_task_holds_one_automaton_at_a_time(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choices(words, k=14))) for i in range(40)]
+    texts = [(i, " ".join([*rng.choices(words, k=5), *(items[rng.randrange(40)][1].split()[rng.randrange(3):] if i % 3 else []), *rng.choices(words, k=4)])) for i in range(120)]
+    docs = spark.createDataFrame([*texts, (500, None), (501, ""), (3, texts[3][1])], "doc_id long, text string").withColumn("benchmark", F.lit(1)).repartition(4)
+    bench = spark.createDataFrame([*items, (None, items[0][1])], "item_id long, text string")
+    one = decontamination.find_benchmark(docs, bench)
+    many = decontamination.find_benchmark(docs, bench, block_bytes=400)
+    assert many.columns == one.columns
+    assert Counter(map(str, one.collect())) == Counter(map(str, many.collect()))
+    assert many._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 2
+
+
+def test_copies_of_a_page_without_markup_keep_their_text(spark):
+    menu = "<div>" + " ".join(f"menu{i}" for i in range(20)) + "</div>"
+    text = " ".join(f"news{i}" for i in range(40))
+    rows = [(1, "http://k/1", f"{menu}<p>{text}</p>"), (2, "http://k/2", f"{menu}<p>{text}</p>"), (3, "http://k/3", f"<head><title>t</title></head>{menu}<p>{text}</p>"),
+            (4, "http://k/4", f"{menu}<p>another one</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for size in (1 << 30, 50):
+        got = {r.page_id: r.text for r in html.extract(pages, shard_bytes=size).collect()}
+        assert got == {1: text, 2: text, 3: text, 4: "another one"}
+
+
+def test_names_tell_asides_by_their_last_word():
+    page = (
+        "<article><p>a</p><div class='share-price'><p>b</p></div><div class='share-buttons x'>c</div><p class='related'>d</p><p>e</p>"
+        "<div id='ad_300x250'>f</div><div class='comment-list-2'>g</div><p class='notice-of-court-text'>h</p><div class='main-content'>i</div></article>"
+    )
+    assert "".join(t for k, t in html.blocks_of(page) if k == 0) == "abehi"
