@@ -16,6 +16,8 @@ from starmart.llm.queries import vocabulary_path
 from starmart.sinks.stage import stage
 
 LEAST_QUALITY = 0.3
+#: Words that a task of the last stage remembers; an executor still holds what the stages before it took.
+WORDS = 50_000
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +59,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and ids of every document."""
-    found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), decoded=False)
+    found = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path(), decoded=False, memo=WORDS)
     ids = F.col("bpe.ids")
     return found.select("doc_id", "lang", "source", F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"))
 

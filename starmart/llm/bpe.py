@@ -5,7 +5,8 @@ pair is merged, its neighbours' new pairs are pushed, and entries whose symbols
 are skipped. Decoding concatenates vocabulary strings; the file names no decoder, so a space is between them.
 
 The vocabulary file is read on the driver and broadcast: it is a fixed file of a few MB that does not grow
-with the data. Words already merged and their pieces are remembered in each task, up to ``MEMO`` of either; then the older half goes.
+with the data. Words already merged and their pieces are remembered in each task, up to ``memo`` of either; then the older half goes.
+The strings of a word's ids are remembered too, where the decoded text is wanted.
 
 Cases: a null or empty text gives no ids. Special tokens that stand in a text are found before normalisation and
 become their ids, as the tokenizers library does. Repeated rows are encoded one by one; other columns are handed
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import with_column
 
+#: Words remembered by a task, at about 500 bytes a word and its pieces; fewer take less memory and more time.
 MEMO = 400_000
 _PLACES = 40  # bits of a place in a word, or of a symbol
 _PLACE = (1 << _PLACES) - 1
@@ -92,7 +94,8 @@ def merge(symbols: list[int], merges: Merges) -> list[int]:
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, decoded: bool = True, memo: int = MEMO) -> None:
+        self.decoded, self.most = decoded, memo
         data = json.loads(spec)
         model = data["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -109,7 +112,7 @@ class Codec:
         self.parts: dict[str, list[int]] = {}
 
     def _merged(self, text: str) -> tuple[bytes, str, int]:
-        """Ids as 32-bit numbers, their strings and how many there are, of characters without white space."""
+        """Ids as 32-bit numbers, their strings (none unless decoded) and how many there are, of characters without white space."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         # lower case of single characters: the rule for a sigma at the end of a word is the only other one
@@ -117,7 +120,7 @@ class Codec:
         ids: list[int] = []
         for piece in [text] if text.isascii() and text.isalpha() else self.pieces.findall(text):
             ids += self._piece(piece)
-        return array("I", ids).tobytes(), " ".join(map(self.strings.__getitem__, ids)), len(ids)
+        return array("I", ids).tobytes(), " ".join(map(self.strings.__getitem__, ids)) if self.decoded else "", len(ids)
 
     def _piece(self, piece: str) -> list[int]:
         got = self.parts.get(piece)
@@ -136,7 +139,7 @@ class Codec:
         at = 0
         for m in self.specials.finditer(text) if self.special else ():
             out += self._plain(text[at : m.start()])
-            out.append((array("I", [self.special[m.group()]]).tobytes(), m.group(), 1))
+            out.append((array("I", [self.special[m.group()]]).tobytes(), m.group() if self.decoded else "", 1))
             at = m.end()
         return out + self._plain(text[at:] if at else text)
 
@@ -144,8 +147,8 @@ class Codec:
         memo = self.memo
         chunks = WHITE.split(text) if SPLITS_MORE.search(text) else text.split()
         for known in (memo, self.parts):
-            if len(known) > MEMO:
-                for old in list(known)[: MEMO // 2]:
+            if len(known) > self.most:
+                for old in list(known)[: len(known) - self.most // 2]:
                     del known[old]
         new = {c for c in chunks if c not in memo}
         for chunk in new:
@@ -169,13 +172,13 @@ def _shared(docs: DataFrame, path: str):
 
 
 def encode(
-    docs: DataFrame, path: str, *, text: str = "text", result: str = "bpe", decoded: bool = True
+    docs: DataFrame, path: str, *, text: str = "text", result: str = "bpe", decoded: bool = True, memo: int = MEMO
 ) -> DataFrame:
     """``docs`` with a struct column of ``ids`` and, unless not wanted, the text ``decoded`` from them."""
     spec = _shared(docs, path)
 
     def make():
-        codec = Codec(spec.value)
+        codec = Codec(spec.value, decoded, memo)
 
         def one(found):
             return array("I", b"".join([p[0] for p in found])).tolist(), " ".join([p[1] for p in found]) if decoded else None

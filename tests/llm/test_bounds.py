@@ -158,3 +158,17 @@ def test_names_tell_asides_by_their_last_word():
         "<div id='ad_300x250'>f</div><div class='comment-list-2'>g</div><p class='notice-of-court-text'>h</p><div class='main-content'>i</div></article>"
     )
     assert "".join(t for k, t in html.blocks_of(page) if k == 0) == "abehi"
+
+
+def test_ids_without_strings_and_few_remembered_words():
+    from starmart.llm import bpe
+    from starmart.llm.queries import vocabulary_path
+
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        spec = file.read()
+    plain, small = bpe.Codec(spec), bpe.Codec(spec, decoded=False, memo=20)
+    texts = [" ".join(f"word{i * 7 + j} thing-{j}<|endoftext|>" for j in range(12)) for i in range(50)]
+    for text in texts:
+        assert small.encode(text) == plain.encode(text)
+        # what is over the bound goes when the next text comes
+        assert len(small.memo) <= 20 + 25 and not any(strings for _, strings, _ in small.memo.values())
