@@ -21,7 +21,10 @@ _LABEL_LINES = 1_036
 
 def label_lines(spark, sf_dir) -> DataFrame:
     """(pos, line) of a label file as long as its sections: codes that repeat, lines without a pair, other lines between."""
-    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_orderkey").alias("pos")).agg(F.max("o_custkey").alias("c"))
+    numbers = spark.range(_LABEL_LINES).withColumnRenamed("id", "pos")
+    # the few orders that make a line are found before orders are grouped: as many rows as lines are shuffled and joined
+    orders = table(spark, sf_dir, "orders").withColumn("pos", F.col("o_orderkey").cast("long")).join(numbers, "pos", "left_semi")
+    orders = orders.groupBy("pos").agg(F.max("o_custkey").alias("c"))
     code, pos = (F.col(c).cast("string") for c in ("c", "pos"))
     code = F.pmod(F.col("c"), F.lit(400)).cast("string")
     formats = {
@@ -33,7 +36,7 @@ def label_lines(spark, sf_dir) -> DataFrame:
     for name, section in LABEL_SECTIONS.items():
         inside = (F.col("pos") >= section.start) & (F.col("pos") < section.stop) & (F.col("pos") % 10 != 7)
         line = F.when(inside & F.col("c").isNotNull(), formats[name]).otherwise(line)
-    return spark.range(_LABEL_LINES).withColumnRenamed("id", "pos").join(orders, "pos", "left").select("pos", line.alias("value"))
+    return numbers.join(orders, "pos", "left").select("pos", line.alias("value"))
 
 
 def _default_layout(spark, sf_dir) -> str:
@@ -43,8 +46,8 @@ def _default_layout(spark, sf_dir) -> str:
     write_csv(temperatures(spark, sf_dir), f"{base}/{SOURCE_FILES['temperature']}")
     write_csv(demographics(spark, sf_dir), f"{base}/{SOURCE_FILES['demography']}", ";")
     write_csv(airports(spark, sf_dir), f"{base}/{SOURCE_FILES['airport']}")
-    # one file, since lines are counted by file; its length is fixed
-    lines = label_lines(spark, sf_dir).coalesce(1).sortWithinPartitions("pos").select("value")
+    # one file, since lines are counted by file; its length is fixed, and only its lines meet in one task
+    lines = label_lines(spark, sf_dir).repartition(1).sortWithinPartitions("pos").select("value")
     lines.write.text(f"{base}/{SOURCE_FILES['labels']}")
     return base
 
@@ -79,7 +82,7 @@ def dictionary_whole(spark, sf_dir) -> DataFrame:
 def mart_labels_rejected(spark, sf_dir) -> DataFrame:
     """What became of the lines of each section of the label file."""
     base = new_path(spark, "base")
-    lines = label_lines(spark, sf_dir).coalesce(1).sortWithinPartitions("pos").select("value")
+    lines = label_lines(spark, sf_dir).repartition(1).sortWithinPartitions("pos").select("value")
     lines.write.text(f"{base}/{SOURCE_FILES['labels']}")
     built = run(spark, base, new_path(spark, "mart"), tables=list(LABEL_SECTIONS), checks=False)
     rows = [(name, step, n) for name, b in built.items() for step, n in b.counts.items()]
