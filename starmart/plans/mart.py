@@ -204,6 +204,9 @@ def build_table(
         column, values = recipe.only
         rows = rows.filter(F.col(column).isin(*values))
         bad_rows = bad_rows.filter(F.col(column).isin(*values)) if bad_rows is not None else None
+    if bad_rows is not None and quarantine:
+        # stored, so that keys are parsed once for the count and the quarantine
+        bad_rows = stage(bad_rows, f"bad-keys-{recipe.name}", folder)
     counts["bad_keys"] = bad_rows.count() if bad_rows is not None else 0
 
     missing_first = recipe.cleaning[0] == "missing"

@@ -27,3 +27,42 @@ def test_label_file_is_one_file_and_its_lines_alone_meet_in_one_task(spark, tmp_
     runs.mart_labels_rejected(spark, str(tmp_path))
     written = spark.read.text(f"{seen[0]}/{runs.SOURCE_FILES['labels']}")
     assert len(written.inputFiles()) == 1 and written.count() == 1036
+
+
+def test_long_numbers_are_read_with_every_digit(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from starmart.functions import number_to_long
+
+    texts = ["7", "-7.9", "+7.0", "5.", ".5", "9999999999999.9", "99999999999999999.9", "9" * 15 + ".9", "0.99999999999999999", " 5 ", "5\t",
+             "1e3", "9223372036854775807", "-9223372036854775808.0"]
+    odd = ["9223372036854775808", "x", "", ".", "-", "1.2.3", "5\x01", "\x015", "1 2", "0x10", "1d", "NaN", "Infinity", "2016-04-01", "１"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, *odd]], "t string")
+    found = dict(map(tuple, rows.select("t", number_to_long(F.col("t"))).collect()))
+    assert found == {t: int(Decimal(t.strip())) for t in texts} | dict.fromkeys(odd)
+    # text of a few digits is read before a pattern is tried
+    plan = rows.select(number_to_long(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as double" in plan
+
+
+def test_bad_keys_are_parsed_once(spark, tmp_path, monkeypatch):
+    from starmart.plans import run
+    from starmart.plans.recipes import FACT
+    from starmart.sinks import stage as plain_stage
+
+    stored = {}
+
+    def stage(df, name, folder=None):
+        stored[name] = plain_stage(df, name, folder)
+        return stored[name]
+
+    monkeypatch.setattr("starmart.plans.mart.stage", stage)
+    rows = [(k, "2016.0", "4.0", "A", "X", "20573.0", "20575.0", "1.0", "2.0") for k in ("1.0", "2.5", "x", "2", None, " ")]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in FACT.columns)).write.parquet(f"{tmp_path}/in")
+    built = run(spark, "", f"{tmp_path}/mart", tables=["fact_immigration"], paths={"immigration": f"{tmp_path}/in"},
+                formats={"immigration": "parquet"}, checks=False, keep_steps=True)["fact_immigration"]
+    assert built.counts["bad_keys"] == 2 and built.counts["written"] == 2 and built.balanced
+    kept = stored["bad-keys-fact_immigration"].collect()
+    assert sorted(r.uid for r in kept) == ["2.5", "x"] == sorted(r.uid for r in spark.read.parquet(built.bad_keys).collect())
