@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "__rank"
+#: So many rows of one key are no burden to a partition.
+_FEW = 100_000
 
 
 def equal_to(df: DataFrame, column: str, *values) -> DataFrame:
@@ -69,6 +71,32 @@ def dedupe(
     )
 
 
+def frequent_keys(df: DataFrame, key: str, n_rows: int) -> list:
+    """Keys that hold more of the ``n_rows`` rows than a shuffle partition should; a sketch of one pass finds them."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(_FEW, n_rows // (4 * partitions))
+    if n_rows <= least:
+        return []
+    found = df.agg(F.expr(f"approx_top_k(`{key}`, 1000)").alias("top")).first().top or []
+    return [r.item for r in found if r.item is not None and r["count"] > least]
+
+
+def dedupe_in_ranges(
+    df: DataFrame, key: str, frequent: Sequence = (), order_by: Sequence[str | Column] = (), prefer_complete: Sequence[str] = ()
+) -> DataFrame:
+    """The rows of :func:`dedupe`, dealt to partitions by ranges of the key and sorted by it in each: one shuffle for both.
+
+    Rows of the ``frequent`` keys and of the NULL key are reduced apart, before that shuffle, so that no partition
+    has to hold them all. Which keys these are does not change the result. ``df`` is read to find the ranges, so
+    give a stored one.
+    """
+    apart = F.col(key).isNull()
+    if frequent:
+        apart = apart | F.col(key).isin(*frequent)
+    few = dedupe(df.filter(apart), key, order_by, prefer_complete)
+    return dedupe(df.filter(~apart).unionByName(few).repartitionByRange(key), key, order_by, prefer_complete)
+
+
 def dedupe_report(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows before, removed and after a de-duplication on ``key``, as one row."""
     key = [key] if isinstance(key, str) else list(key)

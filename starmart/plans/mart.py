@@ -12,7 +12,7 @@ from pyspark.sql.types import DataType, IntegerType, LongType, StringType, Struc
 from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
 from ..operators.keys import number_staged, tag_rows
-from ..operators.rows import dedupe, distinct_rows, drop_missing, in_range, missing_counts
+from ..operators.rows import dedupe, dedupe_in_ranges, distinct_rows, drop_missing, frequent_keys, in_range, missing_counts
 from ..quality.checks import report_row
 from ..quality.report import check_mart
 from ..session import enough_partitions, new_path, path_exists, remove_path, stored_bytes
@@ -26,6 +26,7 @@ from .recipes import FACT, RECIPES, Recipe
 from .refresh import Change, merge_aligned, merge_batch, merge_version
 
 _OK = "__ok"
+_BAD = "__bad"
 
 
 class QualityError(RuntimeError):
@@ -98,27 +99,40 @@ def _is_bad_key(raw: Column, found: DataType, typed: Column) -> Column:
     """A key that is present but not held by the column's type without loss; blank text is a missing one."""
     present = F.trim(raw) != "" if isinstance(found, StringType) else raw.isNotNull()
     exact = raw.try_cast("decimal(38,10)")
-    return F.coalesce(present & (typed.isNull() | (exact != typed.cast("decimal(38,10)"))), F.lit(False))
-
-
-def split_bad_keys(df: DataFrame, recipe: Recipe, date_policy: str) -> tuple[DataFrame, DataFrame | None]:
+    lossy = exact != typed.cast("decimal(38,10)")
+    if isinstance(found, StringType):
+        # text of at most 15 characters without letters is the number when its double is, and needs no decimals
+        plain = (F.length(raw) <= 15) & (F.upper(raw) == F.lower(raw))
+        same = F.when(plain & typed.isNotNull(), raw).try_cast("double") == typed.cast("double")
+        lossy = F.when(same, F.lit(False)).otherwise(lossy)
+    return F.coalesce(present & (typed.isNull() | lossy), F.lit(False))
+
+
+def split_bad_keys(
+    df: DataFrame, recipe: Recipe, date_policy: str, folder: str | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """The typed rows, and apart from them those whose key is no number of its type, with the key as text.
 
-    Without this all such rows would share the key NULL, and one of them would stand for all.
+    Without this all such rows would share the key NULL, and one of them would stand for all. The typed rows are
+    stored, so that ``df`` is read and its text parsed once; a raw key is kept of the bad rows alone.
     """
+    name = f"typed-{recipe.name}"
     numbers = {
         name: source for source, name in recipe.columns.items()
         if name in recipe.key and isinstance(recipe.contract.type_of(name), (IntegerType, LongType))
     }
     if not numbers:
-        return typed_columns(recipe, df, date_policy), None
+        return stage(typed_columns(recipe, df, date_policy), name, folder), None
     both = typed_columns(recipe, df, date_policy, keep_raw=True)
     bad = F.lit(False)
-    for name, source in numbers.items():
-        bad = bad | _is_bad_key(F.col(f"raw_{name}"), df.schema[source].dataType, F.col(name))
+    for n, source in numbers.items():
+        bad = bad | _is_bad_key(F.col(f"raw_{n}"), df.schema[source].dataType, F.col(n))
     names = list(recipe.columns.values())
-    shown = [F.col(f"raw_{n}").cast("string").alias(n) if n in numbers else F.col(n) for n in names]
-    return both.filter(~bad).select(*names), both.filter(bad).select(*shown)
+    both = both.withColumn(_BAD, bad)
+    raw = [F.when(F.col(_BAD), F.col(f"raw_{n}").cast("string")).alias(f"raw_{n}") for n in numbers]
+    both = stage(both.select(*names, *raw, _BAD), name, folder)
+    shown = [F.col(f"raw_{n}").alias(n) if n in numbers else F.col(n) for n in names]
+    return both.filter(~F.col(_BAD)).select(*names), both.filter(_BAD).select(*shown)
 
 
 def check_casts(df: DataFrame, recipe: Recipe, date_policy: str = "lenient") -> DataFrame:
@@ -147,6 +161,15 @@ def _reduce(df: DataFrame, recipe: Recipe) -> DataFrame:
     return distinct_rows(df)
 
 
+def _reduce_in_order(df: DataFrame, recipe: Recipe, n_rows: int) -> DataFrame:
+    """As :func:`_reduce` for stored rows with a key of one number, in ranges of it; complete rows first in each partition."""
+    key = recipe.key[0]
+    found = dedupe_in_ranges(df, key, frequent_keys(df, key, n_rows), prefer_complete=recipe.critical)
+    found = found.withColumn(_OK, _complete(recipe.critical))
+    # one number to sort by, which takes no comparison of rows
+    return found.sortWithinPartitions(F.when(F.col(_OK), F.col(key)).asc_nulls_last())
+
+
 def _finish(df: DataFrame, recipe: Recipe) -> DataFrame:
     """Derived columns that need no row to be compared."""
     changed = {c: to_date(c) for c in recipe.late_dates} | {c: F.upper(c) for c in recipe.upper}
@@ -175,11 +198,10 @@ def build_table(
 ) -> Built:
     """Clean ``df`` by the recipe, write the table to ``path`` and count every row's fate.
 
-    The rows of a key are reduced before the shuffle. The reduced rows are stored
-    once, all later steps read that copy: counts are exact whatever was retried,
-    ids do not change, and nothing is parsed or shuffled a second time. ``dense`` ids
-    need the stored copy in key order, ``sparse`` ones save that sort. Give a columnar
-    ``df`` (see :func:`~starmart.sources.land`), its row count is read from the footers.
+    ``df`` is read once and stored with its types. The rows of a frequent key, or of a missing one, are reduced before the
+    shuffle. The reduced rows are stored once, all later steps read that copy: counts are exact whatever was retried,
+    ids do not change, and nothing is parsed or shuffled a second time. ``dense`` ids need the stored copy in key
+    order: rows are then shuffled by ranges of the key, and ordered and reduced there; ``sparse`` ones need no order.
     With ``refresh`` the rows are merged into the table found at ``path`` (see :func:`merge_batch` and, for
     one kept as versions, :func:`merge_version`), and ``written`` counts those of this batch. ``versioned``
     writes a new version; a table kept as versions stays one. ``malformed`` is the number of source lines that were
@@ -195,11 +217,11 @@ def build_table(
     contract, built = recipe.contract, Built(recipe.contract, path)
     spark = df.sparkSession
     counts = built.counts
-    n_rows = df.count()
+    rows, bad_rows = split_bad_keys(df, recipe, date_policy, folder)
+    n_rows = rows.count() + (bad_rows.count() if bad_rows is not None else 0)
     counts["read"] = n_rows + (malformed or 0)
     if malformed is not None:
         counts["malformed"] = malformed
-    rows, bad_rows = split_bad_keys(df, recipe, date_policy)
     if recipe.only:
         column, values = recipe.only
         rows = rows.filter(F.col(column).isin(*values))
@@ -228,13 +250,19 @@ def build_table(
         without_key = keyless.agg(*missing_counts(lacking)).first()
         rows = drop_missing(rows, lacking)
 
-    reduced = _reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical))
     name = f"cleaned-{recipe.name}"
-    if contract.id_column:
+    one_number = (
+        "dedupe" in recipe.cleaning and len(recipe.key) == 1 and recipe.key[0] in recipe.critical
+        and isinstance(contract.type_of(recipe.key[0]), (IntegerType, LongType))
+    )
+    if contract.id_column and ids == "dense" and one_number:
+        staged = stage(tag_rows(_reduce_in_order(rows, recipe, n_rows), None), name, folder)
+    elif contract.id_column:
+        reduced = _reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical))
         order = [F.col(_OK).desc(), *recipe.key] if ids == "dense" else None
         staged = stage(tag_rows(reduced, order, order_is_unique=bool(recipe.key)), name, folder)
     else:
-        staged = stage(reduced, name, folder)
+        staged = stage(_reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical)), name, folder)
 
     after = staged.agg(F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)).first()
     if not missing_first:
@@ -247,9 +275,10 @@ def build_table(
     entered = n_rows - counts["bad_keys"] - counts["filtered"] - (counts["missing"] if missing_first else 0)
     counts["removed"] = entered - after["__n"] - (sum(without_key) if keyless is not None else 0)
 
-    if contract.id_column:
-        staged = number_staged(staged, contract.id_column, dense=ids == "dense")
     good = staged.filter(F.col(_OK))
+    if contract.id_column:
+        # complete rows come first in each partition, so the ids count them alone
+        good = number_staged(good, contract.id_column, dense=ids == "dense")
     finished = _finish(good, recipe)
     counts["bad_dates"] = 0
     if reject_bad_dates and recipe.late_dates:
@@ -387,7 +416,9 @@ def run(
         absent = [c for c in used if c not in df.columns]
         if absent:
             raise ValueError(f"source {name} lacks the columns {absent}")
-        return df if fmt == "parquet" else land(df, used, name, folder)
+        if fmt == "parquet" or not checks and sum(r.source == name for r in todo) == 1:
+            return df  # its one table reads it once
+        return land(df, used, name, folder)
 
     todo = [r for r in recipes.values() if r.name in wanted]
     malformed: dict[str, int] = {}  # by source, filled before its tables are built

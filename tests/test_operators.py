@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart import operators as op
 from starmart.operators import quantiles as quantile_module
+from starmart.operators.rows import dedupe_in_ranges, frequent_keys
 
 FEW = settings(
     max_examples=6, deadline=None,
@@ -223,3 +224,26 @@ def test_orphans_ignore_null_keys(spark):
 def test_city_of_port(spark):
     df = spark.createDataFrame([("SAMPLETOWN, XX   ",), ("No comma ",), (None,)], "c string")
     assert [r[0] for r in df.select(op.city_of_port("c")).collect()] == ["SAMPLETOWN", "NO COMMA", None]
+
+
+def test_rows_are_reduced_in_ranges_of_the_key(spark):
+    rows = [(k, v % 3 if v % 4 else None, f"t{v % 5}") for v in range(40) for k in (None, -7, 3, 8, v, 1000 - v)]
+    df = spark.createDataFrame(rows, "k long, a int, b string").repartition(4)
+    want = sorted(op.dedupe(df, "k", prefer_complete=["k", "a"]).collect(), key=str)
+    for frequent in ((), (3, -7), (12345,)):
+        found = dedupe_in_ranges(df, "k", frequent, prefer_complete=["k", "a"])
+        # only the rows of frequent keys are dealt by hash; the others meet, and are sorted, in one shuffle
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(found.collect(), key=str) == want
+        assert plan.count("Exchange range") == plan.count("Exchange hash") == 1
+        assert "row_number(), 1, Partial" in plan.split("Exchange hash")[1]
+    parts = found.select("k", F.spark_partition_id().alias("p")).groupBy("p").agg(F.min("k").alias("low"), F.max("k").alias("high")).sort("low").collect()
+    parts = [p for p in parts if p.low is not None]
+    assert all(a.high < b.low for a, b in zip(parts, parts[1:], strict=False))
+
+
+def test_frequent_keys(spark, monkeypatch):
+    monkeypatch.setattr("starmart.operators.rows._FEW", 50)
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"))
+    assert frequent_keys(df, "k", 4000) == [5]
+    assert frequent_keys(df.limit(0), "k", 0) == frequent_keys(df.where("k <> 5"), "k", 50) == []

@@ -66,3 +66,29 @@ def test_bad_keys_are_parsed_once(spark, tmp_path, monkeypatch):
     assert built.counts["bad_keys"] == 2 and built.counts["written"] == 2 and built.balanced
     kept = stored["bad-keys-fact_immigration"].collect()
     assert sorted(r.uid for r in kept) == ["2.5", "x"] == sorted(r.uid for r in spark.read.parquet(built.bad_keys).collect())
+
+
+def test_a_source_of_one_table_is_parsed_once(spark, tmp_path, monkeypatch):
+    from starmart.plans import run
+    from starmart.plans.recipes import FACT
+    from starmart.sinks import stage as plain_stage
+
+    stored = []
+
+    def stage(df, name, folder=None):
+        stored.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return plain_stage(df, name, folder)
+
+    monkeypatch.setattr("starmart.plans.mart.stage", stage)
+    monkeypatch.setattr("starmart.sources.files.stage", stage)
+    rows = [(k, "2016.0", "4.0", "A", "X", d, "20575.0", "1.0", "2.0")
+            for k, d in (("3.0", "20573.0"), ("1.0", "20573.0"), ("2.5", "20573.0"), ("x", "20573.0"), ("2", "20573.0"), ("2", None), ("0", None), (None, "20573.0"), (" ", "20573.0"))]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in FACT.columns)).repartition(3).write.option("header", True).csv(f"{tmp_path}/in")
+    built = run(spark, "", f"{tmp_path}/mart", tables=["fact_immigration"], paths={"immigration": f"{tmp_path}/in"}, checks=False)["fact_immigration"]
+    assert built.balanced and built.counts["bad_keys"] == 2 and built.counts["missing"] == 2
+    assert [name for name, plan in stored if "csv" in plan.lower()] == ["typed-fact_immigration"]
+    # ids count the complete rows alone, in the order of the key
+    found = built.read(spark).sort("uid").select("uid", "immigration_id").collect()
+    assert [tuple(r) for r in found] == [(1, 0), (2, 1), (3, 2)]
+    cleaned = dict(stored)["cleaned-fact_immigration"]
+    assert "rangepartitioning(uid" in cleaned and "upper(" not in cleaned
