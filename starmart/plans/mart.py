@@ -276,7 +276,13 @@ def build_table(
     counts["removed"] = entered - after["__n"] - (sum(without_key) if keyless is not None else 0)
 
     good = staged.filter(F.col(_OK))
-    if contract.id_column:
+    kept, layout = current_version(spark, path), layout_of(spark, path)
+    merges = refresh and (layout is not None or kept is not None or path_exists(spark, path))
+    # reduced to one row for each key, none missing, so a merge reads the stored rows as they are
+    clean = bool(recipe.key) and "dedupe" in recipe.cleaning and set(recipe.key) <= set(recipe.critical)
+    if contract.id_column and merges:
+        good = good.withColumn(contract.id_column, F.lit(None).cast("long"))  # the merge gives ids
+    elif contract.id_column:
         # complete rows come first in each partition, so the ids count them alone
         good = number_staged(good, contract.id_column, dense=ids == "dense")
     finished = _finish(good, recipe)
@@ -288,22 +294,21 @@ def build_table(
         counts["bad_dates"] = good.filter(bad).count()
         rejected = rejected.unionByName(good.filter(bad), allowMissingColumns=True)
         finished = drop_missing(finished, recipe.late_dates)
-    kept, layout = current_version(spark, path), layout_of(spark, path)
-    if refresh and layout is not None:
-        built.change = merge_aligned(finished.select(*contract.columns), path, contract, recipe.key, folder)
+    if merges and layout is not None:
+        built.change = merge_aligned(finished.select(*contract.columns), path, contract, recipe.key, folder, clean)
         counts |= built.change.counts
     elif layout is not None or (buckets and not refresh):
         dealt = layout.buckets if layout is not None else buckets
         counts["written"] = write_aligned(finished.select(*contract.columns), path, recipe.key[0], dealt, contract.id_column)
-    elif refresh and kept is not None:
-        built.change = merge_version(finished.select(*contract.columns), path, contract, recipe.key, folder)
+    elif merges and kept is not None:
+        built.change = merge_version(finished.select(*contract.columns), path, contract, recipe.key, folder, clean)
         counts |= built.change.counts
     elif versioned or kept is not None:
         first = (recipe.key or [c for c in contract.columns if c != contract.id_column])[0]
         publish(finished.select(*contract.columns), path, first, contract.partition_by, contract.id_column, since=kept)
         counts["written"] = built.read(spark).count()
-    elif refresh and path_exists(spark, path):
-        counts |= merge_batch(finished.select(*contract.columns), path, contract, recipe.key, folder)
+    elif merges:
+        counts |= merge_batch(finished.select(*contract.columns), path, contract, recipe.key, folder, clean)
     else:
         write_table(finished.select(*contract.columns), path, contract.partition_by)
         counts["written"] = built.read(spark).count()

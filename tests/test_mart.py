@@ -8,7 +8,8 @@ import pytest
 from starmart.contracts import CONTRACTS, FACT_IMMIGRATION
 from starmart.plans import RECIPES, QualityError, build_labels, data_dictionary, run
 from starmart.quality import check_mart, check_types
-from starmart.sources import SOURCE_FILES
+from starmart.sinks import publish
+from starmart.sources import SOURCE_FILES, read_table
 
 ARRIVAL_COLUMNS = (
     "cicid,i94yr,i94mon,i94cit,i94res,i94port,arrdate,i94mode,i94addr,depdate,i94visa,biryear,"
@@ -436,6 +437,53 @@ def test_refresh_keeps_history(spark, tmp_path):
         run(spark, "", dst, mode="append")
 
 
+@pytest.mark.parametrize("versioned", [False, True])
+def test_refresh_stores_its_batch_once(spark, tmp_path, monkeypatch, versioned):
+    from starmart.plans import refresh
+
+    first = arrival_file(tmp_path, "first.csv", [arrival(1, "CA"), arrival(2, "NY"), arrival(3, "CA")])
+    second = arrival_file(tmp_path, "second.csv", [arrival(3, "CA", "9.0"), arrival(2, "TX"), arrival(7, "TX"), arrival("", "TX")])
+    stored = {}
+
+    def stage(df, name, folder=None):
+        stored[name] = df.columns
+        return real(df, name, folder)
+
+    real = refresh.stage
+    dst = str(tmp_path / "mart")
+    run(spark, "", dst, ["fact_immigration"], paths={"immigration": first}, checks=False, versioned=versioned)
+    monkeypatch.setattr(refresh, "stage", stage)
+    built = run(spark, "", dst, ["fact_immigration"], paths={"immigration": second}, checks=False, mode="refresh")["fact_immigration"]
+    found = built.read(spark).select("immigration_id", "uid", "state_code", "mode").sort("uid")
+    assert [tuple(r) for r in found.collect()] == [(0, 1, "CA", 1), (1, 2, "TX", 1), (2, 3, "CA", 9), (3, 7, "TX", 1)]
+    assert built.counts["written"] == 3 and built.counts["missing"] == 1 and built.balanced
+    assert "batch-fact_immigration" not in stored and "added-fact_immigration" not in stored
+    if not versioned:
+        assert stored["replaced-fact_immigration"] == ["uid", "immigration_id", "state_code"]
+
+
+def test_merge_of_a_batch_with_repeated_and_missing_keys(spark, tmp_path):
+    from starmart.plans.refresh import merge_batch, merge_version
+
+    schema = FACT_IMMIGRATION.schema
+    row = dict.fromkeys(schema.names)
+
+    def table(*rows):
+        names = ("immigration_id", "uid", "state_code", "mode")
+        return spark.createDataFrame([row | dict(zip(names, r, strict=True)) for r in rows], schema)
+
+    old = table((0, 1, "CA", 1), (1, None, "CA", 1), (2, 2, "NY", 1), (3, 2, "CA", 1), (4, 5, None, 1))
+    batch = table((9, None, "TX", 2), (9, 2, "CA", 2), (9, 2, "CA", 2))
+    want = [(0, 1, "CA", 1), (1, None, "TX", 2), (2, 2, "CA", 2), (2, 2, "CA", 2), (4, 5, None, 1)]
+    plain, kept = str(tmp_path / "plain"), str(tmp_path / "kept")
+    old.write.partitionBy("state_code").parquet(plain)
+    publish(old, kept, "uid", ["state_code"], "immigration_id")
+    for path, merge in ((plain, merge_batch), (kept, merge_version)):
+        merge(batch, path, FACT_IMMIGRATION, ["uid"])
+        found = read_table(spark, path, schema=schema).select("immigration_id", "uid", "state_code", "mode").collect()
+        assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
 def test_refresh_of_a_table_without_key_adds_unknown_rows(spark, tmp_path):
     batches = []
     for name, lines in (("a", [*CITIES]), ("b", [*CITIES, "Utica;Ohio;30.0;1;1;2;1;1;2.0;OH;White;1"])):
