@@ -38,20 +38,25 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
         if not exact_distinct:
             aggregates.append(F.approx_count_distinct(c).alias(f"distinct_{i}"))
     totals = df.agg(*aggregates)
-    entries = []
-    for i, (name, dtype) in enumerate(df.dtypes):
-        entries.append(F.struct(
-            F.lit(i).alias("position"),
-            F.lit(name).alias("column_name"),
-            F.lit(dtype).alias("data_type"),
-            F.col("n").alias("n_rows"),
-            F.col(f"missing_{i}").alias("n_missing"),
-            (F.when(F.col("n") > 0, F.col(f"missing_{i}") * 100.0 / F.col("n"))).alias("pct_missing"),
-            (F.lit(None).cast("bigint") if exact_distinct else F.col(f"distinct_{i}")).alias("n_distinct"),
-            F.col(f"min_{i}").alias("min_value"),
-            F.col(f"max_{i}").alias("max_value"),
-        ))
-    rows = totals.select(F.inline(F.array(*entries)))
+    at = F.col("position")
+
+    def of_each(values: list[Column]) -> Column:
+        return F.get(F.array(*values), at)
+
+    n_missing = of_each([F.col(f"missing_{i}") for i in range(len(df.columns))])
+    # one row per column; what a caller does not select of it is not computed
+    rows = totals.select(F.explode(F.array(*map(F.lit, range(len(df.columns))))).alias("position"), "*").select(
+        "position",
+        of_each([F.lit(name) for name in df.columns]).alias("column_name"),
+        of_each([F.lit(dtype) for _, dtype in df.dtypes]).alias("data_type"),
+        F.col("n").alias("n_rows"),
+        n_missing.alias("n_missing"),
+        F.when(F.col("n") > 0, n_missing * 100.0 / F.col("n")).alias("pct_missing"),
+        F.lit(None).cast("bigint").alias("n_distinct") if exact_distinct
+        else of_each([F.col(f"distinct_{i}") for i in range(len(df.columns))]).alias("n_distinct"),
+        of_each([F.col(f"min_{i}") for i in range(len(df.columns))]).alias("min_value"),
+        of_each([F.col(f"max_{i}") for i in range(len(df.columns))]).alias("max_value"),
+    )
     if not exact_distinct:
         return rows
     return (

@@ -189,6 +189,17 @@ def test_profile_counts_nan_as_missing(spark):
     assert op.drop_sparse(df, 30.0).columns == ["t"]
 
 
+def test_profile_computes_what_is_selected(spark):
+    df = spark.range(5).selectExpr("nullif(id, 2) as a", "cast(id as string) as b")
+    counted = op.profile(df).select("column_name", F.col("n_rows") - F.col("n_missing"))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(" in plan and "min(" not in plan and "approx_count_distinct(" not in plan
+    assert sorted(map(tuple, counted.collect())) == [("a", 4), ("b", 5)]
+    assert [tuple(r) for r in op.profile(df).orderBy("position").collect()] == [
+        (0, "a", "bigint", 5, 1, 20.0, 4, "0", "4"), (1, "b", "string", 5, 0, 0.0, 5, "0", "4"),
+    ]
+
+
 def test_profile_of_no_rows(spark):
     found = op.profile(spark.createDataFrame([], "a int")).first()
     assert (found.n_rows, found.n_missing, found.pct_missing) == (0, 0, None)
