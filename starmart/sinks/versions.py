@@ -73,12 +73,12 @@ def read_files(spark: SparkSession, path: str, schema: StructType, files: DataFr
         return empty.withColumn(_FILE, F.lit(None).cast("string")) if with_file else empty
     rows = spark.read.schema(known).option("basePath", f"{path}/data").parquet(*(f"{path}/data/{n}" for n in names))
     columns = [F.col(f"`{f.name}`") for f in schema.fields]
-    return rows.select(*columns, _relative().alias(_FILE)) if with_file else rows.select(*columns)
+    return rows.select(*columns, _relative(F.col("_metadata.file_path")).alias(_FILE)) if with_file else rows.select(*columns)
 
 
-def _relative() -> Column:
-    """A row's file below ``data``; reported names have their special characters escaped."""
-    name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+def _relative(path: Column) -> Column:
+    """A file below ``data`` by its reported name, in which special characters are escaped."""
+    name = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.regexp_extract(name, "^.*/(batch=[0-9]+/.*)$", 1)
 
 
@@ -87,10 +87,12 @@ def _listed(spark: SparkSession, path: str, number: int, schema: StructType, key
     known = StructType([*schema.fields, StructField("batch", IntegerType())])
     rows = spark.read.schema(known).option("basePath", f"{path}/data").parquet(f"{path}/data/batch={number}")
     top = F.max(id_column).cast("long") if id_column else F.lit(None).cast("long")
-    return rows.groupBy(_relative().alias("file")).agg(
+    listed = rows.groupBy(F.col("_metadata.file_path").alias(_FILE)).agg(
         F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(F.col(key).isNull()).alias("keyless"), F.count("*").alias("rows"),
         top.alias("top_id"),
     )
+    # names are put in order once a file, not once a row
+    return listed.withColumn(_FILE, _relative(F.col(_FILE))).withColumnRenamed(_FILE, "file")
 
 
 def publish(

@@ -133,3 +133,14 @@ def test_tables_without_partitions_or_key(spark, tmp_path):
         found = built["dim_demography"].read(spark).select("demog_pop_id").sort("demog_pop_id").collect()
         assert [r[0] for r in found] == list(range(n)) and built["dim_demography"].balanced
     assert mart.current_version(spark, f"{dst}/dim_demography") == 1
+
+
+def test_file_names_are_put_in_order_once_a_file(spark, fact):
+    load, path = fact
+    load(rows(200), "overwrite", versioned=True)
+    contract = FACT_IMMIGRATION
+    listed = versions._listed(spark, path, 0, contract.schema, "uid", contract.id_column)
+    groups, *below = listed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert groups.startswith("Aggregate") and "regexp_extract" in groups and not any("regexp_extract" in line for line in below)
+    assert sorted(listed.collect()) == sorted(versions.files_of(spark, path).select(*listed.columns).collect())
+    assert all(r.file.startswith("batch=0/state_code=") for r in listed.collect())
