@@ -53,13 +53,23 @@ def tag_rows(
     return df.withColumn(_TAG, F.monotonically_increasing_id())
 
 
-def number_staged(staged: DataFrame, name: str, dense: bool = True) -> DataFrame:
-    """Turn the tags of a staged frame into ids: dense ones, or the tags themselves."""
+def tagged_counts(tagged: DataFrame, *counts: Column) -> DataFrame:
+    """One row per sort partition of tagged rows, with the given aggregates."""
+    return tagged.groupBy(F.shiftright(_TAG, _ROW_BITS).alias(_PART)).agg(*counts)
+
+
+def number_staged(staged: DataFrame, name: str, dense: bool = True, counts: DataFrame | None = None) -> DataFrame:
+    """Turn the tags of a staged frame into ids: dense ones, or the tags themselves.
+
+    ``counts`` are the rows (``__n``) by sort partition (:func:`tagged_counts`), when they are known; otherwise
+    each use of the result reads the tags for them.
+    """
     if not dense:
         return staged.withColumnRenamed(_TAG, name)
     part = F.shiftright(_TAG, _ROW_BITS)
     # one row per sort partition, so the window below orders that many rows and no more
-    counts = staged.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias("__n"))
+    if counts is None:
+        counts = tagged_counts(staged, F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         F.col(_PART), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_START)

@@ -11,7 +11,7 @@ from pyspark.sql.types import DataType, IntegerType, LongType, StringType, Struc
 
 from ..contracts import CONTRACTS, TableContract
 from ..functions import cast_column, day_number_to_date, sas_day_number, to_date
-from ..operators.keys import number_staged, tag_rows
+from ..operators.keys import number_staged, tag_rows, tagged_counts
 from ..operators.rows import dedupe, dedupe_in_ranges, distinct_rows, drop_missing, frequent_keys, in_range, missing_counts
 from ..quality.checks import report_row
 from ..quality.report import check_mart
@@ -264,7 +264,13 @@ def build_table(
     else:
         staged = stage(_reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical)), name, folder)
 
-    after = staged.agg(F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)).first()
+    totals = [F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)]
+    by_part = None
+    if contract.id_column and ids == "dense":
+        # by sort partition, so that one pass serves the counts and the ids
+        by_part = stage(tagged_counts(staged, F.count_if(_OK).alias(_OK), *totals), f"counts-{recipe.name}", folder)
+        totals = [F.coalesce(F.sum(f"`{c}`"), F.lit(0)).alias(c) for c in ("__n", *recipe.critical)]
+    after = (staged if by_part is None else by_part).agg(*totals).first()
     if not missing_first:
         built.missing = {c: after[c] for c in recipe.critical}
         rejected = staged.filter(~F.col(_OK))
@@ -284,7 +290,8 @@ def build_table(
         good = good.withColumn(contract.id_column, F.lit(None).cast("long"))  # the merge gives ids
     elif contract.id_column:
         # complete rows come first in each partition, so the ids count them alone
-        good = number_staged(good, contract.id_column, dense=ids == "dense")
+        known = by_part.select("__part", F.col(_OK).alias("__n")) if by_part is not None else None
+        good = number_staged(good, contract.id_column, dense=ids == "dense", counts=known)
     finished = _finish(good, recipe)
     counts["bad_dates"] = 0
     if reject_bad_dates and recipe.late_dates:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starmart import operators as op
 from starmart.operators import quantiles as quantile_module
+from starmart.operators.keys import tagged_counts
 from starmart.operators.rows import dedupe_in_ranges, frequent_keys
+from starmart.sinks import stage
 
 FEW = settings(
     max_examples=6, deadline=None,
@@ -109,6 +111,17 @@ def test_climate_never_repeats_an_arrival(spark):
     assert [(r.uid, r.usual_temperature) for r in found] == [(1, 17.5), (2, None), (3, None)]
 
 
+def test_known_counts_save_a_pass_over_the_tags(spark):
+    staged = stage(op.tag_rows(spark.range(100).repartition(4).withColumn("ok", F.col("id") < 70), [F.desc("ok"), "id"]), "tagged")
+    counts = stage(tagged_counts(staged, F.count_if("ok").alias("__n")), "counts")
+    good = staged.where("ok")
+    given, found = op.number_staged(good, "n", counts=counts), op.number_staged(good, "n")
+    assert sorted(given.collect()) == sorted(found.collect()) and {r.n for r in given.collect()} == set(range(70))
+    place = staged.inputFiles()[0].rsplit("/", 1)[0].rsplit("/", 1)[1]
+    reads = [d._jdf.queryExecution().executedPlan().toString().count(place) for d in (given, found)]
+    assert reads[0] * 2 == reads[1]
+
+
 def test_dense_ids_on_an_empty_frame(spark):
     df = spark.createDataFrame([], "k int")
     assert op.dense_id(df, "id", ["k"]).count() == 0
