@@ -24,7 +24,7 @@ def sas_days(c: Column) -> Column:
 def as_csv(df: DataFrame, name: str, sep: str = ",") -> str:
     """Write a derived source as CSV files and return their folder."""
     path = new_path(df.sparkSession, f"source-{name}")
-    write_csv(df, path, sep)
+    write_csv(df, path, sep, compressed=True)
     return path
 
 

@@ -42,10 +42,10 @@ def label_lines(spark, sf_dir) -> DataFrame:
 def _default_layout(spark, sf_dir) -> str:
     """All sources under their default names below one base path."""
     base = new_path(spark, "base")
-    write_csv(arrivals(spark, sf_dir), f"{base}/{SOURCE_FILES['immigration']}")
-    write_csv(temperatures(spark, sf_dir), f"{base}/{SOURCE_FILES['temperature']}")
-    write_csv(demographics(spark, sf_dir), f"{base}/{SOURCE_FILES['demography']}", ";")
-    write_csv(airports(spark, sf_dir), f"{base}/{SOURCE_FILES['airport']}")
+    write_csv(arrivals(spark, sf_dir), f"{base}/{SOURCE_FILES['immigration']}", compressed=True)
+    write_csv(temperatures(spark, sf_dir), f"{base}/{SOURCE_FILES['temperature']}", compressed=True)
+    write_csv(demographics(spark, sf_dir), f"{base}/{SOURCE_FILES['demography']}", ";", compressed=True)
+    write_csv(airports(spark, sf_dir), f"{base}/{SOURCE_FILES['airport']}", compressed=True)
     # one file, since lines are counted by file; its length is fixed, and only its lines meet in one task
     lines = label_lines(spark, sf_dir).repartition(1).sortWithinPartitions("pos").select("value")
     lines.write.text(f"{base}/{SOURCE_FILES['labels']}")

@@ -15,9 +15,9 @@ from ..operators.keys import number_staged, tag_rows, tagged_counts
 from ..operators.rows import dedupe, dedupe_in_ranges, distinct_rows, drop_missing, frequent_keys, in_range, missing_counts
 from ..quality.checks import report_row
 from ..quality.report import check_mart
-from ..session import enough_partitions, new_path, path_exists, remove_path, stored_bytes
+from ..session import enough_partitions, new_path, path_exists, remove_path, shuffles_dropped, stored_bytes
 from ..sinks.aligned import layout_of, write_aligned
-from ..sinks.stage import stage
+from ..sinks.stage import drop_steps, stage
 from ..sinks.tables import refresh_partitions, write_table
 from ..sinks.versions import current_version, publish
 from ..sources.files import land, land_apart, read_source, read_table, source_path, stored_schema
@@ -264,6 +264,13 @@ def build_table(
     else:
         staged = stage(_reduce(rows, recipe).withColumn(_OK, _complete(recipe.critical)), name, folder)
 
+    # the typed rows are read no more, once those for the quarantine are apart
+    if missing_first and quarantine:
+        rejected = stage(rejected, f"missing-{recipe.name}", folder)
+    if keyless is not None and quarantine:
+        keyless = stage(keyless, f"keyless-{recipe.name}", folder)
+    drop_steps(spark, folder, f"typed-{recipe.name}")
+
     totals = [F.count(F.lit(1)).alias("__n"), *missing_counts(recipe.critical)]
     by_part = None
     if contract.id_column and ids == "dense":
@@ -327,6 +334,9 @@ def build_table(
         if bad_rows is not None:
             built.bad_keys = f"{quarantine}_bad_keys"
             bad_rows.write.mode("overwrite").parquet(built.bad_keys)
+    if built.change is None or contract.id_column:
+        # without ids the rows of a change are those of the batch
+        drop_steps(spark, folder, *(f"{step}-{recipe.name}" for step in ("cleaned", "counts", "missing", "keyless")))
     return built
 
 
@@ -394,8 +404,8 @@ def run(
     ``aligned`` the tables keyed by the arrival number are written in so many hash buckets of it instead of folders, and join
     without a shuffle; take the partitions that ``conf_for`` gives for their size. Sources and tables do not
     depend on each other: up to ``parallel`` are worked on at a time, which fills the cluster
-    while the last tasks of one finish. The stored steps are removed when all is written, unless
-    ``keep_steps`` is set or the run fails.
+    while the last tasks of one finish. The stored steps are removed when no later one reads them, the last when all is written; with
+    ``keep_steps`` those stay that a table's ``change`` or quarantine is read from. A run that fails leaves what it has.
     """
     if mode not in ("overwrite", "refresh"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -451,7 +461,7 @@ def run(
 
     names = list(dict.fromkeys(r.source for r in todo))
     size = sum(stored_bytes(spark, location(n)) for n in names)
-    with enough_partitions(spark, size), ThreadPoolExecutor(parallel) as pool:
+    with enough_partitions(spark, size), shuffles_dropped(spark), ThreadPoolExecutor(parallel) as pool:
         code_tables = pool.submit(labels)
         sources = dict(zip(names, pool.map(source, names)))
         made = dict(zip([r.name for r in todo], pool.map(table, todo))) | code_tables.result()

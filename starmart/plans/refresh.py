@@ -12,7 +12,7 @@ from ..contracts import TableContract
 from ..operators.keys import number_staged, tag_rows
 from ..session import remove_path
 from ..sinks.aligned import append_aligned, layout_of, read_aligned
-from ..sinks.stage import stage
+from ..sinks.stage import drop_steps, stage
 from ..sinks.tables import refresh_partitions, write_table
 from ..sinks.versions import Ranges, current_version, files_of, key_ranges, publish, read_files
 from ..sources.files import read_table
@@ -109,6 +109,7 @@ def merge_batch(
     else:
         write_table(merged, path)
     n_batch, n_added = batch.count(), added.count()
+    drop_steps(spark, folder, *(f"{step}-{contract.name}" for step in ("batch", "replaced", "placed", "new", "added", "merged", "gone")))
     return {"known": n_batch - n_added, "written": n_added}
 
 
@@ -177,6 +178,7 @@ def merge_version(
             stage(rest, f"rest-{contract.name}", folder).unionByName(added), path, (list(key) or same)[0], contract.partition_by, name,
             kept=files.join(hit, "file", "left_anti"), since=since,
         )
+        drop_steps(spark, folder, f"rest-{contract.name}")
     return Change(added, replaced, ranges, counts, numbers)
 
 

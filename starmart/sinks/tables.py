@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 if TYPE_CHECKING:
     from ..contracts import TableContract
 
+#: Rows of a compressed text file.
+_PACKED_ROWS = 1_000_000
+
 
 def spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of one output partition together without one task per value.
@@ -68,8 +71,12 @@ def write_bucketed(
     )
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",", compressed: bool = False) -> None:
+    """CSV files with a header row; ``compressed`` ones are gzip, which is read from front to back, so each holds a bounded number of rows."""
+    writer = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    if compressed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=_PACKED_ROWS).option("zlib.compress.level", "BEST_SPEED")
+    writer.csv(path)
 
 
 def create_table_sql(contract: TableContract, location: str, name: str | None = None) -> str:

@@ -291,3 +291,27 @@ def test_session_settings(spark, monkeypatch):
     assert session_module.conf_for(1)["spark.sql.shuffle.partitions"] == "8"
     assert session_module.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert session_module.new_path(spark, "x") != session_module.new_path(spark, "x")
+
+
+def test_compressed_csv_holds_the_same_rows_in_bounded_files(spark, tmp_path, monkeypatch):
+    import os
+
+    from starmart.session import stored_bytes
+    from starmart.sinks import tables, write_csv
+
+    monkeypatch.setattr(tables, "_PACKED_ROWS", 100)
+    df = spark.range(1000).selectExpr("id", "concat('a,\"', id) as t").coalesce(1)
+    write_csv(df, f"{tmp_path}/plain")
+    write_csv(df, f"{tmp_path}/packed", compressed=True)
+    files = [f for f in os.listdir(tmp_path / "packed") if f.startswith("part-")]
+    assert len(files) == 10 and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(read_csv(spark, f"{tmp_path}/packed").collect()) == sorted(read_csv(spark, f"{tmp_path}/plain").collect())
+    size = sum(os.path.getsize(tmp_path / "packed" / f) for f in os.listdir(tmp_path / "packed") if f.startswith("part-"))
+    assert stored_bytes(spark, f"{tmp_path}/packed") == 3 * size and stored_bytes(spark, f"{tmp_path}/plain") > size
+
+
+def test_sources_of_the_mart_queries_are_compressed(spark, tmp_path):
+    from spark_checks.inputs import as_csv
+
+    path = as_csv(spark.range(5).selectExpr("cast(id as string) as k"), "t")
+    assert all(f.endswith(".csv.gz") for f in read_csv(spark, path).inputFiles()) and read_csv(spark, path).count() == 5
