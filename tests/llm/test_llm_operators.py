@@ -344,6 +344,23 @@ def test_html_hosts_whose_markup_tells_are_not_searched(spark, monkeypatch):
     assert {r.text for r in html.extract(pages).collect()} == {f"text {i}" for i in range(5)}
 
 
+def test_html_repeats_are_searched_for_on_marked_hosts_too(spark, monkeypatch):
+    exchanged, real = [], html._by_repeats
+    monkeypatch.setattr(html, "_by_repeats", lambda *given: exchanged.append(real(*given)) or exchanged[-1])
+    notice = " ".join(f"n{i}" for i in range(14))
+    rows = [(i, f"http://a.io/{i}", f"<p>{notice}</p><article>text {i}</article>") for i in range(6)]
+    rows.append((9, "http://b.io/1", f"<p>{notice}</p><article>text 9</article>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1 << 30, 1):
+        found = html.extract(pages, shard_bytes=size)
+        # every page is in a suffix array of its host
+        assert "FlatMapCoGroupsInPandas" in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.page_id, r.text) for r in found.collect()} == {(i, f"text {i}") for i in (*range(6), 9)}
+    marks = exchanged[0].collect()
+    # three windows of the notice and the one that ends with the article's first word, not those of another host
+    assert len(exchanged) == 1 and len({r.h for r in marks}) == 4 and len({r.shard for r in marks}) > 1
+
+
 def test_covered_tokens_against_all_windows():
     rng = np.random.default_rng(2)
     for _ in range(60):
