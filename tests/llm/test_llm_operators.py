@@ -357,8 +357,11 @@ def test_html_repeats_are_searched_for_on_marked_hosts_too(spark, monkeypatch):
         assert "FlatMapCoGroupsInPandas" in found._jdf.queryExecution().executedPlan().toString()
         assert {(r.page_id, r.text) for r in found.collect()} == {(i, f"text {i}") for i in (*range(6), 9)}
     marks = exchanged[0].collect()
+    hashes = {h for r in marks for h in html._unpacked(r.hashes, r.n).tolist()}
+    given = np.array([-(2**63), -5, 0, 7, 2**63 - 1, 3])
+    assert (html._unpacked(html._packed(given), 6) == given).all()
     # three windows of the notice and the one that ends with the article's first word, not those of another host
-    assert len(exchanged) == 1 and len({r.h for r in marks}) == 4 and len({r.shard for r in marks}) > 1
+    assert len(exchanged) == 1 and len(hashes) == 4 and len({r.shard for r in marks}) > 1
 
 
 def test_covered_tokens_against_all_windows():
